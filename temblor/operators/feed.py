@@ -20,13 +20,20 @@ def map_feed(df: DataFrame) -> DataFrame:
     lat = pick("latitude") + ([F.get(coords, 1)] if coords is not None else [])
     lon = pick("longitude") + ([F.get(coords, 0)] if coords is not None else [])
     dep = pick("depth") + ([F.get(coords, 2)] if coords is not None else [])
+    # "now" in the time column's own type (epoch milliseconds or a timestamp).
+    if "time" in cols and isinstance(df.schema["time"].dataType, T.NumericType):
+        now = F.unix_millis(F.current_timestamp()).cast(df.schema["time"].dataType)
+    elif "time" in cols:
+        now = F.current_timestamp().cast(df.schema["time"].dataType)
+    else:
+        now = F.current_timestamp()
     return df.select(
         F.coalesce(*lat, F.lit(None).cast("double")).alias("latitude"),
         F.coalesce(*lon, F.lit(None).cast("double")).alias("longitude"),
         F.coalesce(*pick("mag", "magnitude"), F.lit(0.0)).cast("double").alias("magnitude"),
         F.coalesce(*dep, F.lit(0.0)).cast("double").alias("depth"),
         F.coalesce(*pick("place"), F.lit("Unknown")).alias("place"),
-        F.coalesce(*pick("time"), F.current_timestamp()).alias("time"),
+        F.coalesce(*pick("time"), now).alias("time"),
     )
 
 
