@@ -24,17 +24,21 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
 
 def join_small(big: DataFrame, small: DataFrame, keys, how: str = "inner",
                max_rows: int = DEFAULT_BROADCAST_ROWS, null_safe: bool = False,
-               persist: bool = True) -> DataFrame:
+               persist: bool = True, known_rows: int | None = None) -> DataFrame:
     """Join ``small`` (a derived, usually aggregated table) onto ``big`` by ``keys``.
 
     ``small`` is persisted so the size check and the join share one
     computation; if an executor holding it is lost, Spark recomputes it from
-    lineage.
+    lineage. ``known_rows`` is an upper bound the caller can prove (for example
+    the number of ranges it created); it replaces the counting job.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if persist:
-        small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    side = F.broadcast(small) if bounded_rows(small, max_rows) else small
+    if known_rows is not None and known_rows <= max_rows:
+        side = F.broadcast(small)
+    else:
+        if persist:
+            small = small.persist(StorageLevel.MEMORY_AND_DISK)
+        side = F.broadcast(small) if bounded_rows(small, max_rows) else small
     if not keys:
         return attach_global(big, small)
     if not null_safe:

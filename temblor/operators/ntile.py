@@ -138,7 +138,9 @@ def rank_in_group(df: DataFrame, order, by=(), rank_name: str = "__rank",
                .withColumn("__off", F.coalesce(F.sum("__cnt").over(before), F.lit(0)))
                .withColumn(size_name, F.sum("__cnt").over(whole))
                .drop("__cnt"))
-    joined = join_small(ranged, offsets, grp, max_rows=max_broadcast_rows, null_safe=True)
+    # Without groups the offsets table has one row per range: a proven bound.
+    joined = join_small(ranged, offsets, grp, max_rows=max_broadcast_rows, null_safe=True,
+                        known_rows=None if by else len(cuts) + 1)
     w = Window.partitionBy(*[F.col(c) for c in grp]).orderBy(
         *[F.col(c).asc_nulls_first() for c in order])
     return (joined.withColumn(rank_name, F.col("__off") + F.row_number().over(w))
