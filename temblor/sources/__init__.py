@@ -3,6 +3,6 @@
 from .feed import decode, flatten_geojson, publish_json, to_feature_collections
 from .files import (land_raw, list_tables, preview, raw_history, read_parquet,
                     read_raw_csv, read_table)
-from .sinks import append_batch, latest_version, upsert_batch, write_curated
+from .sinks import append_batch, counted, latest_version, upsert_batch, write_curated
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -64,3 +64,10 @@ def test_field_types_and_catalog(spark, tmp_dir):
     write_curated(df, "p", target="parquet", path=os.path.join(tmp_dir, "p"))
     assert spark.read.parquet(os.path.join(tmp_dir, "p")).count() == 1
     assert F is not None
+
+
+def test_counted_rides_along(spark, tmp_dir):
+    from temblor.sources import counted
+    df, obs = counted(spark.range(42), "n")
+    df.write.mode("overwrite").parquet(os.path.join(tmp_dir, "c"))
+    assert obs.get["n"] == 42
