@@ -10,8 +10,8 @@ third of the data. Here the rank is built in pieces:
    an executor loss gives the same cuts: they are literals in the plan).
    Because the group key and tiebreak are part of the cut key, even one hot
    group or one hot value is spread over many ranges.
-2. Each row finds its range with a fixed-depth binary search over literal
-   arrays (``log2 P`` small projections, JVM-side).
+2. Each row finds its range with a two-level binary search (balanced CASE
+   trees over constant structs, ``log2 P`` comparisons per row, generated code).
 3. Row counts per (group, range) - at most ``P + #groups`` rows - give each
    range its offset within its group and the group size.
 4. ``row_number`` inside (group, range) plus the offset is the rank inside
@@ -22,6 +22,7 @@ Every task then sorts at most about ``n / P`` rows.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -76,30 +77,71 @@ def _key_parts(df: DataFrame, cols: list[str]) -> tuple[list[Column], list[Colum
     return parts, []
 
 
-def _less(cut_arrays: list[Column], idx: Column, keys: list[str]) -> Column:
-    """cut[idx] < key, lexicographic over components."""
-    out = None
-    for arr, key in reversed(list(zip(cut_arrays, keys))):
-        cut = F.try_element_at(arr, idx)
-        here = cut < F.col(key)
-        out = here if out is None else (here | ((cut == F.col(key)) & out))
-    return F.coalesce(out, F.lit(False))
+def _sql_literal(value, dtype: T.DataType) -> str:
+    """An exact SQL literal for one key component."""
+    if isinstance(dtype, T.StringType):
+        return f"CAST(X'{value.encode('utf-8').hex()}' AS STRING)"
+    if isinstance(dtype, T.DoubleType):
+        return f"CAST('{float(value)!r}' AS DOUBLE)"
+    if isinstance(dtype, T.LongType):
+        return f"CAST({int(value)} AS BIGINT)"
+    if isinstance(dtype, T.IntegerType):
+        return f"CAST({int(value)} AS INT)"
+    if isinstance(dtype, T.DecimalType):
+        return f"CAST('{value}' AS {dtype.simpleString()})"
+    raise TypeError(f"unsupported key component type {dtype}")
+
+
+BLOCK = 64
 
 
 def _assign_range(df: DataFrame, key_names: list[str], cuts: list[tuple], out: str) -> DataFrame:
-    """Number of cut tuples strictly below each row's key (0..len(cuts))."""
+    """Number of cut tuples strictly below each row's key (0..len(cuts)).
+
+    The key components form one struct (Spark compares structs field by
+    field). The search has two levels, both balanced CASE trees that stay in
+    generated code: a tree over at most 63 coarse cuts picks a block of 64
+    cuts, then a 6-deep tree finds the position inside that block by
+    indexing one constant array holding every cut. Each row makes about
+    ``log2 P`` comparisons; the expression size is bounded (~130 nodes)."""
     m = len(cuts)
     if m == 0:
         return df.withColumn(out, F.lit(0))
-    arrays = [F.lit([c[i] for c in cuts]) for i in range(len(key_names))]
-    step = 1 << (m.bit_length() - 1)
-    df = df.withColumn(out, F.lit(0))
-    while step:
-        nxt = F.col(out) + step
-        df = df.withColumn(out, F.when((nxt <= m) & _less(arrays, nxt, key_names), nxt)
-                           .otherwise(F.col(out)))
-        step >>= 1
-    return df
+    keyed = df.withColumn("__rkey", F.struct(*[F.col(k) for k in key_names]))
+    rtype = keyed.schema["__rkey"].dataType
+    types = [f.dataType for f in rtype.fields]
+
+    def const(c):
+        return "named_struct(" + ", ".join(
+            f"'{n}', {_sql_literal(v, t)}" for n, v, t in zip(key_names, c, types)) + ")"
+
+    def coarse_tree(consts, lo, hi):
+        # answer = number of consts below the key, known to lie in [lo, hi]
+        if lo == hi:
+            return str(lo)
+        mid = (lo + hi + 1) // 2
+        return (f"CASE WHEN `__rkey` > {consts[mid - 1]} THEN {coarse_tree(consts, mid, hi)} "
+                f"ELSE {coarse_tree(consts, lo, mid - 1)} END")
+
+    if m < BLOCK:
+        consts = [const(c) for c in cuts]
+        return keyed.withColumn(out, F.expr(coarse_tree(consts, 0, m))).drop("__rkey")
+
+    blocks = m // BLOCK
+    coarse = [const(cuts[j * BLOCK - 1]) for j in range(1, blocks + 1)]
+    keyed = keyed.withColumn("__rblk", F.expr(coarse_tree(coarse, 0, blocks)))
+    text = json.dumps([dict(zip(key_names, c)) for c in cuts])
+    flat = F.from_json(F.lit(text), T.ArrayType(rtype, False))
+    base = F.col("__rblk") * BLOCK
+
+    def advance(pos, step):  # pos: cuts of this block known to be below the key
+        nxt = pos + step
+        hit = F.coalesce(F.try_element_at(flat, base + nxt) < F.col("__rkey"), F.lit(False))
+        return F.when(hit, nxt).otherwise(pos)
+
+    steps = F.array(*[F.lit(BLOCK >> i) for i in range(1, BLOCK.bit_length())])
+    fine = F.aggregate(steps, F.lit(0), advance)
+    return keyed.withColumn(out, base + fine).drop("__rkey", "__rblk")
 
 
 def rank_in_group(df: DataFrame, order, by=(), rank_name: str = "__rank",

@@ -19,6 +19,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast decisions from measured sizes only: the planner's file-size
+    # estimate (blind to explode/filter selectivity) never broadcasts; AQE
+    # broadcasts a side once its materialised size is known to be small.
+    # Explicit broadcasts in the library are size-checked or proven.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",

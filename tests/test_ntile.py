@@ -25,16 +25,17 @@ def _check(spark, rows, k, by, rows_per_range):
     assert joined.filter(F.col("t") != F.col("exp")).count() == 0
 
 
-@pytest.mark.parametrize("k", [1, 3, 10])
+@pytest.mark.parametrize("k,per_range", [(1, 50), (3, 50), (10, 50), (7, 5)])
 @pytest.mark.parametrize("by", [[], ["g"]])
-def test_ntile_matches_window(spark, k, by):
+def test_ntile_matches_window(spark, k, per_range, by):
     rnd = random.Random(k)
     rows = []
     for i in range(700):
         g = "hot" if i % 3 else rnd.choice(["a", "b", None])
         v = rnd.choice([None, float("nan"), 5.0, 5.0, rnd.uniform(-10, 10)])
         rows.append((i, g, v))
-    _check(spark, rows, k, by, rows_per_range=50)
+    # per_range=5 gives >64 ranges: the two-level range search
+    _check(spark, rows, k, by, rows_per_range=per_range)
 
 
 @settings(max_examples=8, deadline=None)
@@ -56,3 +57,16 @@ def test_rank_in_group_sizes(spark):
     assert sizes == {"a": 40, "b": 60}
     ranks = sorted(x["__rank"] for x in r.filter(F.col("g") == "a").collect())
     assert ranks == list(range(1, 41))
+
+
+def test_string_and_timestamp_keys(spark):
+    import datetime as dt
+    rnd = random.Random(5)
+    rows = [(i, rnd.choice(["b", "a", None, "é", "a'b"]),
+             dt.datetime(2024, 1, 1) + dt.timedelta(seconds=rnd.randint(0, 50)))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, s string, t timestamp")
+    got = ntile(df, 4, ["s", "t", "id"], name="x", rows_per_range=3)
+    exp = _expected(df, 4, ["s", "t", "id"], [])
+    bad = got.join(exp.select("id", "exp"), "id").filter(F.col("x") != F.col("exp")).count()
+    assert bad == 0
