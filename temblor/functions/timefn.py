@@ -17,8 +17,13 @@ def epoch_ms_to_ts(col) -> Column:
     return F.timestamp_millis(_c(col).cast("long"))
 
 
-def ts_to_epoch_ms(col) -> Column:
-    """Timestamp (with or without zone) -> epoch milliseconds."""
+def ts_to_epoch_ms(col, ntz: bool = False) -> Column:
+    """Timestamp -> epoch milliseconds (floor). A ``timestamp_ntz`` wall clock
+    (``ntz=True``) is read as UTC without going through the session zone."""
+    if ntz:
+        epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+        micros = F.timestamp_diff("MICROSECOND", epoch, _c(col))
+        return F.floor(micros / 1000).cast("long")
     return F.unix_millis(_c(col).cast("timestamp"))
 
 

@@ -80,7 +80,7 @@ def stream_scored_events(spark, sf_dir):
     q = quake_stream(spark, sf_dir)
     msgs = publish_json(q.select(F.col("id").cast("string").alias("id"), "magnitude",
                                  F.lit(None).cast("string").alias("place"),
-                                 ts_to_epoch_ms("time").cast("double").alias("time"),
+                                 ts_to_epoch_ms("time", ntz=True).cast("double").alias("time"),
                                  "gap", "latitude", "longitude", "depth"))
     scored = score(model, prepare_scoring_input(msgs))
     root = scratch_path(spark, "streams", "scoring")

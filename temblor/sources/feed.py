@@ -43,7 +43,7 @@ def to_feature_collections(events: DataFrame, id_col: str = "id",
     props = {
         "mag": F.col("magnitude"), "place": F.col("place") if "place" in events.columns
         else F.lit(None).cast("string"),
-        "time": ts_to_epoch_ms("time"),
+        "time": ts_to_epoch_ms("time", ntz=dict(events.dtypes).get("time") == "timestamp_ntz"),
         "net": F.col("net"), "nst": F.col("nst").cast("int"), "gap": F.col("gap"),
     }
     feature = F.struct(

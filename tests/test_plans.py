@@ -52,4 +52,4 @@ def test_grouped_sigma_has_no_window_over_rows(spark, qs):
 def test_pairs_use_equi_join_on_cells(spark, qs):
     p = plan(qs["proximity_jump_pairs"](spark, SF))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-    assert "__clat" in p and "__pclat" in p
+    assert "a_clat" in p and "b_clat" in p and "explode" in p
