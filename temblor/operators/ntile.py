@@ -148,9 +148,11 @@ def rank_in_group(df: DataFrame, order, by=(), rank_name: str = "__rank",
                   size_name: str = "__size",
                   rows_per_range: int = DEFAULT_ROWS_PER_RANGE,
                   max_ranges: int = MAX_RANGES, seed: int = 42,
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                  keep_range: bool = False) -> DataFrame:
     """Add the 1-based ``row_number`` within ``by`` ordered by ``order``
-    (ascending, nulls first) and the group size, skew-safe."""
+    (ascending, nulls first) and the group size, skew-safe. ``keep_range``
+    keeps the ``__range`` column (the unit one window task sorts)."""
     order = [order] if isinstance(order, str) else list(order)
     by = [by] if isinstance(by, str) else list(by)
     parts, _ = _key_parts(df, by + order)
@@ -185,8 +187,8 @@ def rank_in_group(df: DataFrame, order, by=(), rank_name: str = "__rank",
                         known_rows=None if by else len(cuts) + 1)
     w = Window.partitionBy(*[F.col(c) for c in grp]).orderBy(
         *[F.col(c).asc_nulls_first() for c in order])
-    return (joined.withColumn(rank_name, F.col("__off") + F.row_number().over(w))
-            .drop("__off", "__range"))
+    ranked = joined.withColumn(rank_name, F.col("__off") + F.row_number().over(w)).drop("__off")
+    return ranked if keep_range else ranked.drop("__range")
 
 
 def ntile(df: DataFrame, k: int, order, by=(), name: str = "ntile", **kw) -> DataFrame:
