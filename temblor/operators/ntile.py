@@ -10,8 +10,8 @@ third of the data. Here the rank is built in pieces:
    an executor loss gives the same cuts: they are literals in the plan).
    Because the group key and tiebreak are part of the cut key, even one hot
    group or one hot value is spread over many ranges.
-2. Each row finds its range with a two-level binary search (balanced CASE
-   trees over constant structs, ``log2 P`` comparisons per row, generated code).
+2. Each row finds its range with a two-level binary search over constant
+   structs (a CASE tree, then a short in-block search): ``log2 P`` comparisons.
 3. Row counts per (group, range) - at most ``P + #groups`` rows - give each
    range its offset within its group and the group size.
 4. ``row_number`` inside (group, range) plus the offset is the rank inside
@@ -99,11 +99,12 @@ def _assign_range(df: DataFrame, key_names: list[str], cuts: list[tuple], out: s
     """Number of cut tuples strictly below each row's key (0..len(cuts)).
 
     The key components form one struct (Spark compares structs field by
-    field). The search has two levels, both balanced CASE trees that stay in
-    generated code: a tree over at most 63 coarse cuts picks a block of 64
-    cuts, then a 6-deep tree finds the position inside that block by
-    indexing one constant array holding every cut. Each row makes about
-    ``log2 P`` comparisons; the expression size is bounded (~130 nodes)."""
+    field). The search has two levels: a balanced CASE tree over at most 63
+    coarse cuts (generated code) picks a block of 64 cuts, then a 6-step
+    ``aggregate`` finds the position inside the block by indexing one
+    constant array holding every cut. Each row makes about ``log2 P``
+    comparisons and the expression size is bounded, so projection collapsing
+    cannot blow it up."""
     m = len(cuts)
     if m == 0:
         return df.withColumn(out, F.lit(0))
