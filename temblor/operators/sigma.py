@@ -13,14 +13,22 @@ def sigma_label(df: DataFrame, value: str, by=None, k: float = 2.0,
                 mean_name: str = "mean", std_name: str = "std_dev",
                 label_name: str = "category", high: str = "Anomalous",
                 normal: str = "Normal",
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                materialize: bool = False) -> DataFrame:
     """Label rows whose ``value`` exceeds mean + k*sigma (of the group or of all).
 
     Statistics come from a partial+final aggregation (never an unordered
     window, which would pull a whole group into one task); the statistics are
     joined back: one row for the global case, a size-checked broadcast or a
     skew-aware shuffle join for the grouped case.
+
+    The input is read twice (statistics, then labels). When it is expensive
+    to produce (a fact-to-fact join), ``materialize=True`` writes it once
+    with ``checkpoint()`` to the shared checkpoint folder (lineage cut, safe
+    against executor loss) and both passes read that copy.
     """
+    if materialize:
+        df = df.checkpoint(eager=True)
     stats_aggs = [F.avg(value).alias(mean_name), F.stddev_samp(value).alias(std_name)]
     if not by:
         out = attach_global(df, df.agg(*stats_aggs))

@@ -44,3 +44,11 @@ def test_top_one_in_hot_group_keeps_ties(spark):
     df = _skewed(spark).withColumn("v", F.when(F.col("g") == "hot", F.lit(1.0)).otherwise(F.col("v")))
     top = top_per_group(df, ["g"], [F.col("v").desc()])
     assert top.filter(F.col("g") == "hot").count() == 10_000  # all tied rows kept
+
+
+def test_sigma_materialized_input_same_result(spark):
+    df = _skewed(spark, 3000)
+    a = sigma_label(df, "v", by=["g"], mean_name="m", std_name="s")
+    b = sigma_label(df, "v", by=["g"], mean_name="m", std_name="s", materialize=True)
+    cols = ["id", "g", "v", "m", "s", "category"]
+    assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
