@@ -32,6 +32,7 @@ from ..operators.windowed import (NEAR_POINT_LAT, NEAR_POINT_LON, feed_status,
                                   window_near_point_count, window_share_below,
                                   window_trend)
 from ..sources.feed import flatten_geojson, to_feature_collections
+from ..sources.files import read_parquet_cached
 
 # Fixed "today" values so that period cut-offs are repeatable.
 AS_OF_30Y = dt.date(2026, 1, 1)
@@ -45,7 +46,7 @@ NTILE_ROWS_PER_RANGE = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_parquet_cached(spark, f"{sf_dir}/{name}.parquet")
 
 
 def quakes_from_events(ev: DataFrame) -> DataFrame:

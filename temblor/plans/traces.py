@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import haversine_km
 from ..schemas import RAW_TRACE
 from ..session import scratch_path
+from ..sources.files import read_parquet_cached
 from . import seismic
 from .driver import QUAKES_SQL, _hav_sql, quakes_from_events, table
 
@@ -97,7 +98,7 @@ def land_once(spark, src: str, name: str, build) -> DataFrame:
     fs = dst_path.getFileSystem(conf)
     if not fs.exists(jvm.org.apache.hadoop.fs.Path(dst_path, "_SUCCESS")):
         build().write.mode("overwrite").parquet(dst)
-    return spark.read.parquet(dst)
+    return read_parquet_cached(spark, dst)
 
 
 def _r(c, d=6):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import RAW_TRACE
@@ -35,6 +37,26 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+_SCHEMAS: dict[tuple, object] = {}
+
+
+def read_parquet_cached(spark: SparkSession, path: str) -> DataFrame:
+    """Read Parquet, inferring the schema once per file or folder (keyed by
+    path, size and modification time) and passing it explicitly afterwards,
+    as a catalog would, so repeated reads skip footer inference."""
+    try:
+        st = os.stat(path)
+        key = (path, st.st_size, st.st_mtime_ns)
+    except OSError:  # not a local path: let Spark infer each time
+        return spark.read.parquet(path)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
+
+
 def list_tables(spark: SparkSession, database: str = "default") -> DataFrame:
     """``SHOW TABLES IN database`` as a DataFrame."""
     return spark.sql(f"SHOW TABLES IN `{database}`")
