@@ -77,3 +77,39 @@ def test_watermark_drops_late_rows(spark, tmp_dir):
     res = {(r.window_start.hour, r.window_start.minute): r.avg_magnitude
            for r in latest_version(spark, out).collect()}
     assert res[(0, 0)] == 3.0  # the late 100.0 came after the watermark passed 04:00
+
+
+def test_pair_join_state_is_bounded(spark, tmp_dir):
+    """Six time-ordered files, one per batch: with the watermark the pair
+    join's state must stay near a couple of days of events, not grow with
+    the whole input."""
+    import time as _t
+
+    from temblor.operators import proximity_pairs
+    from temblor.plans import driver
+    from temblor.plans.streams import EVENTS_SCHEMA
+
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    src = os.path.join(tmp_dir, "ev")
+    days = [("2024-01-01", "2024-01-06"), ("2024-01-06", "2024-01-11"),
+            ("2024-01-11", "2024-01-16"), ("2024-01-16", "2024-01-21"),
+            ("2024-01-21", "2024-01-26"), ("2024-01-26", "2024-02-01")]
+    for i, (lo, hi) in enumerate(days):
+        part = ev.filter((F.col("ts") >= F.lit(lo).cast("timestamp_ntz"))
+                         & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")))
+        part.coalesce(1).write.parquet(os.path.join(src, f"p{i}"))
+        _t.sleep(1.1)  # distinct modification times keep the file order
+    stream = (spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", True).parquet(src))
+    q = driver.quakes_from_events(stream).withColumn("event_ts", F.col("time").cast("timestamp"))
+    pairs = proximity_pairs(q, length="1 day", watermark="1 day", event_time="event_ts")
+    query = (pairs.writeStream.format("noop")
+             .option("checkpointLocation", os.path.join(tmp_dir, "ck"))
+             .trigger(availableNow=True).start())
+    query.awaitTermination(300)
+    totals = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress
+              if p.get("stateOperators")]
+    n = ev.count()
+    print("state rows per batch:", totals, "events:", n)
+    assert totals and max(totals) < 0.5 * 6 * n  # unbounded would reach 6 rows per event
+    assert totals[-1] < 0.25 * 6 * n
