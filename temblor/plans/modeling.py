@@ -9,14 +9,12 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timefn import ts_to_epoch_ms
 from ..model import forest as m
 from ..session import scratch_path
 from ..sources.feed import publish_json
-from ..streaming.runner import run_available
 from ..streaming.scoring import (alert_messages, prepare_scoring_input, score,
                                  scoring_batch)
 from . import driver
