@@ -51,6 +51,11 @@ def test_upsert_replay_is_idempotent(spark, tmp_dir):
     fn(b2, 1)  # the same epoch replayed after a crash before commit
     rows = sorted((r.k, r.v) for r in latest_version(spark, out).collect())
     assert rows == [(1, 1.0), (2, 5.0), (3, 3.0)]
+    for e in range(2, 6):
+        fn(spark.createDataFrame([(e, float(e))], "k int, v double"), e)
+    kept = sorted(d for d in os.listdir(out) if d.startswith("v="))
+    assert kept == ["v=3", "v=4", "v=5"]
+    assert latest_version(spark, out).count() == 5  # keys 1..5, 2 and 3 replaced
 
 
 def test_restart_on_same_checkpoint(spark, tmp_dir):
