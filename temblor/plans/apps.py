@@ -26,7 +26,7 @@ from ..sources.feed import decode
 from ..sources.files import land_raw, list_tables, preview
 from ..sources.sinks import write_curated
 from ..streaming.runner import start_append, start_upsert
-from ..streaming.scoring import (prepare_scoring_input, score, scoring_batch)
+from ..streaming.scoring import prepare_scoring_input, scoring_batch
 from . import seismic
 
 log = logging.getLogger("temblor")
@@ -125,12 +125,13 @@ def run_training(spark: SparkSession, cleaned: DataFrame, model_path: str,
 # --------------------------------------------------------------------- scoring
 def start_scoring(spark: SparkSession, messages: DataFrame, model_path: str, out_root: str,
                   checkpoint: str, trigger: str | None = "30 seconds") -> StreamingQuery:
-    """Score the live stream; predictions and rendered alerts go to tables."""
+    """Score the live stream; predictions, rendered alerts and rows the model
+    could not use go to tables."""
     model = forest.load(model_path)
-    scored = score(model, prepare_scoring_input(messages))
-    return (scored.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-            .foreachBatch(scoring_batch(f"{out_root}/realtimePredictions",
-                                        f"{out_root}/alerts"))
+    rows = prepare_scoring_input(messages)
+    return (rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+            .foreachBatch(scoring_batch(model, f"{out_root}/realtimePredictions",
+                                        f"{out_root}/alerts", f"{out_root}/skipped"))
             .trigger(processingTime=trigger).start())
 
 

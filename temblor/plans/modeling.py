@@ -80,12 +80,12 @@ def stream_scored_events(spark, sf_dir):
                                  F.lit(None).cast("string").alias("place"),
                                  ts_to_epoch_ms("time", ntz=True).cast("double").alias("time"),
                                  "gap", "latitude", "longitude", "depth"))
-    scored = score(model, prepare_scoring_input(msgs))
+    rows = prepare_scoring_input(msgs)
     root = scratch_path(spark, "streams", "scoring")
     pred_path, alert_path = f"{root}/predictions", f"{root}/alerts"
-    query = (scored.writeStream.outputMode("append")
+    query = (rows.writeStream.outputMode("append")
              .option("checkpointLocation", f"{root}/_checkpoint")
-             .foreachBatch(scoring_batch(pred_path, alert_path))
+             .foreachBatch(scoring_batch(model, pred_path, alert_path, f"{root}/skipped"))
              .trigger(availableNow=True).start())
     query.awaitTermination(900)
     if query.exception():

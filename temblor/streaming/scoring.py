@@ -69,20 +69,30 @@ def alert_messages(scored: DataFrame) -> DataFrame:
                     subject.alias("subject"), body.alias("body"))
 
 
-def scoring_batch(predictions_path: str, alerts_path: str, skipped_path: str | None = None):
-    """``foreachBatch`` fan-out: store predictions and alerts (one computation,
-    persisted for the two writes). Write errors raise, so the epoch is
-    replayed from the checkpoint instead of being dropped."""
+def scoring_batch(model: PipelineModel, predictions_path: str, alerts_path: str,
+                  skipped_path: str | None = None, threshold: float = ALERT_THRESHOLD):
+    """``foreachBatch`` fan-out over one input micro-batch: score it, store
+    predictions and rendered alerts, and route rows the model cannot use (a
+    null feature) to ``skipped_path`` instead of dropping them silently.
+
+    The input batch is persisted once for all writes. Every write replaces
+    only this epoch's partition, so a replayed epoch overwrites instead of
+    duplicating; write errors raise, so the epoch is replayed from the
+    checkpoint rather than lost."""
+    def _write(df: DataFrame, path: str, epoch_id: int) -> None:
+        (df.withColumn("epoch_id", F.lit(epoch_id).cast("long"))
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("epoch_id").parquet(path))
+
     def _fn(batch: DataFrame, epoch_id: int) -> None:
         b = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            tagged = b.withColumn("epoch_id", F.lit(epoch_id).cast("long"))
-            # Overwrite this epoch's partition only: a replay replaces, never duplicates.
-            (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("epoch_id").parquet(predictions_path))
-            (alert_messages(b).withColumn("epoch_id", F.lit(epoch_id).cast("long"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("epoch_id").parquet(alerts_path))
+            scored = score(model, b, threshold).persist(StorageLevel.MEMORY_AND_DISK)
+            _write(scored, predictions_path, epoch_id)
+            _write(alert_messages(scored), alerts_path, epoch_id)
+            if skipped_path:
+                _write(skipped_rows(b), skipped_path, epoch_id)
+            scored.unpersist()
         finally:
             b.unpersist()
     return _fn

@@ -36,3 +36,26 @@ def test_gate_drops_bad_rows(spark):
                                         ["source_depth_km", "source_gap_deg", "source_latitude",
                                          "source_longitude", "source_magnitude"]))
     assert prepare(df).count() == 1
+
+
+def test_scoring_batch_routes_skipped_rows(spark, tmp_dir):
+    import json
+    import os
+
+    from temblor.streaming import prepare_scoring_input, scoring_batch
+    rows = modeling.training_rows(spark, SF)
+    model = train(prepare(rows), num_trees=3, max_depth=3)
+    msgs = spark.createDataFrame([
+        (json.dumps({"id": "a", "magnitude": 3.0, "time": 1.7e12, "gap": 10.0, "latitude": 1.0,
+                     "longitude": 2.0, "depth": 5.0}),),
+        (json.dumps({"id": "b", "magnitude": 3.0, "time": 1.7e12, "gap": None, "latitude": 1.0,
+                     "longitude": 2.0, "depth": 5.0}),)], "value string")
+    fn = scoring_batch(model, os.path.join(tmp_dir, "p"), os.path.join(tmp_dir, "a"),
+                       os.path.join(tmp_dir, "s"), threshold=0.0)
+    batch = prepare_scoring_input(msgs)
+    fn(batch, 7)
+    fn(batch, 7)  # replayed epoch: replaced, not duplicated
+    preds = spark.read.parquet(os.path.join(tmp_dir, "p"))
+    assert [r.id for r in preds.collect()] == ["a"]
+    assert [r.id for r in spark.read.parquet(os.path.join(tmp_dir, "s")).collect()] == ["b"]
+    assert spark.read.parquet(os.path.join(tmp_dir, "a")).count() == 1
