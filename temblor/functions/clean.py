@@ -23,9 +23,9 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def nan_to_null(col) -> Column:
-    c = _c(col)
-    return F.when(~F.isnan(c), c)
+def nan_to_null(col, to: str = "double") -> Column:
+    """NaN -> null for a float/double column (``nanvl``: one evaluation)."""
+    return F.nanvl(_c(col), F.lit(None).cast(to))
 
 
 def clean_numeric(col, to: str = "float", sentinels=SENTINELS) -> Column:
@@ -33,7 +33,7 @@ def clean_numeric(col, to: str = "float", sentinels=SENTINELS) -> Column:
     c = _c(col)
     text = F.trim(c.cast("string"))
     parsed = F.when(~text.isin(*sentinels), text.try_cast(to))
-    return nan_to_null(parsed)
+    return nan_to_null(parsed, to)
 
 
 def strip_brackets(col) -> Column:
@@ -43,7 +43,7 @@ def strip_brackets(col) -> Column:
 
 def bracketed_number(col, to: str = "float") -> Column:
     """``[[555.6]]`` -> 555.6 (null when not a number)."""
-    return nan_to_null(strip_brackets(col).try_cast(to))
+    return nan_to_null(strip_brackets(col).try_cast(to), to)
 
 
 def normalise_trailing_dot(col) -> Column:
@@ -53,7 +53,7 @@ def normalise_trailing_dot(col) -> Column:
 
 def to_float(col, to: str = "float") -> Column:
     """Null-safe normalise-and-cast used for the cleaned table's numeric columns."""
-    return nan_to_null(normalise_trailing_dot(col).try_cast(to))
+    return nan_to_null(normalise_trailing_dot(col).try_cast(to), to)
 
 
 def gated_cast(col, pattern: str = SIGNED_NUMBER, to: str = "float") -> Column:
@@ -65,7 +65,7 @@ def gated_cast(col, pattern: str = SIGNED_NUMBER, to: str = "float") -> Column:
 def split_triplet(col, names=("strike", "dip", "rake"), to: str = "float") -> list[Column]:
     """``[[ 67.0 34.6 56.7 ]]`` -> three numbers (trim first, then split on blanks)."""
     parts = F.split(strip_brackets(col), r"\s+")
-    return [nan_to_null(F.get(parts, i).try_cast(to)).alias(n) for i, n in enumerate(names)]
+    return [nan_to_null(F.get(parts, i).try_cast(to), to).alias(n) for i, n in enumerate(names)]
 
 
 def with_clean_columns(df: DataFrame, cols, fn=to_float, **kw) -> DataFrame:
