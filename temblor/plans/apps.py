@@ -96,6 +96,13 @@ def start_metrics(messages: DataFrame, out_root: str, checkpoint_root: str,
         started.append(start_upsert(df, f"{out_root}/{name}", ["window_start"],
                                     f"{checkpoint_root}/{name}", mode="update",
                                     trigger=trigger, name=name))
+    if not names or "feedStatus" in names:
+        # one row, complete mode: the store is replaced by each batch's result
+        status = events_from_messages(messages, None).agg(
+            F.count(F.lit(1)).alias("total_events"), F.max("time").alias("last_update"))
+        started.append(start_upsert(status, f"{out_root}/feedStatus", [],
+                                    f"{checkpoint_root}/feedStatus", mode="complete",
+                                    trigger=trigger, name="feedStatus"))
     if not names or "closePairs" in names:
         raw = events_from_messages(messages, None)
         pairs = proximity_pairs(raw, length=pairs_window, watermark=watermark or "2 hours")

@@ -52,7 +52,8 @@ def test_metrics_stream_app(spark, tmp_dir):
     msgs = spark.readStream.format("text").load(src)
     qs = apps.start_metrics(msgs, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"),
                             trigger=None, watermark=None,
-                            names=["avgMagnitude", "numberOfEarthquakesNearLA", "closePairs"])
+                            names=["avgMagnitude", "numberOfEarthquakesNearLA", "closePairs",
+                                   "feedStatus"])
     for q in qs:
         q.processAllAvailable()
         q.stop()
@@ -61,6 +62,8 @@ def test_metrics_stream_app(spark, tmp_dir):
     assert avg == {0: 3.75, 30: 1.0}
     near = latest_version(spark, os.path.join(tmp_dir, "out", "numberOfEarthquakesNearLA"))
     assert near.agg(F.sum("count")).first()[0] == 3
+    status = latest_version(spark, os.path.join(tmp_dir, "out", "feedStatus")).collect()
+    assert len(status) == 1 and status[0].total_events == 3
     pairs = spark.read.parquet(os.path.join(tmp_dir, "out", "closePairs"))
     assert {(r.id, r.previous_id) for r in pairs.collect()} == {("0", "2"), ("1", "2"), ("1", "0")}
 

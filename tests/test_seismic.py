@@ -101,3 +101,12 @@ def test_q10_bands(cleaned):
     assert "e8" not in out
     assert out["e9"].distance_km == 0.0 and out["e9"].distance_category == "Near"
     assert out["e1"].distance_category == "Medium"  # ~54.8 km
+
+
+def test_dedup_and_previous(cleaned):
+    from temblor.operators import with_previous
+    doubled = cleaned.unionByName(cleaned)
+    assert seismic.dedup_events(doubled).count() == cleaned.count()
+    per_year = seismic.magnitude_with_distance(cleaned)
+    out = with_previous(per_year, "avg_magnitude", "year", change_name="chg").collect()
+    assert out[0].prev_avg_magnitude is None and out[0].chg is None
