@@ -25,7 +25,7 @@ from __future__ import annotations
 import json
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,17 +160,23 @@ def rank_in_group(df: DataFrame, order, by=(), rank_name: str = "__rank",
     key_names = [f"__k{i}" for i in range(len(parts))]
     keyed = df.withColumns(dict(zip(key_names, parts)))
 
-    n = keyed.count()
+    # One pass counts the rows (observed metric) and draws the sample. The
+    # fraction needs no row count: ranges = n / rows_per_range, so
+    # SAMPLE_PER_RANGE rows per range is a fixed fraction. When n is so
+    # large that ranges hit max_ranges, a seeded random top-k caps the
+    # sample that reaches the driver.
+    frac = min(1.0, SAMPLE_PER_RANGE / max(1, rows_per_range))
+    cap = max_ranges * SAMPLE_PER_RANGE
+    obs = Observation(f"rows_{seed}_{id(keyed)}")
+    drawn = (keyed.select(*key_names).observe(obs, F.count(F.lit(1)).alias("n"))
+             .sample(False, frac, seed).orderBy(F.rand(seed)).limit(cap).collect())
+    n = obs.get["n"]
     ranges = max(1, min(max_ranges, math.ceil(n / max(1, rows_per_range))))
     cuts: list[tuple] = []
-    if ranges > 1:
-        want = ranges * SAMPLE_PER_RANGE
-        frac = min(1.0, want / n)
-        sample = sorted(tuple(r) for r in
-                        keyed.select(*key_names).sample(False, frac, seed).collect())
-        if sample:
-            picks = [sample[(i * len(sample)) // ranges] for i in range(1, ranges)]
-            cuts = sorted(set(picks))
+    if ranges > 1 and drawn:
+        sample = sorted(tuple(r) for r in drawn)
+        picks = [sample[(i * len(sample)) // ranges] for i in range(1, ranges)]
+        cuts = sorted(set(picks))
     ranged = _assign_range(keyed, key_names, cuts, "__range").drop(*key_names)
 
     grp = by + ["__range"]
