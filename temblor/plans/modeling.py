@@ -30,7 +30,13 @@ def training_rows(spark, sf_dir):
 
 
 def _model_path(spark, sf_dir):
-    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+    """One model per input: keyed by the events file's path, size and time."""
+    src = f"{sf_dir}/events.parquet"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(src)
+    st = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path)
+    ident = f"{src}|{st.getLen()}|{st.getModificationTime()}"
+    tag = hashlib.sha1(ident.encode()).hexdigest()[:16]
     return scratch_path(spark, "models", f"magnitude-{tag}", unique=False)
 
 
