@@ -85,7 +85,8 @@ def metric_streams(events: DataFrame) -> dict[str, DataFrame]:
 def start_metrics(messages: DataFrame, out_root: str, checkpoint_root: str,
                   trigger: str | None = "60 seconds", watermark: str | None = "2 hours",
                   pairs_window: str = "60 minutes",
-                  names: list[str] | None = None) -> list[StreamingQuery]:
+                  names: list[str] | None = None,
+                  store: str = "versioned") -> list[StreamingQuery]:
     """Start every metric on one source (each its own query, checkpoint and
     exactly-once upsert store) plus the close-pairs alert stream (append)."""
     events = events_from_messages(messages, watermark)
@@ -95,7 +96,7 @@ def start_metrics(messages: DataFrame, out_root: str, checkpoint_root: str,
             continue
         started.append(start_upsert(df, f"{out_root}/{name}", ["window_start"],
                                     f"{checkpoint_root}/{name}", mode="update",
-                                    trigger=trigger, name=name))
+                                    trigger=trigger, name=name, store=store))
     if not names or "feedStatus" in names:
         # one row, complete mode: the store is replaced by each batch's result
         status = events_from_messages(messages, None).agg(

@@ -3,6 +3,7 @@
 from .feed import decode, flatten_geojson, publish_json, to_feature_collections
 from .files import (land_raw, list_tables, preview, raw_history, read_parquet,
                     read_raw_csv, read_table)
-from .sinks import append_batch, counted, latest_version, upsert_batch, write_curated, write_topic
+from .sinks import (append_batch, compact_upsert_log, counted, latest_version,
+                    read_upsert_log, upsert_batch, upsert_log, write_curated, write_topic)
 
 __all__ = [n for n in dir() if not n.startswith("_")]

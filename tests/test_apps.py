@@ -75,3 +75,21 @@ def test_training_app(spark, tmp_dir):
                             max_depth=3)
     assert res["metrics"]["test_rows"] >= 0
     assert len(res["importances"]) == 4
+
+
+def test_metrics_app_log_store(spark, tmp_dir):
+    from temblor.sources import read_upsert_log
+    src = os.path.join(tmp_dir, "msgs")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as fh:
+        for i, m in enumerate([2.0, 4.0]):
+            fh.write(json.dumps({"id": str(i), "magnitude": m, "time": 1704067200000 + i}) + "\n")
+    msgs = spark.readStream.format("text").load(src)
+    qs = apps.start_metrics(msgs, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"),
+                            trigger=None, watermark=None, names=["avgMagnitude"], store="log")
+    for q in qs:
+        q.processAllAvailable()
+        q.stop()
+    rows = read_upsert_log(spark, os.path.join(tmp_dir, "out", "avgMagnitude"),
+                           ["window_start"]).collect()
+    assert [r.avg_magnitude for r in rows] == [3.0]

@@ -118,3 +118,18 @@ def test_pair_join_state_is_bounded(spark, tmp_dir):
     print("state rows per batch:", totals, "events:", n)
     assert totals and max(totals) < 0.5 * 6 * n  # unbounded would reach 6 rows per event
     assert totals[-1] < 0.25 * 6 * n
+
+
+def test_upsert_log_merge_on_read(spark, tmp_dir):
+    from temblor.sources import compact_upsert_log, read_upsert_log, upsert_log
+    root = os.path.join(tmp_dir, "log")
+    fn = upsert_log(root)
+    fn(spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double"), 0)
+    fn(spark.createDataFrame([(2, 5.0), (3, 3.0)], "k int, v double"), 1)
+    fn(spark.createDataFrame([(2, 5.0), (3, 3.0)], "k int, v double"), 1)  # replay
+    got = sorted((r.k, r.v) for r in read_upsert_log(spark, root, ["k"]).collect())
+    assert got == [(1, 1.0), (2, 5.0), (3, 3.0)]
+    assert spark.read.parquet(root).count() == 4  # the replay replaced epoch 1
+    compact_upsert_log(spark, root, ["k"], os.path.join(tmp_dir, "log2"))
+    again = sorted((r.k, r.v) for r in read_upsert_log(spark, os.path.join(tmp_dir, "log2"), ["k"]).collect())
+    assert again == got
