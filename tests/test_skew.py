@@ -52,3 +52,18 @@ def test_sigma_materialized_input_same_result(spark):
     b = sigma_label(df, "v", by=["g"], mean_name="m", std_name="s", materialize=True)
     cols = ["id", "g", "v", "m", "s", "category"]
     assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
+
+
+def test_latest_n_matches_plain_top_k(spark):
+    import datetime as dt
+
+    from temblor.operators import latest_n
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, None if i % 17 == 0 else base + dt.timedelta(seconds=(i * 7919) % 500))
+            for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, t timestamp_ntz")
+    for n in (1, 5, 37, 1999, 2500):
+        got = [r.id for r in latest_n(df, "t", "id", n).collect()]
+        exp = [r.id for r in df.orderBy(F.col("t").desc_nulls_last(),
+                                        F.col("id").desc_nulls_last()).limit(n).collect()]
+        assert sorted(got) == sorted(exp), n
