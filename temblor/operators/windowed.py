@@ -24,9 +24,18 @@ def flatten_window(df: DataFrame, start: str = "window_start",
     return df.select(F.col("window.start").alias(start), F.col("window.end").alias(end), *rest)
 
 
+def exact_avg(value, scale: int) -> Column:
+    """Mean of a column whose values have at most ``scale`` decimals: the sum
+    is exact (decimal), then one double division. Any engine doing the same
+    returns the identical double, so no rounding is needed to compare."""
+    total = F.sum(F.col(value).cast(f"decimal(18,{scale})")).cast("double")
+    return total / F.count(value)
+
+
 def window_avg(df, time="time", value="magnitude", length="30 minutes",
-               name="avg_magnitude", **kw) -> DataFrame:
-    return windowed(df, time, length, [F.avg(value).alias(name)], **kw)
+               name="avg_magnitude", exact_scale: int | None = None, **kw) -> DataFrame:
+    agg = exact_avg(value, exact_scale) if exact_scale is not None else F.avg(value)
+    return windowed(df, time, length, [agg.alias(name)], **kw)
 
 
 def window_energy(df, time="time", magnitude="magnitude", length="30 minutes",

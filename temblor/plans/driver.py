@@ -328,9 +328,13 @@ FROM d"""
 
 
 # --------------------------------------------------------------- S0-S6 (static)
+# Magnitudes here are value / 50 with value in cents: at most 4 decimals.
+MAGNITUDE_SCALE = 4
+
+
 def window_avg_q(spark, sf_dir):
-    out = flatten_window(window_avg(quakes_view(spark, sf_dir)))
-    return out.select("window_start", "window_end", _r("avg_magnitude").alias("avg_magnitude"))
+    out = flatten_window(window_avg(quakes_view(spark, sf_dir), exact_scale=MAGNITUDE_SCALE))
+    return out.select("window_start", "window_end", "avg_magnitude")
 
 
 def _bucket_sql(minutes, body, extra_where=""):
@@ -342,7 +346,9 @@ SELECT time_bucket(INTERVAL '{minutes} minutes', time) AS window_start,
 FROM quakes {extra_where} GROUP BY 1, 2"""
 
 
-S1_SQL = _bucket_sql(30, "round(avg(magnitude), 6) AS avg_magnitude")
+EXACT_AVG_MAG_SQL = ("CAST(sum(CAST(magnitude AS DECIMAL(18,4))) AS DOUBLE) / count(magnitude)"
+                     " AS avg_magnitude")
+S1_SQL = _bucket_sql(30, EXACT_AVG_MAG_SQL)
 
 
 def window_count_gt(spark, sf_dir):
