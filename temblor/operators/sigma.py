@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import sigma_flag
 from .joins import DEFAULT_BROADCAST_ROWS, attach_global, join_small
+from .windowed import exact_avg
 
 
 def sigma_label(df: DataFrame, value: str, by=None, k: float = 2.0,
@@ -14,7 +15,7 @@ def sigma_label(df: DataFrame, value: str, by=None, k: float = 2.0,
                 label_name: str = "category", high: str = "Anomalous",
                 normal: str = "Normal",
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                materialize: bool = False) -> DataFrame:
+                materialize: bool = False, mean_scale: int | None = None) -> DataFrame:
     """Label rows whose ``value`` exceeds mean + k*sigma (of the group or of all).
 
     Statistics come from a partial+final aggregation (never an unordered
@@ -29,7 +30,8 @@ def sigma_label(df: DataFrame, value: str, by=None, k: float = 2.0,
     """
     if materialize:
         df = df.checkpoint(eager=True)
-    stats_aggs = [F.avg(value).alias(mean_name), F.stddev_samp(value).alias(std_name)]
+    mean = exact_avg(value, mean_scale) if mean_scale is not None else F.avg(value)
+    stats_aggs = [mean.alias(mean_name), F.stddev_samp(value).alias(std_name)]
     if not by:
         out = attach_global(df, df.agg(*stats_aggs))
     else:

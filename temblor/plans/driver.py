@@ -26,6 +26,7 @@ from ..operators.sigma import sigma_label
 from ..operators.topk import latest_n, top_per_group
 from ..operators.trend import period_change
 from ..operators.weighted import weighted_avg
+from ..operators.windowed import exact_avg
 from ..operators.windowed import (NEAR_POINT_LAT, NEAR_POINT_LON, feed_status,
                                   flatten_window, window_avg, window_avg_nst,
                                   window_count_above, window_energy,
@@ -132,24 +133,24 @@ def quarterly_trend(spark, sf_dir):
     kept = o.filter((F.col("o_orderdate") >= cutoff_date(AS_OF_10Y, 10 * 365))
                     & F.col("o_totalprice").isNotNull())
     out = period_change(kept, quarter_label("o_orderdate"),
-                        {"avg_totalprice": F.avg("o_totalprice")}, "avg_totalprice",
+                        {"avg_totalprice": exact_avg("o_totalprice", 2)}, "avg_totalprice",
                         by=["o_orderpriority"], period_name="quarter",
                         prev_name="prev_quarter_avg", change_name="change_from_prev_quarter")
-    return out.select("quarter", "o_orderpriority", _r("avg_totalprice", 4).alias("avg_totalprice"),
-                      _r("prev_quarter_avg", 4).alias("prev_quarter_avg"),
-                      _r("change_from_prev_quarter", 4).alias("change_from_prev_quarter"))
+    return out.select("quarter", "o_orderpriority", "avg_totalprice", "prev_quarter_avg",
+                      "change_from_prev_quarter")
 
 
 Q2_SQL = """
 WITH g AS (
   SELECT CAST(year(o_orderdate) AS VARCHAR) || '-Q' || CAST(quarter(o_orderdate) AS VARCHAR) AS quarter,
-         o_orderpriority, avg(o_totalprice) AS a
+         o_orderpriority,
+         CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice) AS a
   FROM orders
   WHERE o_orderdate >= DATE '2006-01-01' - 3650 AND o_totalprice IS NOT NULL
   GROUP BY 1, 2),
 l AS (SELECT *, lag(a) OVER (PARTITION BY o_orderpriority ORDER BY quarter) AS p FROM g)
-SELECT quarter, o_orderpriority, round(a, 4) AS avg_totalprice, round(p, 4) AS prev_quarter_avg,
-       round(a - p, 4) AS change_from_prev_quarter
+SELECT quarter, o_orderpriority, a AS avg_totalprice, p AS prev_quarter_avg,
+       a - p AS change_from_prev_quarter
 FROM l"""
 
 
@@ -158,14 +159,15 @@ def sigma_label_global(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("event_id", "value").filter(
         F.col("value").isNotNull())
     out = sigma_label(ev, "value", mean_name="avg_value", std_name="std_dev_value",
-                      label_name="value_category")
-    return out.select("event_id", "value", _r("avg_value").alias("avg_value"),
+                      label_name="value_category", mean_scale=2)
+    return out.select("event_id", "value", "avg_value",
                       _r("std_dev_value").alias("std_dev_value"), "value_category")
 
 
 Q3_SQL = """
-WITH s AS (SELECT avg(value) AS m, stddev_samp(value) AS sd FROM events WHERE value IS NOT NULL)
-SELECT e.event_id, e.value, round(s.m, 6) AS avg_value, round(s.sd, 6) AS std_dev_value,
+WITH s AS (SELECT CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(value) AS m,
+                  stddev_samp(value) AS sd FROM events WHERE value IS NOT NULL)
+SELECT e.event_id, e.value, s.m AS avg_value, round(s.sd, 6) AS std_dev_value,
        CASE WHEN e.value > s.m + 2 * s.sd THEN 'Anomalous' ELSE 'Normal' END AS value_category
 FROM events e CROSS JOIN s WHERE e.value IS NOT NULL"""
 
@@ -174,7 +176,7 @@ FROM events e CROSS JOIN s WHERE e.value IS NOT NULL"""
 def ntile_profile_by_group(spark, sf_dir):
     c = table(spark, sf_dir, "customer").filter(F.col("c_acctbal").isNotNull())
     out = ntile_profile(c, 3, ["c_acctbal", "c_custkey"],
-                        {"avg_acctbal": F.round(F.avg("c_acctbal"), 4),
+                        {"avg_acctbal": exact_avg("c_acctbal", 2),
                          "min_acctbal": F.min("c_acctbal"), "max_acctbal": F.max("c_acctbal")},
                         by=["c_nationkey"], tile_name="acctbal_tile",
                         rows_per_range=NTILE_ROWS_PER_RANGE)
@@ -190,7 +192,8 @@ WITH t AS (
                         ORDER BY c_acctbal NULLS FIRST, c_custkey NULLS FIRST) AS tile
   FROM customer WHERE c_acctbal IS NOT NULL)
 SELECT CAST(c_nationkey AS BIGINT) AS c_nationkey, CAST(tile AS BIGINT) AS acctbal_tile,
-       round(avg(c_acctbal), 4) AS avg_acctbal, min(c_acctbal) AS min_acctbal,
+       CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(c_acctbal) AS avg_acctbal,
+       min(c_acctbal) AS min_acctbal,
        max(c_acctbal) AS max_acctbal
 FROM t GROUP BY 1, 2"""
 
@@ -208,13 +211,13 @@ def _ship_delay(spark, sf_dir):
 def yearly_lag_change(spark, sf_dir):
     j = _ship_delay(spark, sf_dir)
     out = period_change(j, F.year("o_orderdate"),
-                        {"avg_ship_delay": F.avg("delay"), "max_ship_delay": F.max("delay")},
+                        {"avg_ship_delay": exact_avg("delay", 0), "max_ship_delay": F.max("delay")},
                         "avg_ship_delay", period_name="year",
                         change_name="change_from_prev_year")
     return out.select(F.col("year").cast("long").alias("year"),
-                      _r("avg_ship_delay").alias("avg_ship_delay"),
+                      "avg_ship_delay",
                       F.col("max_ship_delay").cast("long").alias("max_ship_delay"),
-                      _r("change_from_prev_year").alias("change_from_prev_year"))
+                      "change_from_prev_year")
 
 
 Q5_SQL = """
@@ -222,9 +225,10 @@ WITH j AS (
   SELECT year(o.o_orderdate) AS y, datediff('day', o.o_orderdate, l.l_shipdate) AS d
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   WHERE l.l_shipdate IS NOT NULL AND o.o_orderdate IS NOT NULL),
-g AS (SELECT y, avg(d) AS a, max(d) AS mx FROM j GROUP BY y)
-SELECT CAST(y AS BIGINT) AS year, round(a, 6) AS avg_ship_delay, CAST(mx AS BIGINT) AS max_ship_delay,
-       round(a - lag(a) OVER (ORDER BY y), 6) AS change_from_prev_year
+g AS (SELECT y, CAST(sum(CAST(d AS DECIMAL(18,0))) AS DOUBLE) / count(d) AS a, max(d) AS mx
+      FROM j GROUP BY y)
+SELECT CAST(y AS BIGINT) AS year, a AS avg_ship_delay, CAST(mx AS BIGINT) AS max_ship_delay,
+       a - lag(a) OVER (ORDER BY y) AS change_from_prev_year
 FROM g"""
 
 
@@ -236,9 +240,9 @@ def _station_km():
 def distance_weighted_avg(spark, sf_dir):
     q = (quakes_view(spark, sf_dir).withColumn("station_km", _station_km())
          .withColumn("day", F.window("time", "1 day").start))
-    out = weighted_avg(q, "magnitude", "station_km", ["day"])
+    out = weighted_avg(q, "magnitude", "station_km", ["day"], value_scale=MAGNITUDE_SCALE)
     return out.select("day", _r("avg_weighted_magnitude").alias("avg_weighted_magnitude"),
-                      _r("avg_magnitude").alias("avg_magnitude"))
+                      "avg_magnitude")
 
 
 Q6_SQL = f"""
@@ -246,7 +250,7 @@ WITH {QUAKES_SQL},
 d AS (SELECT time_bucket(INTERVAL '1 day', time) AS day, magnitude, {_hav_sql('latitude', 'longitude', 'rlat', 'rlon')} AS km
       FROM quakes)
 SELECT day, round(avg(magnitude / (1 + km)), 6) AS avg_weighted_magnitude,
-       round(avg(magnitude), 6) AS avg_magnitude
+       CAST(sum(CAST(magnitude AS DECIMAL(18,4))) AS DOUBLE) / count(magnitude) AS avg_magnitude
 FROM d WHERE magnitude IS NOT NULL AND km IS NOT NULL GROUP BY day"""
 
 
@@ -254,7 +258,7 @@ FROM d WHERE magnitude IS NOT NULL AND km IS NOT NULL GROUP BY day"""
 def ntile_profile_global(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     out = ntile_profile(o, 10, ["o_totalprice", "o_orderkey"],
-                        {"avg_totalprice": F.round(F.avg("o_totalprice"), 4),
+                        {"avg_totalprice": exact_avg("o_totalprice", 2),
                          "row_count": F.count(F.lit(1))},
                         tile_name="price_decile", rows_per_range=NTILE_ROWS_PER_RANGE)
     return out.select(F.col("price_decile").cast("long").alias("price_decile"),
@@ -265,7 +269,8 @@ Q7_SQL = """
 WITH t AS (SELECT o_totalprice,
                   ntile(10) OVER (ORDER BY o_totalprice NULLS FIRST, o_orderkey NULLS FIRST) AS tile
            FROM orders)
-SELECT CAST(tile AS BIGINT) AS price_decile, round(avg(o_totalprice), 4) AS avg_totalprice,
+SELECT CAST(tile AS BIGINT) AS price_decile,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice) AS avg_totalprice,
        count(*) AS row_count
 FROM t GROUP BY 1"""
 
@@ -289,8 +294,8 @@ FROM g"""
 def sigma_label_by_group(spark, sf_dir):
     j = _ship_delay(spark, sf_dir).select("l_returnflag", "l_orderkey", "delay")
     out = sigma_label(j, "delay", by=["l_returnflag"], mean_name="avg_delay",
-                      std_name="std_dev_delay", label_name="delay_status")
-    return out.select("l_returnflag", "l_orderkey", "delay", _r("avg_delay").alias("avg_delay"),
+                      std_name="std_dev_delay", label_name="delay_status", mean_scale=0)
+    return out.select("l_returnflag", "l_orderkey", "delay", "avg_delay",
                       _r("std_dev_delay").alias("std_dev_delay"), "delay_status")
 
 
@@ -300,8 +305,9 @@ WITH j AS (
          CAST(datediff('day', o.o_orderdate, l.l_shipdate) AS BIGINT) AS delay
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   WHERE l.l_shipdate IS NOT NULL AND o.o_orderdate IS NOT NULL),
-s AS (SELECT l_returnflag, avg(delay) AS m, stddev_samp(delay) AS sd FROM j GROUP BY 1)
-SELECT j.l_returnflag, j.l_orderkey, j.delay, round(s.m, 6) AS avg_delay,
+s AS (SELECT l_returnflag, CAST(sum(CAST(delay AS DECIMAL(18,0))) AS DOUBLE) / count(delay) AS m,
+             stddev_samp(delay) AS sd FROM j GROUP BY 1)
+SELECT j.l_returnflag, j.l_orderkey, j.delay, s.m AS avg_delay,
        round(s.sd, 6) AS std_dev_delay,
        CASE WHEN j.delay > s.m + 2 * s.sd THEN 'Anomalous' ELSE 'Normal' END AS delay_status
 FROM j JOIN s ON j.l_returnflag IS NOT DISTINCT FROM s.l_returnflag"""
