@@ -71,3 +71,18 @@ def test_counted_rides_along(spark, tmp_dir):
     df, obs = counted(spark.range(42), "n")
     df.write.mode("overwrite").parquet(os.path.join(tmp_dir, "c"))
     assert obs.get["n"] == 42
+
+
+def test_slices_are_half_open_and_cover_every_event(spark):
+    from temblor.operators import replay_counts, time_slices
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("ts")
+    out = replay_counts(ev, time_slices(ev, "ts", 15), "ts", 15).orderBy("slice_start").collect()
+    assert sum(r.num_events for r in out) == ev.count()
+    assert all(a.slice_end == b.slice_start for a, b in zip(out, out[1:]))
+    assert out[0].slice_start.minute == 0 and out[0].slice_start.second == 0
+
+
+def test_publish_json_with_key(spark):
+    df = spark.createDataFrame([(7, "x")], "id long, place string")
+    row = publish_json(df, key="id").first()
+    assert row.key == "7" and json.loads(row.value) == {"id": 7, "place": "x"}
