@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, packing
+from . import bpe, licenses, packing, quality, urls
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
+    "op2_license_scan": licenses.op2_license_scan,
+    "op4_url_filter": urls.op4_url_filter,
     "op8_pack": packing.op8_pack,
+    "op9_quality": quality.op9_quality,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {**licenses.ORACLE_SQL, **urls.ORACLE_SQL, **quality.ORACLE_SQL}
