@@ -6,7 +6,9 @@ disk: lineage is cut by writing a table below ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +22,18 @@ WORD_RE = r"[^\x20\x09-\x0D]+"
 # Arrow batches are cut by bytes as well as rows, so very long texts cannot
 # pile up in one Python worker.
 BATCH_BYTES = 8 << 20
+ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def bounded_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
-    """Limit the bytes of one Arrow batch."""
+    """Limit the bytes of one Arrow batch, and let Python workers that see the
+    driver's folders import this package (elsewhere it is shipped to them, as
+    any library, with ``--py-files``)."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(limit))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import bpe, licenses, packing, quality, urls
+from . import bpe, langid, licenses, ngram_join, packing, quality, secrets, urls
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_license_scan": licenses.op2_license_scan,
+    "op3_ngram_join": ngram_join.op3_ngram_join,
     "op4_url_filter": urls.op4_url_filter,
+    "op5_secret_scan": secrets.op5_secret_scan,
+    "op7_language": langid.op7_language,
     "op8_pack": packing.op8_pack,
     "op9_quality": quality.op9_quality,
 }
