@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, licenses, ngram_join, packing, quality, secrets, urls
+from . import bpe, langid, licenses, metric_join, ngram_join, packing, quality, secrets, urls
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_language": langid.op7_language,
     "op8_pack": packing.op8_pack,
     "op9_quality": quality.op9_quality,
+    "op10_metric_join": metric_join.op10_metric_join,
 }
 
 ORACLE_SQL = {**licenses.ORACLE_SQL, **urls.ORACLE_SQL, **quality.ORACLE_SQL}
