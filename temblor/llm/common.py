@@ -49,6 +49,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``rows`` (narrow) rows;
+    beyond that the join shuffles, and adaptive execution splits hot keys."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def crc32_mod(id_col: str, n: int) -> Column:
     """crc32 of the id's decimal text, modulo ``n``; a null id counts as ''."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % n

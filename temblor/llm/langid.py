@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import bounded_batches, crc32_mod, table
 
@@ -238,8 +239,8 @@ def identify(docs: DataFrame, known: dict[str, str], id_col: str = "doc_id",
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"),
                        *[F.col(c) for c in keep])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema
-                       if f.name != "__text")
+    schema = T.StructType([f for f in rows.schema if f.name != "__text"])
+    schema = schema.add("lang_pred", "string").add("score", "double")
 
     def judge_rows(batches):
         import pyarrow as pa
@@ -254,8 +255,7 @@ def identify(docs: DataFrame, known: dict[str, str], id_col: str = "doc_id",
                  pa.array([x for _, x in got], pa.float64())],
                 names=["__id", *b.schema.names[2:], "lang_pred", "score"])
 
-    return (rows.mapInArrow(judge_rows, f"{schema}, lang_pred string, score double")
-            .withColumnRenamed("__id", id_col))
+    return rows.mapInArrow(judge_rows, schema).withColumnRenamed("__id", id_col)
 
 
 def op7_language(spark, sf_dir):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, licenses, metric_join, ngram_join, packing, quality, secrets, urls
+import corpus_pipeline
+
+from . import bpe, langid, licenses, lm, metric_join, ngram_join, packing, quality, secrets, urls
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -10,10 +12,12 @@ QUERIES = {
     "op3_ngram_join": ngram_join.op3_ngram_join,
     "op4_url_filter": urls.op4_url_filter,
     "op5_secret_scan": secrets.op5_secret_scan,
+    "op6_lm_score": lm.op6_lm_score,
     "op7_language": langid.op7_language,
     "op8_pack": packing.op8_pack,
     "op9_quality": quality.op9_quality,
     "op10_metric_join": metric_join.op10_metric_join,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {**licenses.ORACLE_SQL, **urls.ORACLE_SQL, **quality.ORACLE_SQL}

@@ -25,8 +25,9 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import bounded_batches, table, text_of
 
@@ -328,8 +329,8 @@ def scan(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col:
     bounded_batches(spark)
     rows = docs.select(F.col(id_col).alias("__id"), text_of(text_col).alias("__text"),
                        *[F.col(c) for c in keep])
-    given = [f for f in rows.schema if f.name != "__text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given)
+    schema = T.StructType([f for f in rows.schema if f.name != "__text"]).add(
+        "spans", "array<struct<kind:string,start:bigint,end:bigint>>")
     model = (field.weights, field.moves) if field else None
 
     def scan_rows(batches):
@@ -350,9 +351,27 @@ def scan(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col:
                 [b.column(0), *b.columns[2:], pa.array(out, span)],
                 names=["__id", *b.schema.names[2:], "spans"])
 
-    found = rows.mapInArrow(
-        scan_rows, f"{schema}, spans array<struct<kind:string,start:bigint,end:bigint>>")
-    return found.withColumnRenamed("__id", id_col)
+    return rows.mapInArrow(scan_rows, schema).withColumnRenamed("__id", id_col)
+
+
+def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
+    """The text with every span (sorted by start; they may overlap) replaced."""
+    length = F.char_length(text).cast("long")
+
+    def upto(state, a, b):
+        return F.concat(state["out"], F.substring(text, (a + 1).cast("int"),
+                                                  F.greatest(b - a, F.lit(0)).cast("int")))
+
+    def step(state, s):
+        return F.struct(
+            F.when(s["start"] >= state["at"], F.concat(upto(state, state["at"], s["start"]),
+                                                       F.lit(mark)))
+            .otherwise(state["out"]).alias("out"),
+            F.greatest(state["at"], s["end"]).alias("at"))
+
+    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
+    return F.when(F.size(spans) > 0, F.aggregate(
+        spans, start, step, lambda st: upto(st, st["at"], length))).otherwise(text)
 
 
 def op5_secret_scan(spark, sf_dir):
