@@ -240,7 +240,7 @@ def identify(docs: DataFrame, known: dict[str, str], id_col: str = "doc_id",
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"),
                        *[F.col(c) for c in keep])
     schema = T.StructType([f for f in rows.schema if f.name != "__text"])
-    schema = schema.add("lang_pred", "string").add("score", "double")
+    schema = schema.add("lang_pred", T.StringType()).add("score", T.DoubleType())
 
     def judge_rows(batches):
         import pyarrow as pa

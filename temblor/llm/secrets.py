@@ -329,8 +329,10 @@ def scan(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col:
     bounded_batches(spark)
     rows = docs.select(F.col(id_col).alias("__id"), text_of(text_col).alias("__text"),
                        *[F.col(c) for c in keep])
+    span = T.StructType().add("kind", T.StringType()).add("start", T.LongType()).add(
+        "end", T.LongType())
     schema = T.StructType([f for f in rows.schema if f.name != "__text"]).add(
-        "spans", "array<struct<kind:string,start:bigint,end:bigint>>")
+        "spans", T.ArrayType(span))
     model = (field.weights, field.moves) if field else None
 
     def scan_rows(batches):
