@@ -23,7 +23,10 @@ def _carried(docs: DataFrame) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any letter (null and empty texts among them) go; the
     rest stay, a missing language label filled in with the predicted one."""
-    judged = langid.identify(_carried(docs), langid.fit(docs), keep=("row",))
+    known = langid.fit(docs)
+    if not known:  # nothing is labelled: only letters can be asked for
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    judged = langid.identify(_carried(docs), known, keep=("row",))
     kept = judged.where(F.col("lang_pred") != langid.UNKNOWN)
     return kept.select("row.*", F.col("lang_pred").alias("__pred")).withColumn(
         "lang", F.coalesce("lang", "__pred")).drop("__pred")

@@ -128,6 +128,8 @@ class Parser:
         np = self.np
         n, k = len(texts), len(self.langs)
         phrases, chars = np.zeros((n, k), np.int64), np.zeros(n, np.int64)
+        if not k:
+            return phrases, chars
         held, owner, size = [], [], 0
 
         def flush():

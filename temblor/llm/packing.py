@@ -72,8 +72,10 @@ class WordIds(dict):
 
     def ids(self, word: str) -> list[int]:
         # Below U+0250 nothing combines, and lower case is one for one but for
-        # the dotted capital I (U+0130).
-        if not (self.plain and max(word, default="") < "\u0250" and "\u0130" not in word):
+        # the dotted capital I (U+0130); unprintable characters differ in what
+        # counts as white space.
+        if not (self.plain and max(word, default="") < "\u0250" and "\u0130" not in word
+                and word.isprintable()):
             return self.whole.encode(word, add_special_tokens=False).ids
         word = word.lower()
         pieces = [word] if word.isalpha() else self.cut(word)

@@ -1,12 +1,12 @@
 """Quality rules: within-document counts and cross-document line frequency.
 
-Lines are normalised (A-Z lower-cased, white space collapsed) and hashed; a
-line is boilerplate of a host when the number of distinct documents of that
-host holding it exceeds an absolute and a relative limit. Copies of one
-document must not make its lines boilerplate, so documents count by a
-signature that copies share: the smallest line hash of the document other than
-the line's own (one signature for documents of a single line). Boilerplate
-lines are removed, and a document that keeps too few of its words is rejected.
+Lines are normalised (A-Z lower-cased, white space collapsed) and hashed, and
+distinct documents are counted by host and line. Lines above an absolute and a
+relative limit are candidates. A candidate is boilerplate if it also exceeds
+the limits among the documents that would keep at least half of their words
+without all candidates: lines that only copies of one document share are its
+content, however many copies there are. Boilerplate lines are removed, and a
+document that keeps too few of its words is rejected.
 
 Repeated words are found by hashing each 8-word window; only documents in
 which two windows share a hash compare the windows themselves.
@@ -29,6 +29,7 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 LINE_DOCS = 50        # a line in fewer distinct documents of a host is never boilerplate
 LINE_PERCENT = 1      # nor one in fewer than this percentage of the host's documents
+OWN_PERCENT = 50      # documents with this much of their own tell boilerplate from copies
 LEFT_PERCENT = 20     # a document keeping less than this of its words is rejected
 
 
@@ -76,30 +77,32 @@ def documents_measured(docs: DataFrame, id_col: str, text_col: str, host_col: st
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           host_col: str = "source", line_docs: int = LINE_DOCS,
-          line_percent: float = LINE_PERCENT, left_percent: float = LEFT_PERCENT) -> DataFrame:
+          line_percent: float = LINE_PERCENT, own_percent: float = OWN_PERCENT,
+          left_percent: float = LEFT_PERCENT) -> DataFrame:
     """``id_col``, ``host``, ``content`` (md5 of the text), the counts,
     ``removed_words`` (in boilerplate lines), ``base_failed``, ``kept``.
 
     A verdict depends on host and text alone, so exact copies are one document
     in the line counts and share the verdict joined back to them."""
     measured = materialize(documents_measured(docs, id_col, text_col, host_col), "quality")
-    distinct = (measured.groupBy("host", "content").agg(F.any_value("lines").alias("lines")))
-    hs = F.array_distinct(F.transform("lines", lambda x: x["h"]))
-    lowest = F.array_min("hs")
-    lines = (distinct.withColumn("hs", hs).withColumn("lo", lowest)
-             .withColumn("lo2", F.coalesce(F.array_min(F.array_remove("hs", F.col("lo"))),
-                                           F.lit("")))
-             .select("host", "content", "lo", "lo2", F.explode("lines").alias("line"))
-             .select("host", "content", F.col("line.h").alias("h"), F.col("line.w").alias("w"),
-                     F.when(F.col("line.h") == F.col("lo"), F.col("lo2")).otherwise(F.col("lo"))
-                     .alias("other")))
+    distinct = measured.groupBy("host", "content").agg(
+        F.any_value("lines").alias("lines"), F.any_value("n_words").alias("n_words"))
     hosts = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    spread = (lines.groupBy("host", "h").agg(F.countDistinct("other").alias("n_docs"))
-              .where(F.col("n_docs") >= line_docs))
-    common = (spread.join(hosts, "host")
-              .where(F.col("n_docs") * 100 >= F.col("host_docs") * line_percent)
-              .select("host", "h"))
-    removed = (lines.join(common, ["host", "h"]).groupBy("host", "content")
+    lines = distinct.select("host", "content", "n_words", F.explode("lines").alias("line")).select(
+        "host", "content", "n_words", F.col("line.h").alias("h"), F.col("line.w").alias("w"))
+
+    def frequent(some):
+        found = (some.groupBy("host", "h").agg(F.countDistinct("content").alias("n_docs"))
+                 .where(F.col("n_docs") >= line_docs).join(hosts, "host"))
+        return found.where(F.col("n_docs") * 100 >= F.col("host_docs") * line_percent).select(
+            "host", "h")
+
+    hits = materialize(lines.join(frequent(lines), ["host", "h"]), "quality-lines")
+    own = (hits.groupBy("host", "content", "n_words").agg(F.sum("w").alias("gone"))
+           .where((F.col("n_words") - F.col("gone")) * 100 >= F.col("n_words") * own_percent)
+           .select("host", "content"))
+    common = frequent(hits.join(own, ["host", "content"]))
+    removed = (hits.join(common, ["host", "h"]).groupBy("host", "content")
                .agg(F.sum("w").alias("removed_words")))
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)
@@ -138,14 +141,17 @@ words_in AS (SELECT r, line, trim(regexp_replace(translate(line, '{string.ascii_
 dup AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM words_in GROUP BY r),
 lines AS (SELECT d, host, substr(md5(low), 1, 16) AS h, len(string_split(low, ' ')) AS w
           FROM words_in JOIN distinct_docs ON r = d),
-low AS (SELECT d, list_sort(list(DISTINCT h)) AS hs FROM lines GROUP BY d),
-spread AS (SELECT host, h, count(DISTINCT CASE WHEN h = hs[1] THEN coalesce(hs[2], '')
-                                               ELSE hs[1] END) AS n_docs
-           FROM lines JOIN low USING (d) GROUP BY host, h),
-common AS (SELECT s.host, h FROM spread s JOIN
-             (SELECT host, count(*) AS host_docs FROM distinct_docs GROUP BY host) USING (host)
-           WHERE n_docs >= {LINE_DOCS} AND n_docs * 100 >= host_docs * {LINE_PERCENT}),
-removed AS (SELECT d, sum(w) AS gone FROM lines JOIN common USING (host, h) GROUP BY d),
+hosts AS (SELECT host, count(*) AS host_docs FROM distinct_docs GROUP BY host),
+often AS (SELECT host, h FROM lines JOIN hosts USING (host) GROUP BY host, h, host_docs
+          HAVING count(DISTINCT d) >= {LINE_DOCS}
+             AND count(DISTINCT d) * 100 >= host_docs * {LINE_PERCENT}),
+hits AS (SELECT d, host, h, w FROM lines JOIN often USING (host, h)),
+own AS (SELECT d FROM hits JOIN docs ON r = d GROUP BY d, len(words)
+        HAVING (len(words) - sum(w)) * 100 >= len(words) * {OWN_PERCENT}),
+common AS (SELECT host, h FROM hits JOIN own USING (d) JOIN hosts USING (host)
+           GROUP BY host, h, host_docs HAVING count(DISTINCT d) >= {LINE_DOCS}
+              AND count(DISTINCT d) * 100 >= host_docs * {LINE_PERCENT}),
+removed AS (SELECT d, sum(w) AS gone FROM hits JOIN common USING (host, h) GROUP BY d),
 counted AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
        CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
        CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT)

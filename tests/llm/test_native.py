@@ -1,0 +1,185 @@
+"""op2, op4 and op9: SQL over odd rows, plans without Python, method cases."""
+
+import duckdb
+import pytest
+
+from temblor.llm import licenses, quality, urls
+
+from .conftest import ODD
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def _rows(df):
+    cols = sorted(df.columns)
+    return [tuple(r[c] for c in cols) for r in df.collect()]
+
+
+def _sql(con, sql):
+    got = con.execute(sql)
+    cols = [c[0] for c in got.description]
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return [tuple(r[i] for i in order) for r in got.fetchall()]
+
+
+def _key(rows):
+    return sorted(map(repr, rows))
+
+
+@pytest.fixture()
+def con():
+    return duckdb.connect()
+
+
+LICENSED = [
+    (20, "Released under the MIT License. Also mit, LICENSE and Apache License"),
+    (21, "x Permission is hereby granted, free of charge, to any person obtaining a copy"),
+    (22, "GNU Lesser General Public License\n GENERAL public; license"),
+    (23, "Licensed under CC BY-NC 4.0."), (24, "mit\u0130 license mit license"),
+    (25, "person obtaining a copy of permission is hereby granted free"),
+    (26, "mit license " * 50), (27, "All rights\nreserved"), (28, "\u212aelvin mit \u0131 license"),
+]
+
+
+def _license_digest(spark, docs, monkeypatch):
+    monkeypatch.setattr(licenses, "table", lambda *a: docs)
+    return licenses.op2_license_scan(spark, "")
+
+
+def test_licenses_equal_sql(spark, make_docs, con, monkeypatch):
+    rows = LICENSED + [r for r in ODD if "\x00" not in (r[1] or "")]
+    got = _license_digest(spark, make_docs(rows), monkeypatch)
+    assert "Python" not in _plan(got) and "Arrow" not in _plan(got)
+    con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = _sql(con, licenses.ORACLE_SQL["op2_license_scan"])
+    assert _key(_rows(got)) == _key(want)
+
+
+def test_license_labels(spark, make_docs, monkeypatch):
+    got = {r["doc_id"]: r for r in _license_digest(spark, make_docs(LICENSED),
+                                                   monkeypatch).collect()}
+    assert got[20]["base_labels"] == "apache,mit" and got[20]["n_base"] == 3
+    assert (got[20]["first_word"], got[20]["last_word"]) == (3, 9)
+    assert got[21]["labels"] == "mit-grant" and got[21]["n_base"] == 0
+    assert got[21]["first_word"] is None and 0.6 <= got[21]["score"] < 1
+    assert got[22]["labels"] == "gpl,lgpl" and got[22]["n_base"] == 2
+    assert got[23]["labels"] == "cc-by-nc" and got[27]["labels"] == "all-rights-reserved"
+    assert got[24]["n_base"] == 1 and got[26]["n_base"] == 50
+    assert got[25]["labels"] == "" and got[25]["score"] == 0
+
+
+def test_licenses_empty_table(spark, no_docs, monkeypatch):
+    assert _license_digest(spark, no_docs, monkeypatch).count() == 0
+
+
+URLS = [
+    (1, "http://a.example.org/es/x"), (2, "https://EXAMPLE.org/en/12?q"), (3, "http://x.org/es/"),
+    (4, "http://badexample.org/es/"), (5, "http://a.com/fr/1"), (6, "http://a.com/de/1"),
+    (7, "http://a.com/DE/1"), (8, "http://org"), (9, None), (10, ""), (11, "no scheme"),
+    (12, "http://m.adult-x.net/"), (13, "http://adultery.net/"), (14, "http://cheap-pills.org/"),
+    (15, "http://cheap.pills.net/a"), (16, "http://h.com#frag/fr/"), (17, "a://b://c.org/"),
+    (18, "http://x.net/adult-x/"), (19, "http://example.org:80/es/"), (1, "http://dup.org/"),
+    (None, "http://dup.org/"), (20, "http://free-bets.example.com/fr/"), (21, "://"),
+    (22, "http://éx.org/é"), (23, "http://xxx"), (24, "http://x.org\n/a"),
+]
+
+
+def _pages(spark):
+    return spark.createDataFrame([(i, u, "h", "r", "t") for i, u in URLS],
+                                 "page_id long, url string, host string, rule string, token string")
+
+
+@pytest.mark.parametrize("bound", [urls.BROADCAST_RULES, 0])
+def test_urls_equal_sql(spark, con, bound):
+    got = urls.judge(_pages(spark), urls.rule_table(spark, urls.RULES), broadcast_rules=bound)
+    assert "Python" not in _plan(got)
+    con.execute("CREATE TABLE pages(page_id BIGINT, url VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", URLS)
+    assert _key(_rows(got)) == _key(_sql(con, urls.ORACLE_SQL["op4_url_filter"]))
+    by = {r["page_id"]: r for r in got.collect()}
+    assert by[2]["rule"] == "example.org/en/1" and by[2]["verdict"] == "block"
+    assert by[12]["pattern_rule"] == "adult" and by[12]["verdict"] == "block"
+    assert by[13]["verdict"] == by[18]["verdict"] == "allow"
+    assert by[14]["verdict"] == "allow"  # the host and path rule comes first
+    assert by[9]["host"] == by[9]["path"] == ""
+
+
+def test_urls_many_rules_and_empty_table(spark):
+    rules = [urls.host_rule((f"bad{i}", "site")) for i in range(500)] + [
+        urls.Rule("any", "^.*x=1", (), "block", False)]
+    pages = spark.createDataFrame([(1, "http://a.bad77-site.com/"), (2, "http://bad.site/"),
+                                   (3, "http://q.com/x=1")], "page_id long, url string")
+    got = {r["page_id"]: r["pattern_rule"]
+           for r in urls.judge(pages, urls.rule_table(spark, rules)).collect()}
+    assert got == {1: "bad77-site", 2: None, 3: "any"}
+    assert urls.judge(pages.limit(0), urls.rule_table(spark, rules)).count() == 0
+
+
+def _quality_rows():
+    words = [f"w{i}" for i in range(400)]
+    rows = [(100 + i, "\n".join([f"own {i} " + " ".join(words[i:i + 30]), "Menu Home  About",
+                                 f"more {i} text of the page " + " ".join(words[i + 100:i + 113])]),
+             "en", "hot") for i in range(80)]
+    rows += [(300 + i, "menu home about\n" + "MENU  HOME ABOUT\n" * 20 + f"n{i}", "en", "hot")
+             for i in range(3)]
+    copy = "\n".join(" ".join(words[j:j + 9]) for j in range(0, 90, 9))
+    rows += [(400 + i, copy, "en", "hot") for i in range(90)]
+    rows += [(600, " ".join(words[:20]), "en", "x"), (601, " ".join(words[:19]), "en", "x"),
+             (602, " ".join(words[:8] * 6), "en", None), (603, "a # b * c\n\nx\nx\n y \n y ", "e", "x")]
+    return rows
+
+
+def _quality(spark, docs, monkeypatch):
+    monkeypatch.setattr(quality, "table", lambda *a: docs)
+    return quality.op9_quality(spark, "")
+
+
+def test_quality_equals_sql(spark, make_docs, con, monkeypatch):
+    odd = [(i, t, "en", "s") for i, t in ODD if "\x00" not in (t or "") and len(t or "") < 1000]
+    rows = _quality_rows() + odd
+    got = _quality(spark, make_docs(rows), monkeypatch)
+    assert "Python" not in _plan(got)
+    con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?)", rows)
+    assert _key(_rows(got)) == _key(_sql(con, quality.ORACLE_SQL["op9_quality"]))
+
+
+def test_quality_verdicts(make_docs):
+    got = {r["doc_id"]: r for r in quality.judge(make_docs(_quality_rows())).collect()}
+    assert all(got[100 + i]["kept"] for i in range(80))
+    assert {got[100 + i]["removed_words"] for i in range(80)} == {3}
+    assert all(got[400 + i]["kept"] and not got[400 + i]["removed_words"] for i in range(90))
+    assert not any(got[300 + i]["kept"] for i in range(3))
+    assert got[600]["kept"] and got[601]["base_failed"] and got[602]["base_failed"]
+    assert got[602]["n_repeat_words"] == 48 and got[603]["n_dup_lines"] == 2
+    assert got[603]["n_symbols"] == 2
+
+
+def test_quality_depleted_documents_go(make_docs):
+    """Long documents made of boilerplate only are depleted; others stay."""
+    block = [" ".join(f"b{j}x{k}" for k in range(12)) for j in range(4)]
+    rows = [(i, "\n".join([*block, " ".join(f"o{i}y{k}" for k in range(60))]), "en", "h")
+            for i in range(70)]
+    rows += [(900, "\n".join(block), "en", "h")]
+    got = {r["doc_id"]: r for r in quality.judge(make_docs(rows)).collect()}
+    assert all(got[i]["kept"] for i in range(70)) and not got[900]["base_failed"]
+    assert not got[900]["kept"]
+
+
+def test_quality_keeps_near_copies(make_docs):
+    """Many near copies of one document share most lines; none is boilerplate."""
+    lines = [" ".join(f"c{j}z{k}" for k in range(10)) for j in range(12)]
+    rows = [(i, "\n".join([*lines[:i % 12], f"edited {i} here", *lines[i % 12 + 1:]]), "en", "h")
+            for i in range(150)]
+    got = quality.judge(make_docs(rows)).collect()
+    assert all(r["kept"] and not r["removed_words"] for r in got)
+
+
+def test_quality_odd_rows(odd_docs, no_docs):
+    got = [r for r in quality.judge(odd_docs).collect()]
+    assert len(got) == len(ODD) and quality.judge(no_docs).count() == 0
+    assert sum(not r["base_failed"] for r in got) == 0  # the long one repeats itself
+    assert [r["n_repeat_words"] for r in got if r["doc_id"] == 5] == [36_000]
