@@ -13,7 +13,7 @@ import argparse
 import json
 import os
 
-from .session import ensure_checkpoint_dir, get_session
+from .session import get_session
 
 
 def _messages(spark, args):
@@ -62,7 +62,8 @@ def main(argv=None) -> None:
         s.add_argument("--topic", default=None)
         s.add_argument("--starting", default="latest")
         s.add_argument("--out", required=True)
-        s.add_argument("--checkpoint", default=None)
+        # A place that outlives the application: a restart resumes from it.
+        s.add_argument("--checkpoint", required=True)
         s.add_argument("--trigger", default=None)
         if name == "score":
             s.add_argument("--model", required=True)
@@ -87,13 +88,12 @@ def main(argv=None) -> None:
         print(json.dumps(apps.run_training(spark, df, args.model, args.trees, args.depth),
                          default=str))
     elif args.job == "metrics":
-        ckpt = args.checkpoint or f"{ensure_checkpoint_dir(spark)}/metrics"
-        apps.start_metrics(_messages(spark, args), args.out, ckpt,
+        apps.start_metrics(_messages(spark, args), args.out, args.checkpoint,
                            trigger=args.trigger or "60 seconds", watermark=args.watermark)
         spark.streams.awaitAnyTermination()
     elif args.job == "score":
-        ckpt = args.checkpoint or f"{ensure_checkpoint_dir(spark)}/scoring"
-        q = apps.start_scoring(spark, _messages(spark, args), args.model, args.out, ckpt,
+        q = apps.start_scoring(spark, _messages(spark, args), args.model, args.out,
+                               args.checkpoint,
                                trigger=args.trigger or "30 seconds")
         q.awaitTermination()
     elif args.job == "check":

@@ -8,32 +8,38 @@ from pyspark.sql import types as T
 
 
 def map_feed(df: DataFrame) -> DataFrame:
-    """latitude/longitude from nested coordinates or flat fields, magnitude from
-    ``mag`` or ``magnitude`` (else 0), depth (else 0), place (else 'Unknown'),
-    time (else now)."""
+    """Points for a map client, from nested features or flat events.
+
+    Nested ``geometry.coordinates`` (longitude, latitude, depth) come before
+    flat columns, and nested ``properties`` before columns of the same name;
+    magnitude is ``mag`` or ``magnitude`` (else 0), depth else 0, place else
+    'Unknown' (also for an empty one), time else now."""
     cols = set(df.columns)
+    nested = set()
+    if "properties" in cols and isinstance(df.schema["properties"].dataType, T.StructType):
+        nested = set(df.schema["properties"].dataType.names)
 
     def pick(*names):
-        return [F.col(n) for n in names if n in cols]
+        return ([F.col(f"properties.{n}") for n in names if n in nested]
+                + [F.col(n) for n in names if n in cols])
+
+    def coordinate(i):
+        return [F.get(F.col("geometry.coordinates"), i)] if "geometry" in cols else []
 
-    coords = F.col("geometry.coordinates") if "geometry" in cols else None
-    lat = pick("latitude") + ([F.get(coords, 1)] if coords is not None else [])
-    lon = pick("longitude") + ([F.get(coords, 0)] if coords is not None else [])
-    dep = pick("depth") + ([F.get(coords, 2)] if coords is not None else [])
+    times = pick("time")
+    kind = df.select(times[0].alias("t")).schema["t"].dataType if times else T.TimestampType()
     # "now" in the time column's own type (epoch milliseconds or a timestamp).
-    if "time" in cols and isinstance(df.schema["time"].dataType, T.NumericType):
-        now = F.unix_millis(F.current_timestamp()).cast(df.schema["time"].dataType)
-    elif "time" in cols:
-        now = F.current_timestamp().cast(df.schema["time"].dataType)
-    else:
-        now = F.current_timestamp()
+    now = (F.unix_millis(F.current_timestamp()) if isinstance(kind, T.NumericType)
+           else F.current_timestamp()).cast(kind)
+    no_number = F.lit(None).cast("double")
     return df.select(
-        F.coalesce(*lat, F.lit(None).cast("double")).alias("latitude"),
-        F.coalesce(*lon, F.lit(None).cast("double")).alias("longitude"),
+        F.coalesce(*coordinate(1), *pick("latitude"), no_number).alias("latitude"),
+        F.coalesce(*coordinate(0), *pick("longitude"), no_number).alias("longitude"),
         F.coalesce(*pick("mag", "magnitude"), F.lit(0.0)).cast("double").alias("magnitude"),
-        F.coalesce(*dep, F.lit(0.0)).cast("double").alias("depth"),
-        F.coalesce(*pick("place"), F.lit("Unknown")).alias("place"),
-        F.coalesce(*pick("time"), now).alias("time"),
+        F.coalesce(*coordinate(2), *pick("depth"), F.lit(0.0)).cast("double").alias("depth"),
+        F.coalesce(*[F.nullif(c, F.lit("")) for c in pick("place")], F.lit("Unknown"))
+        .alias("place"),
+        F.coalesce(*[c.cast(kind) for c in times], now).alias("time"),
     )
 
 

@@ -42,27 +42,19 @@ def _order_key(df: DataFrame, col: str):
     return c
 
 
-# Rows a plain top-k may merge in its final task (partitions x n).
-TOPK_MERGE_ROWS = 5_000_000
-
-
-def latest_n(df: DataFrame, time: str, key: str, n: int = 1000,
-             merge_rows: int = TOPK_MERGE_ROWS) -> DataFrame:
+def latest_n(df: DataFrame, time: str, key: str, n: int = 1000) -> DataFrame:
     """Newest ``n`` rows by (time, key) descending, exactly.
 
     A plain ``orderBy().limit(n)`` merges ``n`` rows from every input
-    partition in one task, which grows with the number of partitions; it is
-    used only while ``partitions x n`` stays under ``merge_rows`` (the count
-    of partitions comes from planning, no job). Otherwise one pass takes the
-    newest time, a second counts the rows inside 13
+    partition in one task, which grows with the number of partitions. Instead
+    one pass takes the newest time, a second counts the rows inside 13
     geometric look-back spans (tiny aggregation buffers), and the top-k runs
     only on the smallest span that holds at least ``n`` rows; a filter on the
-    time column also lets time-clustered files skip row groups."""
+    time column also lets time-clustered files skip row groups. When fewer
+    than ``n`` rows have a time, all rows are candidates."""
     def top(d: DataFrame) -> DataFrame:
         return d.orderBy(F.col(time).desc_nulls_last(), F.col(key).desc_nulls_last()).limit(n)
 
-    if df.rdd.getNumPartitions() * n <= merge_rows:
-        return top(df)
     tk = _order_key(df, time)
     head = df.agg(F.max(tk).alias("hi"), F.count(tk).alias("nn")).first()
     if head["hi"] is None or head["nn"] <= n:

@@ -27,9 +27,20 @@ def flatten_window(df: DataFrame, start: str = "window_start",
 def exact_avg(value, scale: int) -> Column:
     """Mean of a column whose values have at most ``scale`` decimals: the sum
     is exact (decimal), then one double division. Any engine doing the same
-    returns the identical double, so no rounding is needed to compare."""
-    total = F.sum(F.col(value).cast(f"decimal(18,{scale})")).cast("double")
-    return total / F.count(value)
+    returns the identical double, so no rounding is needed to compare.
+
+    Null and NaN values are left out of sum and count; a value with more
+    decimals than declared, or beyond 18 digits, raises an error."""
+    c = F.col(value) if isinstance(value, str) else value
+    number = c.cast("double")
+    exact = c.try_cast(f"decimal(18,{scale})")
+    checked = (F.when(c.isNull() | F.isnan(number), F.lit(None))
+               # A double computed from such a value may be off in its last bits.
+               .when(F.abs(exact.cast("double") - number)
+                     <= F.abs(number) * 1e-14 + 10.0 ** -(scale + 6), exact)
+               .otherwise(F.raise_error(F.concat(
+                   F.lit(f"exact_avg: more than {scale} decimals: "), c.cast("string")))))
+    return F.sum(checked).cast("double") / F.nullif(F.count(checked), F.lit(0))
 
 
 def window_avg(df, time="time", value="magnitude", length="30 minutes",

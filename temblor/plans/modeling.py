@@ -7,13 +7,12 @@ directory, so the four model outputs share one fit.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import functions as F
 
 from ..functions.timefn import ts_to_epoch_ms
 from ..model import forest as m
 from ..session import scratch_path
+from ..sources.files import input_tag, path_exists
 from ..sources.feed import publish_json
 from ..streaming.scoring import (alert_messages, prepare_scoring_input, score,
                                  scoring_batch)
@@ -30,26 +29,21 @@ def training_rows(spark, sf_dir):
 
 
 def _model_path(spark, sf_dir):
-    """One model per input: keyed by the events file's path, size and time."""
-    src = f"{sf_dir}/events.parquet"
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(src)
-    st = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path)
-    ident = f"{src}|{st.getLen()}|{st.getModificationTime()}"
-    tag = hashlib.sha1(ident.encode()).hexdigest()[:16]
+    """One model per input: keyed by the events files and the parameters."""
+    tag = input_tag(spark, [f"{sf_dir}/events.parquet"], m.FEATURES, 0.8, 42)
     return scratch_path(spark, "models", f"magnitude-{tag}", unique=False)
 
 
 def fitted(spark, sf_dir):
-    """(model, test rows): fit once per input folder, then reuse the saved model."""
+    """(model, test rows): fit once per input, then reuse the saved model."""
     clean = m.prepare(training_rows(spark, sf_dir), keep=["id"])
     train_df, test_df = m.split(clean, 0.8, 42, key="id")
     path = _model_path(spark, sf_dir)
-    try:
-        model = m.load(path)
-    except Exception:  # noqa: BLE001 - not fitted yet
-        model = m.train(train_df)
-        m.save(model, path)
+    if path_exists(spark, f"{path}/metadata/_SUCCESS") and path_exists(
+            spark, f"{path}/stages"):
+        return m.load(path), test_df
+    model = m.train(train_df)
+    m.save(model, path)
     return model, test_df
 
 
@@ -93,10 +87,8 @@ def stream_scored_events(spark, sf_dir):
              .option("checkpointLocation", f"{root}/_checkpoint")
              .foreachBatch(scoring_batch(model, pred_path, alert_path, f"{root}/skipped"))
              .trigger(availableNow=True).start())
-    query.awaitTermination(900)
-    if query.exception():
-        raise RuntimeError(str(query.exception()))
-    return spark.read.parquet(pred_path).drop("epoch_id")
+    query.awaitTermination()  # to the end; raises what ended the stream
+    return spark.read.parquet(pred_path).drop("run_id", "epoch_id")
 
 
 QUERIES = {

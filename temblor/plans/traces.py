@@ -11,7 +11,6 @@ path: ``preprocess`` (cleaning) followed by the Q1..Q10 functions of
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import haversine_km
 from ..schemas import RAW_TRACE
 from ..session import scratch_path
-from ..sources.files import read_parquet_cached
+from ..sources.files import read_parquet_cached, input_tag, path_exists
 from . import seismic
 from .driver import QUAKES_SQL, _hav_sql, quakes_from_events, table
 
@@ -78,7 +77,7 @@ def cleaned_traces(spark, sf_dir) -> DataFrame:
     batch job writes its cleaned table once and every question re-reads it).
 
     The location is below the shared checkpoint folder and keyed by the
-    source file's path, size and modification time, so a changed input is
+    source files' paths, sizes and modification times, so a changed input is
     landed again."""
     src = f"{sf_dir}/events.parquet"
     return land_once(spark, src, "cleaned_traces",
@@ -88,15 +87,8 @@ def cleaned_traces(spark, sf_dir) -> DataFrame:
 def land_once(spark, src: str, name: str, build) -> DataFrame:
     """Write ``build()`` to ``<checkpoint>/tables/<name>-<tag>`` unless a
     complete copy exists; return a reader of it."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src_path = jvm.org.apache.hadoop.fs.Path(src)
-    st = src_path.getFileSystem(conf).getFileStatus(src_path)
-    tag = hashlib.sha1(f"{src}|{st.getLen()}|{st.getModificationTime()}".encode()).hexdigest()[:16]
-    dst = scratch_path(spark, "tables", f"{name}-{tag}", unique=False)
-    dst_path = jvm.org.apache.hadoop.fs.Path(dst)
-    fs = dst_path.getFileSystem(conf)
-    if not fs.exists(jvm.org.apache.hadoop.fs.Path(dst_path, "_SUCCESS")):
+    dst = scratch_path(spark, "tables", f"{name}-{input_tag(spark, [src])}", unique=False)
+    if not path_exists(spark, f"{dst}/_SUCCESS"):
         build().write.mode("overwrite").parquet(dst)
     return read_parquet_cached(spark, dst)
 

@@ -3,7 +3,8 @@
 Everything the library writes outside a caller-named sink (stream checkpoints,
 lineage cuts, model cache) goes under the folder the cluster names in
 ``spark.checkpoint.dir``. Only when that setting is absent (a laptop or a test)
-do we create one, so cluster runs never touch machine-local temporary space.
+and only on a local master do we create one, so cluster runs never touch
+machine-local temporary space.
 """
 
 from __future__ import annotations
@@ -60,7 +61,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
-        # Unset: local run or test. Only here do we pick a folder ourselves.
+        # Unset: only a local run, where driver and executors share one disk,
+        # may pick a folder by itself.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors "
+                               "share")
         conf_dir = tempfile.mkdtemp(prefix="temblor-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,27 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def input_tag(spark: SparkSession, paths: list[str], *parameters) -> str:
+    """Identity of some inputs: every file's path, size and time, and the
+    parameters. (A folder's own length and time say nothing in many stores.)"""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    digest = hashlib.sha1(repr(parameters).encode())
+    for path in paths:
+        at = hadoop.Path(path)
+        files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(at, True)
+        found = []
+        while files.hasNext():
+            st = files.next()
+            found.append(f"{st.getPath()}|{st.getLen()}|{st.getModificationTime()}")
+        digest.update("\n".join(sorted(found)).encode())
+    return digest.hexdigest()[:16]
+
+
 _SCHEMAS: dict[tuple, object] = {}
 
 

@@ -11,6 +11,7 @@ from ..functions.labels import threshold_flag
 from ..functions.timefn import epoch_ms_to_ts
 from ..schemas import SCORE
 from ..sources.feed import decode
+from ..sources.sinks import run_id
 
 # Fixed value: predicted magnitude at or above which an alert row is written.
 ALERT_THRESHOLD = 4.0
@@ -51,22 +52,17 @@ def skipped_rows(df: DataFrame) -> DataFrame:
 
 
 def alert_messages(scored: DataFrame) -> DataFrame:
-    """Alert rows with rendered subject and body (delivery is not done here)."""
+    """Alert rows with a subject and a body of ``name=value`` lines made from
+    the row's own columns (delivery is not done here)."""
     a = scored.filter(F.col("alert"))
-    subject = F.format_string("Earthquake Alert! Predicted Magnitude %.1f", F.col("prediction"))
-    body = F.concat_ws(
-        "\n",
-        F.format_string("Predicted earthquake magnitude: %.1f", F.col("prediction")),
-        F.concat(F.lit("Real magnitude: "), F.coalesce(F.col("magnitude").cast("string"),
-                                                        F.lit("None"))),
-        F.concat(F.lit("Location: "), F.coalesce(F.col("place"), F.lit("Unknown"))),
-        F.format_string("Coordinates: (%s, %s)", F.col("source_latitude").cast("string"),
-                        F.col("source_longitude").cast("string")),
-        F.format_string("Depth: %s km", F.col("source_depth_km").cast("string")),
-        F.concat(F.lit("Time: "), F.col("time").cast("string")),
-    )
-    return a.select("id", "prediction", "magnitude", "place", "time",
-                    subject.alias("subject"), body.alias("body"))
+    shown = ["magnitude", "place", "source_latitude", "source_longitude", "source_depth_km",
+             "time"]
+    lines = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("n/a")))
+             for c in shown]
+    subject = F.format_string("M %.1f expected near %s", F.col("prediction"),
+                              F.coalesce(F.col("place"), F.lit("an unnamed place")))
+    return a.select("id", "prediction", "magnitude", "place", "time", subject.alias("subject"),
+                    F.concat_ws("\n", *lines).alias("body"))
 
 
 def scoring_batch(model: PipelineModel, predictions_path: str, alerts_path: str,
@@ -76,13 +72,15 @@ def scoring_batch(model: PipelineModel, predictions_path: str, alerts_path: str,
     null feature) to ``skipped_path`` instead of dropping them silently.
 
     The input batch is persisted once for all writes. Every write replaces
-    only this epoch's partition, so a replayed epoch overwrites instead of
-    duplicating; write errors raise, so the epoch is replayed from the
-    checkpoint rather than lost."""
+    only the partition of this run (checkpoint) and epoch, so a replayed epoch
+    overwrites instead of duplicating and a fresh checkpoint adds to what is
+    there; write errors raise, so the epoch is replayed from the checkpoint
+    rather than lost."""
     def _write(df: DataFrame, path: str, epoch_id: int) -> None:
-        (df.withColumn("epoch_id", F.lit(epoch_id).cast("long"))
+        (df.withColumns({"run_id": F.lit(run_id(df.sparkSession)),
+                         "epoch_id": F.lit(epoch_id).cast("long")})
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("epoch_id").parquet(path))
+           .partitionBy("run_id", "epoch_id").parquet(path))
 
     def _fn(batch: DataFrame, epoch_id: int) -> None:
         b = batch.persist(StorageLevel.MEMORY_AND_DISK)

@@ -53,7 +53,7 @@ def test_metrics_stream_app(spark, tmp_dir):
     qs = apps.start_metrics(msgs, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"),
                             trigger=None, watermark=None,
                             names=["avgMagnitude", "numberOfEarthquakesNearLA", "closePairs",
-                                   "feedStatus"])
+                                   "feedStatus"], store="versioned")
     for q in qs:
         q.processAllAvailable()
         q.stop()
@@ -86,7 +86,7 @@ def test_metrics_app_log_store(spark, tmp_dir):
             fh.write(json.dumps({"id": str(i), "magnitude": m, "time": 1704067200000 + i}) + "\n")
     msgs = spark.readStream.format("text").load(src)
     qs = apps.start_metrics(msgs, os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck"),
-                            trigger=None, watermark=None, names=["avgMagnitude"], store="log")
+                            trigger=None, watermark=None, names=["avgMagnitude"])
     for q in qs:
         q.processAllAvailable()
         q.stop()
