@@ -27,6 +27,19 @@ def ts_to_epoch_ms(col, ntz: bool = False) -> Column:
     return F.unix_millis(_c(col).cast("timestamp"))
 
 
+def as_instant(col) -> Column:
+    """A ``timestamp_ntz`` wall clock as the instant that shows it in UTC,
+    whatever the session zone (for watermarks, which need instants)."""
+    return F.timestamp_micros(F.timestamp_diff(
+        "MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), _c(col)))
+
+
+def as_wall_clock(col) -> Column:
+    """The inverse of ``as_instant``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(col)),
+                           F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+
+
 def cutoff_date(as_of, days: int) -> Column:
     """``as_of - days`` as a date; ``as_of`` may be a date/str or None (today)."""
     base = F.current_date() if as_of is None else F.lit(

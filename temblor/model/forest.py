@@ -36,6 +36,11 @@ def split(df: DataFrame, train_fraction: float = 0.8, seed: int = 42,
     return df.filter(bucket < cut), df.filter(bucket >= cut)
 
 
+def part_of(bucket, train_below: int):
+    """'train' or 'test' by a bucket number that any engine can repeat."""
+    return F.when(bucket < train_below, "train").otherwise("test")
+
+
 def build_pipeline(features=FEATURES, label: str = LABEL, num_trees: int = 100,
                    max_depth: int = 10, seed: int = 42) -> Pipeline:
     assembler = VectorAssembler(inputCols=list(features), outputCol="features",

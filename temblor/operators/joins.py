@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import land
+
 # Row bound for broadcasting a derived (aggregated) table.
 DEFAULT_BROADCAST_ROWS = 200_000
 
@@ -24,20 +25,19 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
 
 def join_small(big: DataFrame, small: DataFrame, keys, how: str = "inner",
                max_rows: int = DEFAULT_BROADCAST_ROWS, null_safe: bool = False,
-               persist: bool = True, known_rows: int | None = None) -> DataFrame:
+               known_rows: int | None = None) -> DataFrame:
     """Join ``small`` (a derived, usually aggregated table) onto ``big`` by ``keys``.
 
-    ``small`` is persisted so the size check and the join share one
-    computation; if an executor holding it is lost, Spark recomputes it from
-    lineage. ``known_rows`` is an upper bound the caller can prove (for example
-    the number of ranges it created); it replaces the counting job.
+    ``small`` is written once to the shared folder, so that the size check and
+    the join share one computation and nothing stays cached. ``known_rows`` is
+    an upper bound the caller can prove (for example the number of ranges it
+    created); it replaces writing and counting. Runs jobs while it is called.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if known_rows is not None and known_rows <= max_rows:
         side = F.broadcast(small)
     else:
-        if persist:
-            small = small.persist(StorageLevel.MEMORY_AND_DISK)
+        small = land(small, "small")
         side = F.broadcast(small) if bounded_rows(small, max_rows) else small
     if not keys:
         return attach_global(big, small)

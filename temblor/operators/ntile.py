@@ -5,35 +5,32 @@ group and the group size. Spark's own window puts every row of a group (all
 rows when there is no PARTITION BY) into one task, and a group may hold a
 third of the data. Here the rank is built in pieces:
 
-1. The composite sort key (group, order columns) is cut into ``P`` ranges
-   with cut points taken from a bounded, seeded sample (so recomputation after
-   an executor loss gives the same cuts: they are literals in the plan).
-   Because the group key and tiebreak are part of the cut key, even one hot
-   group or one hot value is spread over many ranges.
-2. Each row finds its range with a two-level binary search over constant
-   structs (a CASE tree, then a short in-block search): ``log2 P`` comparisons.
-3. Row counts per (group, range) - at most ``P + #groups`` rows - give each
+1. Rows are range-partitioned by (group, order columns, row number) with
+   ``repartitionByRange`` and written once, with their range, to the shared
+   folder. The row number ends every tie, so one hot group, one hot value or a
+   mass of equal rows is spread over as many ranges as it fills; and since the
+   ranges are written, an executor lost later cannot change them.
+2. Row counts per (group, range) - at most ``ranges + #groups`` rows - give each
    range its offset within its group and the group size.
-4. ``row_number`` inside (group, range) plus the offset is the rank inside
-   the group; the ntile is computed from rank and size.
+3. ``row_number`` inside (group, range) plus the offset is the rank inside the
+   group; the ntile is computed from rank and size.
 
-Every task then sorts at most about ``n / P`` rows.
+Every task sorts about ``n / ranges`` rows. Spark's range partitioner samples
+on the executors and hands the driver its own bounded sample (at most a
+million keys) whatever the size of the table.
 """
 
 from __future__ import annotations
 
-import json
 import math
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..session import land
 from .joins import DEFAULT_BROADCAST_ROWS, join_small
 
 DEFAULT_ROWS_PER_RANGE = 2_000_000
-MAX_RANGES = 4096
-SAMPLE_PER_RANGE = 40
 
 
 def ntile_from_rank(rank: Column, size: Column, k: int) -> Column:
@@ -47,143 +44,29 @@ def ntile_from_rank(rank: Column, size: Column, k: int) -> Column:
     return F.when(rank <= big, head).otherwise(tail).cast("long")
 
 
-def _key_parts(df: DataFrame, cols: list[str]) -> tuple[list[Column], list[Column]]:
-    """Non-null, totally ordered components reproducing ascending NULLS FIRST
-    order of ``cols`` (NaN sorts after every number, as in Spark)."""
-    dtypes = dict(df.dtypes)
-    parts = []
-    for c in cols:
-        t = df.schema[c].dataType
-        col = F.col(c)
-        parts.append(F.when(col.isNull(), 0).otherwise(1))
-        if isinstance(t, (T.FloatType, T.DoubleType)):
-            parts.append(F.when(F.isnan(col), 1).otherwise(0))
-            parts.append(F.when(col.isNull() | F.isnan(col), F.lit(0.0))
-                         .otherwise(col.cast("double")))
-        elif isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            parts.append(F.coalesce(col.cast("long"), F.lit(0).cast("long")))
-        elif isinstance(t, T.DecimalType):
-            parts.append(F.coalesce(col, F.lit(0).cast(t)))
-        elif isinstance(t, T.StringType):
-            parts.append(F.coalesce(col, F.lit("")))
-        elif isinstance(t, T.DateType):
-            parts.append(F.coalesce(F.unix_date(col), F.lit(0)))
-        elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-            parts.append(F.coalesce(F.unix_micros(col.cast("timestamp")), F.lit(0).cast("long")))
-        elif isinstance(t, T.BooleanType):
-            parts.append(F.coalesce(col.cast("int"), F.lit(0)))
-        else:
-            raise TypeError(f"unsupported sort column type {dtypes[c]} for {c}")
-    return parts, []
-
-
-def _sql_literal(value, dtype: T.DataType) -> str:
-    """An exact SQL literal for one key component."""
-    if isinstance(dtype, T.StringType):
-        return f"CAST(X'{value.encode('utf-8').hex()}' AS STRING)"
-    if isinstance(dtype, T.DoubleType):
-        return f"CAST('{float(value)!r}' AS DOUBLE)"
-    if isinstance(dtype, T.LongType):
-        return f"CAST({int(value)} AS BIGINT)"
-    if isinstance(dtype, T.IntegerType):
-        return f"CAST({int(value)} AS INT)"
-    if isinstance(dtype, T.DecimalType):
-        return f"CAST('{value}' AS {dtype.simpleString()})"
-    raise TypeError(f"unsupported key component type {dtype}")
-
-
-BLOCK = 64
-
-
-def _assign_range(df: DataFrame, key_names: list[str], cuts: list[tuple], out: str) -> DataFrame:
-    """Number of cut tuples strictly below each row's key (0..len(cuts)).
-
-    The key components form one struct (Spark compares structs field by
-    field). The search has two levels: a balanced CASE tree over at most 63
-    coarse cuts (generated code) picks a block of 64 cuts, then a 6-step
-    ``aggregate`` finds the position inside the block by indexing one
-    constant array holding every cut. Each row makes about ``log2 P``
-    comparisons and the expression size is bounded, so projection collapsing
-    cannot blow it up."""
-    m = len(cuts)
-    if m == 0:
-        return df.withColumn(out, F.lit(0))
-    keyed = df.withColumn("__rkey", F.struct(*[F.col(k) for k in key_names]))
-    rtype = keyed.schema["__rkey"].dataType
-    types = [f.dataType for f in rtype.fields]
-
-    def const(c):
-        return "named_struct(" + ", ".join(
-            f"'{n}', {_sql_literal(v, t)}" for n, v, t in zip(key_names, c, types)) + ")"
-
-    def coarse_tree(consts, lo, hi):
-        # answer = number of consts below the key, known to lie in [lo, hi]
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi + 1) // 2
-        return (f"CASE WHEN `__rkey` > {consts[mid - 1]} THEN {coarse_tree(consts, mid, hi)} "
-                f"ELSE {coarse_tree(consts, lo, mid - 1)} END")
-
-    if m < BLOCK:
-        consts = [const(c) for c in cuts]
-        return keyed.withColumn(out, F.expr(coarse_tree(consts, 0, m))).drop("__rkey")
-
-    blocks = m // BLOCK
-    coarse = [const(cuts[j * BLOCK - 1]) for j in range(1, blocks + 1)]
-    keyed = keyed.withColumn("__rblk", F.expr(coarse_tree(coarse, 0, blocks)))
-    text = json.dumps([dict(zip(key_names, c)) for c in cuts])
-    flat = F.from_json(F.lit(text), T.ArrayType(rtype, False))
-    base = F.col("__rblk") * BLOCK
-
-    def advance(pos, step):  # pos: cuts of this block known to be below the key
-        nxt = pos + step
-        hit = F.coalesce(F.try_element_at(flat, base + nxt) < F.col("__rkey"), F.lit(False))
-        return F.when(hit, nxt).otherwise(pos)
-
-    steps = F.array(*[F.lit(BLOCK >> i) for i in range(1, BLOCK.bit_length())])
-    fine = F.aggregate(steps, F.lit(0), advance)
-    return keyed.withColumn(out, base + fine).drop("__rkey", "__rblk")
-
-
 def rank_in_group(df: DataFrame, order, by=(), rank_name: str = "__rank",
                   size_name: str = "__size",
                   rows_per_range: int = DEFAULT_ROWS_PER_RANGE,
-                  max_ranges: int = MAX_RANGES, seed: int = 42,
                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                   keep_range: bool = False) -> DataFrame:
     """Add the 1-based ``row_number`` within ``by`` ordered by ``order``
     (ascending, nulls first) and the group size, skew-safe. ``keep_range``
-    keeps the ``__range`` column (the unit one window task sorts)."""
+    keeps the ``__range`` column (the unit one window task sorts).
+
+    Runs a count and writes the ranged rows while it is called."""
     order = [order] if isinstance(order, str) else list(order)
     by = [by] if isinstance(by, str) else list(by)
-    parts, _ = _key_parts(df, by + order)
-    key_names = [f"__k{i}" for i in range(len(parts))]
-    keyed = df.withColumns(dict(zip(key_names, parts)))
-
-    # One pass counts the rows (observed metric) and draws the sample. The
-    # fraction needs no row count: ranges = n / rows_per_range, so
-    # SAMPLE_PER_RANGE rows per range is a fixed fraction. When n is so
-    # large that ranges hit max_ranges, a seeded random top-k caps the
-    # sample that reaches the driver.
-    frac = min(1.0, SAMPLE_PER_RANGE / max(1, rows_per_range))
-    cap = max_ranges * SAMPLE_PER_RANGE
-    obs = Observation(f"rows_{seed}_{id(keyed)}")
-    drawn = (keyed.select(*key_names).observe(obs, F.count(F.lit(1)).alias("n"))
-             .sample(False, frac, seed).orderBy(F.rand(seed)).limit(cap).collect())
-    n = obs.get["n"]
-    ranges = max(1, min(max_ranges, math.ceil(n / max(1, rows_per_range))))
-    cuts: list[tuple] = []
-    if ranges > 1 and drawn:
-        sample = sorted(tuple(r) for r in drawn)
-        picks = [sample[(i * len(sample)) // ranges] for i in range(1, ranges)]
-        cuts = sorted(set(picks))
-    ranged = _assign_range(keyed, key_names, cuts, "__range").drop(*key_names)
+    ranges = max(1, math.ceil(df.count() / max(1, rows_per_range)))
+    keys = [F.col(c).asc_nulls_first() for c in by + order]
+    ranged = land(df.withColumn("__row", F.monotonically_increasing_id())
+                  .repartitionByRange(ranges, *keys, "__row")
+                  .withColumn("__range", F.spark_partition_id()), "ranges")
 
     grp = by + ["__range"]
     counts = ranged.groupBy(*grp).agg(F.count(F.lit(1)).alias("__cnt"))
-    before = Window.partitionBy(*by).orderBy("__range").rowsBetween(
-        Window.unboundedPreceding, -1) if by else Window.orderBy("__range").rowsBetween(
-        Window.unboundedPreceding, -1)
+    # These windows run over one row per (group, range).
+    before = (Window.partitionBy(*by).orderBy("__range") if by else Window.orderBy("__range")
+              ).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*by) if by else Window.partitionBy()
     offsets = (counts
                .withColumn("__off", F.coalesce(F.sum("__cnt").over(before), F.lit(0)))
@@ -191,10 +74,11 @@ def rank_in_group(df: DataFrame, order, by=(), rank_name: str = "__rank",
                .drop("__cnt"))
     # Without groups the offsets table has one row per range: a proven bound.
     joined = join_small(ranged, offsets, grp, max_rows=max_broadcast_rows, null_safe=True,
-                        known_rows=None if by else len(cuts) + 1)
+                        known_rows=None if by else ranges)
     w = Window.partitionBy(*[F.col(c) for c in grp]).orderBy(
-        *[F.col(c).asc_nulls_first() for c in order])
-    ranked = joined.withColumn(rank_name, F.col("__off") + F.row_number().over(w)).drop("__off")
+        *[F.col(c).asc_nulls_first() for c in order], "__row")
+    ranked = joined.withColumn(rank_name, F.col("__off") + F.row_number().over(w)).drop(
+        "__off", "__row")
     return ranked if keep_range else ranked.drop("__range")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import sigma_flag
+from ..session import land
 from .joins import DEFAULT_BROADCAST_ROWS, attach_global, join_small
 from .windowed import exact_avg
 
@@ -24,12 +25,12 @@ def sigma_label(df: DataFrame, value: str, by=None, k: float = 2.0,
     skew-aware shuffle join for the grouped case.
 
     The input is read twice (statistics, then labels). When it is expensive
-    to produce (a fact-to-fact join), ``materialize=True`` writes it once
-    with ``checkpoint()`` to the shared checkpoint folder (lineage cut, safe
-    against executor loss) and both passes read that copy.
+    to produce (a fact-to-fact join), ``materialize=True`` writes it once to
+    the shared folder (lineage cut, safe against executor loss) and both
+    passes read that copy.
     """
     if materialize:
-        df = df.checkpoint(eager=True)
+        df = land(df, "sigma")
     mean = exact_avg(value, mean_scale) if mean_scale is not None else F.avg(value)
     stats_aggs = [mean.alias(mean_name), F.stddev_samp(value).alias(std_name)]
     if not by:

@@ -41,9 +41,6 @@ AS_OF_10Y = dt.date(2006, 1, 1)
 # Radius for the near-point count on the derived coordinates (300 km finds
 # almost nothing there).
 DRIVER_RADIUS_KM = 3000.0
-# Ranges for the skew-safe ntile: small enough that the multi-range path runs
-# at every scale factor.
-NTILE_ROWS_PER_RANGE = 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -178,8 +175,7 @@ def ntile_profile_by_group(spark, sf_dir):
     out = ntile_profile(c, 3, ["c_acctbal", "c_custkey"],
                         {"avg_acctbal": exact_avg("c_acctbal", 2),
                          "min_acctbal": F.min("c_acctbal"), "max_acctbal": F.max("c_acctbal")},
-                        by=["c_nationkey"], tile_name="acctbal_tile",
-                        rows_per_range=NTILE_ROWS_PER_RANGE)
+                        by=["c_nationkey"], tile_name="acctbal_tile")
     return out.select(F.col("c_nationkey").cast("long").alias("c_nationkey"),
                       F.col("acctbal_tile").cast("long").alias("acctbal_tile"),
                       "avg_acctbal", "min_acctbal", "max_acctbal")
@@ -260,7 +256,7 @@ def ntile_profile_global(spark, sf_dir):
     out = ntile_profile(o, 10, ["o_totalprice", "o_orderkey"],
                         {"avg_totalprice": exact_avg("o_totalprice", 2),
                          "row_count": F.count(F.lit(1))},
-                        tile_name="price_decile", rows_per_range=NTILE_ROWS_PER_RANGE)
+                        tile_name="price_decile")
     return out.select(F.col("price_decile").cast("long").alias("price_decile"),
                       "avg_totalprice", "row_count")
 
@@ -294,7 +290,8 @@ FROM g"""
 def sigma_label_by_group(spark, sf_dir):
     j = _ship_delay(spark, sf_dir).select("l_returnflag", "l_orderkey", "delay")
     out = sigma_label(j, "delay", by=["l_returnflag"], mean_name="avg_delay",
-                      std_name="std_dev_delay", label_name="delay_status", mean_scale=0)
+                      std_name="std_dev_delay", label_name="delay_status", mean_scale=0,
+                      materialize=True)
     return out.select("l_returnflag", "l_orderkey", "delay", "avg_delay",
                       _r("std_dev_delay").alias("std_dev_delay"), "delay_status")
 
@@ -418,25 +415,35 @@ FROM n GROUP BY 1, 2"""
 
 # ------------------------------------------------------------------- S7 (static)
 PAIR_COLUMNS = ["window_start", "id", "previous_id", "magnitude", "previous_magnitude",
-                "time", "previous_time"]
+                "time", "previous_time", "net", "nst", "gap", "latitude", "longitude", "depth",
+                "previous_latitude", "previous_longitude", "previous_depth"]
 
 
-def _pairs_out(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("window.start").alias("window_start"), "id", "previous_id",
-                        "magnitude", "previous_magnitude", "time", "previous_time")
+def pairs_out(pairs: DataFrame) -> DataFrame:
+    return pairs.withColumn("window_start", F.col("window.start")).select(*PAIR_COLUMNS)
+
+
+def close_together(q: DataFrame) -> DataFrame:
+    """Quakes on a coarser grid of places, so that hourly windows hold pairs."""
+    return (q.withColumn("latitude", ((F.col("id") * 37) % 180).cast("double") - 90)
+             .withColumn("longitude", ((F.col("id") * 73) % 360).cast("double") - 180))
 
 
 def proximity_jump_pairs(spark, sf_dir):
-    q = quakes_view(spark, sf_dir)
-    return _pairs_out(proximity_pairs(q, length="1 day"))
+    q = close_together(quakes_view(spark, sf_dir))
+    return pairs_out(proximity_pairs(q, length="60 minutes"))
 
 
 S7_SQL = f"""
 WITH {QUAKES_SQL},
-q AS (SELECT id, magnitude, latitude, longitude, time,
-             time_bucket(INTERVAL '1 day', time) AS w FROM quakes)
+q AS (SELECT id, magnitude, time, net, nst, gap, depth,
+             CAST((id * 37) % 180 AS DOUBLE) - 90 AS latitude,
+             CAST((id * 73) % 360 AS DOUBLE) - 180 AS longitude,
+             time_bucket(INTERVAL '60 minutes', time) AS w FROM quakes)
 SELECT a.w AS window_start, a.id, b.id AS previous_id, a.magnitude, b.magnitude AS previous_magnitude,
-       a.time, b.time AS previous_time
+       a.time, b.time AS previous_time, a.net, a.nst, a.gap, a.latitude, a.longitude, a.depth,
+       b.latitude AS previous_latitude, b.longitude AS previous_longitude,
+       b.depth AS previous_depth
 FROM q a JOIN q b ON a.w = b.w AND abs(a.latitude - b.latitude) < 20
                   AND abs(a.longitude - b.longitude) < 20
 WHERE a.magnitude - b.magnitude > 0.2"""

@@ -62,15 +62,16 @@ def quarterly_magnitude_trend(q: DataFrame, as_of=None, years: int = 10) -> Data
                       "change_from_prev_quarter").orderBy(NET, "quarter")
 
 
-def azimuthal_gap_outliers(q: DataFrame, k: float = 2.0) -> DataFrame:
-    """Q3: gap beyond mean + k*sigma over all usable rows."""
+def azimuthal_gap_outliers(q: DataFrame, k: float = 2.0, ordered: bool = False) -> DataFrame:
+    """Q3: gap beyond mean + k*sigma over all usable rows; sorted for display
+    only if asked, since that sorts the whole table."""
     kept = (q.withColumn("__gap", clean_numeric("source_gap_deg"))
               .filter(F.col("__gap").isNotNull()))
     out = sigma_label(kept, "__gap", k=k, mean_name="avg_gap", std_name="std_dev_gap",
                       label_name="gap_category")
-    return (out.select("source_id", MAG, "source_gap_deg", "source_horizontal_uncertainty_km",
-                       "source_depth_uncertainty_km", "avg_gap", "std_dev_gap", "gap_category")
-               .orderBy(F.desc("gap_category"), F.desc(MAG)))
+    out = out.select("source_id", MAG, "source_gap_deg", "source_horizontal_uncertainty_km",
+                     "source_depth_uncertainty_km", "avg_gap", "std_dev_gap", "gap_category")
+    return out.orderBy(F.desc("gap_category"), F.desc(MAG)) if ordered else out
 
 
 def depth_magnitude_profile(q: DataFrame, tiles: int = 3, tiebreak: str = "source_id",
@@ -103,7 +104,7 @@ def magnitude_with_distance(q: DataFrame) -> DataFrame:
     return out.orderBy("year")
 
 
-def distance_error_profile(q: DataFrame, tiles: int = 10, tiebreak: str | None = None,
+def distance_error_profile(q: DataFrame, tiles: int = 10, tiebreak: str | None = "source_id",
                            **kw) -> DataFrame:
     """Q7: global ntile of distance (nulls first) over rows with a usable error."""
     kept = (q.withColumn("source_error_sec", clean_numeric("source_error_sec"))
@@ -121,17 +122,18 @@ def events_by_region(q: DataFrame) -> DataFrame:
     return share_of_total(q, [NET]).orderBy(F.desc("event_count"))
 
 
-def processing_time_anomalies(q: DataFrame, k: float = 2.0) -> DataFrame:
-    """Q9: whole seconds from origin to trace start, k-sigma label per network."""
+def processing_time_anomalies(q: DataFrame, k: float = 2.0, ordered: bool = False) -> DataFrame:
+    """Q9: whole seconds from origin to trace start, k-sigma label per network;
+    sorted for display only if asked."""
     kept = (q.filter(F.col(TIME).isNotNull() & F.col("trace_start_time").isNotNull())
               .withColumn("processing_time", F.unix_timestamp("trace_start_time")
                           - F.unix_timestamp(TIME)))
     out = sigma_label(kept, "processing_time", by=[NET], k=k,
                       mean_name="avg_processing_time", std_name="std_dev_processing_time",
                       label_name="processing_status")
-    return (out.select(NET, "source_id", "processing_time", "avg_processing_time",
-                       "std_dev_processing_time", "processing_status")
-               .orderBy(F.desc(NET), F.desc("processing_time")))
+    out = out.select(NET, "source_id", "processing_time", "avg_processing_time",
+                     "std_dev_processing_time", "processing_status")
+    return out.orderBy(F.desc(NET), F.desc("processing_time")) if ordered else out
 
 
 def station_distance(q: DataFrame, near: float = 50.0, far: float = 100.0) -> DataFrame:
@@ -148,6 +150,7 @@ def station_distance(q: DataFrame, near: float = 50.0, far: float = 100.0) -> Da
                         "distance_category"))
 
 
+# Names of the curated tables (fixed values).
 CURATED = {
     "BiggestEarthquakesIn30Years": biggest_per_year_network,
     "AverageMagnitudeTrendIn10Years": quarterly_magnitude_trend,

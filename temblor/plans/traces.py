@@ -23,8 +23,9 @@ from . import seismic
 from .driver import QUAKES_SQL, _hav_sql, quakes_from_events, table
 
 AS_OF_TRACES_30Y = dt.date(2026, 1, 1)
-AS_OF_TRACES_10Y = dt.date(2034, 1, 15)  # cut-off falls inside the events' month
-TRACE_ROWS_PER_RANGE = 4096
+AS_OF_TRACES_10Y = dt.date(2030, 1, 15)  # the cut-off falls inside the traces' years
+# Days over which origin times are spread back from the events' month.
+SPREAD_DAYS = 3650
 
 
 def _dec(int_part, digit):
@@ -34,7 +35,8 @@ def _dec(int_part, digit):
 def traces_from_events(ev: DataFrame) -> DataFrame:
     q = quakes_from_events(ev)
     i = F.col("id")
-    origin = F.col("time").cast("timestamp")
+    origin = F.timestamp_micros(F.unix_micros(F.col("time").cast("timestamp"))
+                                - ((i * 53) % SPREAD_DAYS) * 86_400_000_000)
     start_us = (F.unix_micros(origin) + ((i * 37) % 200 - 20) * 1_000_000 + 250_000)
     km = haversine_km("latitude", "longitude", "rlat", "rlon")
     derived = q.select(
@@ -118,8 +120,7 @@ def trace_q3(spark, sf_dir):
 
 
 def trace_q4(spark, sf_dir):
-    out = seismic.depth_magnitude_profile(cleaned_traces(spark, sf_dir),
-                                          rows_per_range=TRACE_ROWS_PER_RANGE)
+    out = seismic.depth_magnitude_profile(cleaned_traces(spark, sf_dir))
     return out.select("network_code", F.col("depth_quartile").cast("long").alias("depth_quartile"),
                       _r("avg_magnitude"), "min_magnitude", "max_magnitude")
 
@@ -137,8 +138,7 @@ def trace_q6(spark, sf_dir):
 
 
 def trace_q7(spark, sf_dir):
-    out = seismic.distance_error_profile(cleaned_traces(spark, sf_dir), tiebreak="source_id",
-                                         rows_per_range=TRACE_ROWS_PER_RANGE)
+    out = seismic.distance_error_profile(cleaned_traces(spark, sf_dir))
     return out.select(F.col("distance_quintile").cast("long").alias("distance_quintile"),
                       _r("avg_error_sec"), "event_count")
 
@@ -172,7 +172,8 @@ raw AS (
   SELECT net AS network_code,
          CAST(rlat AS REAL) AS receiver_latitude, CAST(rlon AS REAL) AS receiver_longitude,
          CAST((id * 17) % 600 AS DOUBLE) / 10.0 AS p_travel_sec,
-         CAST(id AS VARCHAR) AS source_id, time AS source_origin_time,
+         CAST(id AS VARCHAR) AS source_id,
+         time - to_days(CAST((id * 53) % {SPREAD_DAYS} AS INTEGER)) AS source_origin_time,
          CAST(latitude AS REAL) AS source_latitude, CAST(longitude AS REAL) AS source_longitude,
          CASE WHEN id % 10 = 0 THEN 'None' WHEN id % 10 = 1 THEN 'nan'
               ELSE {_dec_sql("((id * 3) % 50) // 10", "(id * 3) % 10")} END AS source_error_sec,
@@ -186,7 +187,7 @@ raw AS (
            AS source_depth_uncertainty_km,
          CAST(magnitude AS REAL) AS source_magnitude,
          CAST(CASE WHEN id % 13 = 0 THEN NULL ELSE {_KM} END AS REAL) AS source_distance_km,
-         time + to_microseconds(((id * 37) % 200 - 20) * 1000000 + 250000) AS trace_start_time
+         time - to_days(CAST((id * 53) % {SPREAD_DAYS} AS INTEGER)) + to_microseconds(((id * 37) % 200 - 20) * 1000000 + 250000) AS trace_start_time
   FROM quakes),
 t AS (
   SELECT * REPLACE (date_trunc('second', source_origin_time) AS source_origin_time,
@@ -218,7 +219,7 @@ WITH {TRACES_SQL},
 g AS (SELECT CAST(year(source_origin_time) AS VARCHAR) || '-Q'
                || CAST(quarter(source_origin_time) AS VARCHAR) AS quarter,
              network_code, avg(source_magnitude) AS a
-      FROM t WHERE source_origin_time >= DATE '2034-01-15' - 3650 AND source_magnitude IS NOT NULL
+      FROM t WHERE source_origin_time >= DATE '2030-01-15' - 3650 AND source_magnitude IS NOT NULL
       GROUP BY 1, 2),
 l AS (SELECT *, lag(a) OVER (PARTITION BY network_code ORDER BY quarter) AS p FROM g)
 SELECT quarter, network_code, round(a, 6) AS avg_magnitude, round(p, 6) AS prev_quarter_avg,

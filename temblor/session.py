@@ -71,6 +71,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def land(df, name: str):
+    """Write ``df`` below the shared checkpoint folder and read it back: what
+    several passes need is computed once and outlives lost executors."""
+    path = scratch_path(df.sparkSession, "landed", name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     """A path below the shared checkpoint folder (optionally made unique)."""
     root = ensure_checkpoint_dir(spark)

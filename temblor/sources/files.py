@@ -93,6 +93,6 @@ def preview(spark: SparkSession, name: str, n: int = 5) -> DataFrame | None:
 
 def raw_history(spark: SparkSession, path_or_table: str, internal=("_id",)) -> DataFrame:
     """All archived raw events without internal bookkeeping columns."""
-    df = (spark.table(path_or_table) if spark.catalog.tableExists(path_or_table)
-          else spark.read.parquet(path_or_table))
+    is_table = "/" not in path_or_table and spark.catalog.tableExists(path_or_table)
+    df = spark.table(path_or_table) if is_table else spark.read.parquet(path_or_table)
     return df.drop(*[c for c in internal if c in df.columns])

@@ -36,11 +36,14 @@ def score(model: PipelineModel, df: DataFrame, threshold: float = ALERT_THRESHOL
 
     Rows the assembler cannot use (a null feature) are skipped by the model;
     ``skipped_rows`` returns them so they are counted, not lost silently."""
-    out = model.transform(df)
-    return (out.withColumn("alert", threshold_flag("prediction", threshold))
-               .withColumn("error_abs", F.abs(F.col("prediction") - F.col("magnitude")))
-               .withColumn("error_squared", F.pow(F.col("prediction") - F.col("magnitude"), 2))
-               .select(*PREDICTION_COLUMNS))
+    return score_columns(model.transform(df), threshold).select(*PREDICTION_COLUMNS)
+
+
+def score_columns(predicted: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:
+    """Add alert flag and error columns to rows with a ``prediction``."""
+    off = F.col("prediction") - F.col("magnitude")
+    return predicted.withColumns({"alert": threshold_flag("prediction", threshold),
+                                  "error_abs": F.abs(off), "error_squared": F.pow(off, 2)})
 
 
 def skipped_rows(df: DataFrame) -> DataFrame:
@@ -55,6 +58,7 @@ def alert_messages(scored: DataFrame) -> DataFrame:
     """Alert rows with a subject and a body of ``name=value`` lines made from
     the row's own columns (delivery is not done here)."""
     a = scored.filter(F.col("alert"))
+    a = a if "time" in a.columns else a.withColumn("time", F.lit(None).cast("timestamp"))
     shown = ["magnitude", "place", "source_latitude", "source_longitude", "source_depth_km",
              "time"]
     lines = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("n/a")))

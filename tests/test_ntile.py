@@ -34,7 +34,7 @@ def test_ntile_matches_window(spark, k, per_range, by):
         g = "hot" if i % 3 else rnd.choice(["a", "b", None])
         v = rnd.choice([None, float("nan"), 5.0, 5.0, rnd.uniform(-10, 10)])
         rows.append((i, g, v))
-    # per_range=5 gives >64 ranges: the two-level range search
+    # per_range=5 gives many more ranges than partitions
     _check(spark, rows, k, by, rows_per_range=per_range)
 
 
@@ -70,3 +70,42 @@ def test_string_and_timestamp_keys(spark):
     exp = _expected(df, 4, ["s", "t", "id"], [])
     bad = got.join(exp.select("id", "exp"), "id").filter(F.col("x") != F.col("exp")).count()
     assert bad == 0
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_wall_clock_order_in_other_zones(spark, zone):
+    """Wall-clock times over a spring change keep their own order."""
+    import datetime as dt
+    start = dt.datetime(2024, 3, 10, 0, 0)
+    rows = [(i, start + dt.timedelta(minutes=(i * 7) % 360)) for i in range(180)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        df = spark.createDataFrame(rows, "id long, t timestamp_ntz")
+        got = {r.id: r["__rank"] for r in rank_in_group(df, ["t", "id"],
+                                                        rows_per_range=7).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    want = {i: n + 1 for n, (_, i) in enumerate(sorted((t, i) for i, t in rows))}
+    assert got == want
+
+
+def test_decimal_keys_and_many_ranges(spark):
+    from decimal import Decimal
+    rows = [(i, None if i % 11 == 0 else Decimal((i * 7919) % 500) / 100) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, v decimal(12,2)")
+    got = ntile(df, 9, ["v", "id"], name="x", rows_per_range=6)
+    exp = _expected(df, 9, ["v", "id"], [])
+    assert got.join(exp.select("id", "exp"), "id").where("x <> exp").count() == 0
+
+
+def test_hot_null_without_tiebreak_is_split(spark):
+    df = spark.range(40_000).select(
+        "id", F.when(F.col("id") % 2 == 0, F.col("id").cast("double")).alias("v"))
+    r = rank_in_group(df, ["v"], rows_per_range=1000, keep_range=True)
+    assert r.groupBy("__range").count().agg(F.max("count")).first()[0] <= 3000
+    assert r.where("v is null").agg(F.max("__rank"), F.countDistinct("__rank")).first() == (
+        20_000, 20_000)
+    same = spark.range(20_000).select(F.lit("x").alias("g"), F.lit(None).cast("int").alias("v"))
+    r = rank_in_group(same, ["v"], by=["g"], rows_per_range=500, keep_range=True)
+    assert r.groupBy("__range").count().agg(F.max("count")).first()[0] <= 1500
