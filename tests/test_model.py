@@ -26,8 +26,8 @@ def test_small_forest_end_to_end(spark):
                    .withColumn("place", F.lit(None).cast("string")), threshold=0.0)
     assert scored.count() == q.count()
     al = alert_messages(scored).first()
-    assert al.subject.startswith("Earthquake Alert! Predicted Magnitude")
-    assert "Location: Unknown" in al.body
+    assert al.subject.startswith("M ")
+    assert "place=n/a" in al.body
 
 
 def test_gate_drops_bad_rows(spark):

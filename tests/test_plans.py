@@ -44,7 +44,7 @@ def test_global_ntile_raw_rows_spread_by_range(spark, qs):
 
 def test_grouped_sigma_has_no_window_over_rows(spark, qs):
     p = plan(qs["sigma_label_by_group"](spark, SF))
-    assert "Window [" not in p and "InMemory" not in p
+    assert "Window [" not in p and "InMemoryRelation" not in p
     assert "lineitem" not in p  # the fact join was written once and is read back
 
 
