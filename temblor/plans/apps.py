@@ -14,17 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.labels import energy_joules, trend_label
 from ..model import forest
 from ..operators.pairs import proximity_pairs
-from ..operators.windowed import (flatten_window, window_avg, window_avg_nst,
-                                  window_count_above, window_energy,
-                                  window_near_point_count, window_share_below,
-                                  window_trend)
+from ..operators.windowed import (flatten_window, window_count_above,
+                                  window_near_point_count, windowed)
 from ..schemas import EVENT
 from ..sources.feed import decode
 from ..sources.files import land_raw, list_tables, preview
 from ..sources.sinks import write_curated
-from ..streaming.runner import start_append, start_upsert
+from ..streaming.runner import start_append, start_fan_out, start_upsert
 from ..streaming.scoring import prepare_scoring_input, scoring_batch
 from . import seismic
 
@@ -68,17 +67,32 @@ def events_from_messages(messages: DataFrame, watermark: str | None = None) -> D
     return ev.withWatermark("time", watermark) if watermark else ev
 
 
+# Result stores of the half-hour metrics and their columns. the
+# names are those that existing readers of the stores ask for.
+HALF_HOUR_STORES = {
+    "avgMagnitude": ["window_end", "avg_magnitude"],
+    "totalEnergy": ["window_end", "total_energy"],
+    "numberOfEarthquakesTrend": ["window_end", "num_earthquakes", "trend"],
+    "shallowEarthquakesPercentage": ["window_end", "percent_shallow"],
+    "averageNst": ["window_end", "average_nst"],
+}
+
+
+def half_hour_metrics(events: DataFrame) -> DataFrame:
+    """S1-S5 in one stateful aggregation."""
+    shallow = F.sum(F.when(F.col("depth") < 10.0, 1).otherwise(0)) / F.count(F.lit(1)) * 100
+    out = flatten_window(windowed(events, "time", "30 minutes", [
+        F.avg("magnitude").alias("avg_magnitude"),
+        F.sum(energy_joules("magnitude")).alias("total_energy"),
+        F.count(F.lit(1)).alias("num_earthquakes"), shallow.alias("percent_shallow"),
+        F.avg("nst").alias("average_nst")]))
+    return out.withColumn("trend", trend_label("num_earthquakes"))
+
+
 def metric_streams(events: DataFrame) -> dict[str, DataFrame]:
-    """The windowed metrics (S0-S6) as flat streaming frames, keyed by window."""
+    """The metrics with windows of their own (S0, S6), keyed by window."""
     return {
-        # All names but the first are those existing readers of
-        # the result stores ask for.
         "strongEarthquakesPerHour": flatten_window(window_count_above(events)),
-        "avgMagnitude": flatten_window(window_avg(events)),
-        "totalEnergy": flatten_window(window_energy(events)),
-        "numberOfEarthquakesTrend": flatten_window(window_trend(events)),
-        "shallowEarthquakesPercentage": flatten_window(window_share_below(events)),
-        "averageNst": flatten_window(window_avg_nst(events)),
         "numberOfEarthquakesNearLA": flatten_window(window_near_point_count(events)),
     }
 
@@ -88,11 +102,19 @@ def start_metrics(messages: DataFrame, out_root: str, checkpoint_root: str,
                   pairs_window: str = "60 minutes",
                   names: list[str] | None = None,
                   store: str = "log") -> list[StreamingQuery]:
-    """Start every metric on one source (each its own query, checkpoint and
-    exactly-once upsert store) plus the close-pairs alert stream (append). The
-    default store writes an epoch's rows only (read: ``read_upsert_log``)."""
+    """Start every metric on one source: the half-hour metrics as one query that
+    fans out to their stores, the others as queries of their own, each with a
+    checkpoint and exactly-once stores, plus the close-pairs alert stream
+    (append). The default store writes an epoch's rows only (read:
+    ``read_upsert_log``)."""
     events = events_from_messages(messages, watermark)
     started = []
+    wanted = {f"{out_root}/{n}": c for n, c in HALF_HOUR_STORES.items()
+              if not names or n in names}
+    if wanted:
+        started.append(start_fan_out(half_hour_metrics(events), wanted, ["window_start"],
+                                     f"{checkpoint_root}/halfHourMetrics", trigger,
+                                     "halfHourMetrics", store))
     for name, df in metric_streams(events).items():
         if names and name not in names:
             continue

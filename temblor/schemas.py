@@ -16,6 +16,7 @@ S, F32, F64, I32, I64, TS = (StringType(), FloatType(), DoubleType(), IntegerTyp
 
 # Raw trace table (station x event), CSV with header and multi-line quoted fields.
 # Columns that hold a number or the text None/nan are strings on purpose.
+# Names and types of the wire or file layout.
 RAW_TRACE = _struct([
     ("network_code", S), ("receiver_code", S), ("receiver_type", S),
     ("receiver_latitude", F32), ("receiver_longitude", F32), ("receiver_elevation_m", F32),
@@ -33,6 +34,7 @@ RAW_TRACE = _struct([
 ])
 
 # Numeric columns normalised to float by the cleaning step (depth stays text).
+# Names and types of the wire or file layout.
 CLEANED_FLOAT_COLUMNS = [
     "receiver_latitude", "receiver_longitude", "receiver_elevation_m",
     "p_arrival_sample", "p_weight", "p_travel_sec", "s_arrival_sample", "s_weight",
@@ -42,6 +44,7 @@ CLEANED_FLOAT_COLUMNS = [
 
 # One event message as published on the event topic. ``time``/``updated`` are
 # epoch milliseconds; we declare them as long and convert explicitly.
+# Names and types of the wire or file layout.
 EVENT = _struct([
     ("id", S), ("magnitude", F64), ("place", S), ("time", I64), ("updated", I64),
     ("tz", I32), ("detail", S), ("felt", I32), ("cdi", F64), ("mmi", F64),
@@ -52,12 +55,14 @@ EVENT = _struct([
 ])
 
 # The eight fields the scoring job reads.
+# Names and types of the wire or file layout.
 SCORE = _struct([
     ("id", S), ("magnitude", F64), ("place", S), ("time", F64), ("gap", F64),
     ("latitude", F64), ("longitude", F64), ("depth", F64),
 ])
 
 # Upstream GeoJSON FeatureCollection (as a from_json schema string).
+# Names and types of the wire or file layout.
 GEOJSON_FEATURE_COLLECTION = (
     "struct<features: array<struct<id: string, properties: struct<"
     "mag: double, place: string, time: bigint, updated: bigint, tz: int, detail: string, "
@@ -68,6 +73,7 @@ GEOJSON_FEATURE_COLLECTION = (
 )
 
 # Properties copied unchanged from a feature into the flat event row.
+# Names and types of the wire or file layout.
 GEOJSON_PASSTHROUGH = [
     "place", "time", "updated", "tz", "detail", "felt", "cdi", "mmi", "alert",
     "status", "tsunami", "sig", "net", "code", "ids", "sources", "types", "nst",

@@ -63,10 +63,13 @@ _SCHEMAS: dict[tuple, object] = {}
 
 
 def read_parquet_cached(spark: SparkSession, path: str) -> DataFrame:
-    """Read Parquet, inferring the schema once per file or folder (keyed by
-    path, size and modification time) and passing it explicitly afterwards,
-    as a catalog would, so repeated reads skip footer inference."""
+    """Read Parquet, inferring the schema of a local file once (keyed by path,
+    size and modification time) and passing it explicitly afterwards, as a
+    catalog would, so repeated reads skip footer inference. Folders and other
+    stores are inferred each time: their own size and time tell nothing."""
     try:
+        if os.path.isdir(path):
+            return spark.read.parquet(path)
         st = os.stat(path)
         key = (path, st.st_size, st.st_mtime_ns)
     except OSError:  # not a local path: let Spark infer each time
