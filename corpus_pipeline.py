@@ -35,10 +35,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or are depleted of their own lines go."""
     judged = quality.judge(docs)
-    rejected = materialize(judged.where("not kept").select("host", "content").distinct(),
-                           "pipeline-rejected")
-    same = ((F.coalesce(F.col("source").cast("string"), F.lit("")) == F.col("host"))
-            & (F.md5(text_of("text")) == F.col("content")))
+    rejected = materialize(judged.where("not kept").select(
+        F.col("host").alias("__host"), F.col("content").alias("__content")).distinct(),
+        "pipeline-rejected")
+    same = ((F.coalesce(F.col("source").cast("string"), F.lit("")) == F.col("__host"))
+            & (F.md5(text_of("text")) == F.col("__content")))
     return docs.join(small(rejected), same, "left_anti")
 
 
@@ -46,14 +47,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each group of similar documents the one with the smallest id stays,
     once; rows without an id stay."""
     found = materialize(ngram_join.similar_documents(docs), "pipeline-groups")
-    dropped = found.where("not kept").select(F.col("doc_id").alias("id")).distinct()
-    kept = docs.join(small(dropped), F.col("doc_id") == F.col("id"), "left_anti")
-    again = (found.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("id"))
-             .count().where("count > 1").select("id"))
+    dropped = found.where("not kept").select(F.col("doc_id").alias("__id")).distinct()
+    kept = docs.join(small(dropped), F.col("doc_id") == F.col("__id"), "left_anti")
+    again = (found.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("__id"))
+             .count().where("count > 1").select("__id"))
     if again.isEmpty():
         return kept
     again = small(materialize(again, "pipeline-repeated"))
-    same = F.col("doc_id") == F.col("id")
+    same = F.col("doc_id") == F.col("__id")
     return kept.join(again, same, "left_anti").unionByName(
         kept.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
 

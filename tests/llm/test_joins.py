@@ -185,6 +185,17 @@ def test_registered():
     assert E.queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in E.oracle_sql()
 
 
+def test_pipeline_with_clashing_columns(spark, odd_docs, no_docs):
+    """Extra columns named like the operators' own go through unharmed."""
+    for docs in (odd_docs.withColumns({"id": F.lit(1), "content": F.lit("c"), "kept": F.lit(True),
+                                       "row": F.lit(2), "spans": F.lit("s")}), no_docs):
+        names = docs.columns
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, SF)
+            assert docs.columns == names
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= 0
+
+
 def test_pipeline_stages(spark):
     """Each stage against its definition, on what the one before kept."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
