@@ -23,27 +23,26 @@ import base64
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, materialize, table, text_of
+from .common import bounded_batches, held, materialize, table, text_of
 
 CHUNK = 65_536
 OVERLAP = 4_096
 
-_CODECS: dict = {}
-
 
 def _codec(ranks: bytes, pattern: str):
     """(tiktoken encoding, bytes by id), built once per worker process."""
     import tiktoken
-    key = (hash(ranks), pattern)
-    if key not in _CODECS:
+
+    def build():
         table_ = {base64.b64decode(a): int(b)
                   for a, b in (line.split() for line in ranks.splitlines() if line)}
         by_id = [b""] * (max(table_.values(), default=-1) + 1)
         for token, rank in table_.items():
             by_id[rank] = token
-        _CODECS[key] = (tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table_,
-                                          special_tokens={}), by_id)
-    return _CODECS[key]
+        return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table_,
+                                 special_tokens={}), by_id
+
+    return held(("bpe", hash(ranks), pattern), build)
 
 
 def boundaries(text: str, pattern) -> list[int]:

@@ -10,7 +10,7 @@ import os
 from collections.abc import Iterator
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -36,6 +36,30 @@ def bounded_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
 
 
+_HELD: dict = {"key": None, "value": None}
+
+
+def held(key, build):
+    """What ``build`` makes, kept in this worker process until another operator
+    (or the same with other parameters) needs the room."""
+    if _HELD["key"] != key:
+        _HELD.update(key=None, value=None)
+        release()
+        _HELD.update(key=key, value=build())
+        release()
+    return _HELD["value"]
+
+
+def release() -> None:
+    """Give freed memory back to the system, where the C library can."""
+    import ctypes
+    import gc
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -55,6 +79,24 @@ def small(df: DataFrame, rows: int = 500_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def hash_sample(df: DataFrame, n: int, by: str | None, *hashed: str) -> DataFrame:
+    """At most ``n`` rows (of each value of ``by``, which must have few), in
+    the order of a hash of ``hashed``. Counts first and keeps the fraction of
+    the hash range that holds about four times ``n`` rows, so neither the
+    driver nor one task is sent more than that, whatever the table's size."""
+    group = F.col(by) if by else F.lit(0)
+    counts = df.groupBy(group.alias("g")).count().collect()
+    share = (F.xxhash64(*hashed).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53))
+    limit = F.lit(0.0)
+    for r in counts:
+        limit = F.when(group.eqNullSafe(F.lit(r["g"])), min(1.0, 4 * n / r["count"])).otherwise(
+            limit)
+    order = Window.partitionBy("__g").orderBy("__h", *hashed)
+    return (df.withColumns({"__g": group, "__h": share}).where(F.col("__h") < limit)
+            .withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= n)
+            .orderBy("__g", "__n").drop("__g", "__h", "__n"))
+
+
 def crc32_mod(id_col: str, n: int) -> Column:
     """crc32 of the id's decimal text, modulo ``n``; a null id counts as ''."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % n

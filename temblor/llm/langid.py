@@ -20,11 +20,11 @@ are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, crc32_mod, table
+from .common import bounded_batches, crc32_mod, hash_sample, held, table
 
 UNKNOWN = "und"
 STRETCH = 1024
@@ -33,11 +33,10 @@ STRETCH = 1024
 SAMPLE_ROWS = 40
 SAMPLE_CHARS = 4_000
 REFERENCE_CHARS = 40_000
+MAX_LANGUAGES = 50
 LETTERS = 62           # most frequent letters told apart; code 0 is the blank
 SLICE = 1 << 22        # characters parsed together
 
-_PARSERS: dict = {}
-
 
 def normalize(text: str) -> str:
     """Lower-cased letters, one blank for each run of other characters."""
@@ -196,18 +195,23 @@ class Parser:
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
-        sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> dict[str, str]:
+        id_col: str = "doc_id",
+        sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS,
+        max_languages: int = MAX_LANGUAGES) -> dict[str, str]:
     """Reference text by language, from at most ``sample_rows`` labelled rows
     of each, none longer than ``sample_chars`` (in the order of a hash)."""
-    rows = (labelled.select(F.col(text_col).alias("text"),
+    rows = (labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                             F.col(lang_col).cast("string").alias("lang"))
             .where(F.col("lang").isNotNull() & F.col("text").isNotNull()
                    & (F.char_length("text") <= sample_chars)))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    some = (rows.withColumn("at", F.row_number().over(order)).where(F.col("at") <= sample_rows)
-            .orderBy("lang", "at").collect())
+    # The most frequent labels; a label column of garbage is cut off there.
+    labels = [r["lang"] for r in rows.groupBy("lang").count()
+              .orderBy(F.desc("count"), "lang").limit(max_languages).collect()]
     texts: dict[str, list[str]] = {}
-    for r in some:
+    if not labels:
+        return texts
+    for r in hash_sample(rows.where(F.col("lang").isin(labels)), sample_rows, "lang",
+                         "text", "id").collect():
         texts.setdefault(r["lang"], []).append(r["text"])
     room = min(REFERENCE_CHARS, 400_000 // max(1, len(texts)))
     return references(agreeing(texts, room), room)
@@ -246,12 +250,9 @@ def identify(docs: DataFrame, known: dict[str, str], id_col: str = "doc_id",
 
     def judge_rows(batches):
         import pyarrow as pa
-        key = hash(tuple(sorted(known.items())))
-        if key not in _PARSERS:
-            _PARSERS.clear()
-            _PARSERS[key] = Parser(known)
+        parser = held(("langid", hash(tuple(sorted(known.items())))), lambda: Parser(known))
         for b in batches:
-            got = _PARSERS[key].judge(b.column(1).to_pylist())
+            got = parser.judge(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *b.columns[2:], pa.array([x for x, _ in got], pa.string()),
                  pa.array([x for _, x in got], pa.float64())],

@@ -30,16 +30,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, crc32_mod, materialize, table, text_of
+from .common import bounded_batches, crc32_mod, hash_sample, materialize, table, text_of
 
 STATES = 6
 TOP_WORDS = 2000
 ENDINGS = 64          # classes of the other words
 ROUNDS = 4            # of Baum-Welch
-CHUNK_TOKENS = 3_000_000
+CHUNK_TOKENS = 2_000_000
 SEGMENT = 256
-TOGETHER = 2048       # segments stepped through together
+TOGETHER = 1024       # segments stepped through together
 SEED_TOKENS = 200     # shortest document that may seed a state
+SEED_LONGEST = 20_000
 UNIT = 1 << 20        # expected counts are summed as integers of 1/UNIT
 
 
@@ -51,12 +52,25 @@ class LocalWords(dict):
         return n
 
 
+def planes(seq):
+    """Numbers as bytes, all lowest bytes first: the higher ones are nearly all
+    equal and compress to nothing."""
+    import numpy as np
+    return np.ascontiguousarray(seq.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def numbers(data: bytes):
+    import numpy as np
+    return np.ascontiguousarray(
+        np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+
+
 def chunk_table(docs: DataFrame, held_out, id_col: str, text_col: str,
                 chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
-    """One row per document (``seq``: local word numbers, little-endian 32 bits,
-    end token last) and one per word of a chunk (``word``, empty for the end;
+    """One row per document (``seq``: ``planes`` of its local word numbers, end
+    token last) and one per word of a chunk (``word``, empty for the end;
     ``local``; ``count`` in training documents), told apart by ``is_word``."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, 4 << 20)
     rows = docs.select(F.col(id_col).alias("doc"), held_out.alias("held_out"),
                        text_of(text_col).cast("binary").alias("text"))
     kind = rows.schema["doc"].dataType.simpleString()
@@ -73,22 +87,25 @@ def chunk_table(docs: DataFrame, held_out, id_col: str, text_col: str,
             words, held = state["words"], state["docs"]
             if not held:
                 return
-            counts = np.zeros(len(words), np.int64)
-            for _, out, seq in held:
-                if not out:
-                    counts += np.bincount(seq, minlength=len(words)) if len(seq) * 4 > len(
-                        words) else 0
-                    if len(seq) * 4 <= len(words):
-                        np.add.at(counts, seq, 1)
             n, m = len(held), len(words)
+            none = np.zeros(0, np.uint32)
+            counts = np.bincount(np.concatenate([none, *[s for _, out, s in held if not out]]),
+                                 minlength=m)
+            # Renumbered, the most frequent words first.
+            order = np.argsort(-np.bincount(np.concatenate([s for _, _, s in held]),
+                                            minlength=m), kind="stable")
+            place = np.empty(m, np.uint32)
+            place[order] = np.arange(m, dtype=np.uint32)
+            counts = counts[order]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([state["chunk"]] * n, pa.int64()), pa.array([False] * n),
                  pa.array([d for d, _, _ in held], state["doc_type"]),
                  pa.array([o for _, o, _ in held], pa.bool_()),
-                 pa.array([s.astype("<u4").tobytes() for _, _, s in held], pa.binary()),
+                 pa.array([planes(place[s]) for _, _, s in held], pa.binary()),
                  pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())],
                 names=names)
-            keys = list(words)
+            names_of = list(words)
+            keys = [names_of[i] for i in order.tolist()]
             for a in range(0, m, 100_000):
                 k = len(keys[a:a + 100_000])
                 yield pa.RecordBatch.from_arrays(
@@ -119,7 +136,16 @@ def chunk_table(docs: DataFrame, held_out, id_col: str, text_col: str,
 def word_classes(counts: DataFrame, top_words: int, endings: int) -> DataFrame:
     """Add ``class``: 0 the end, 1.. the most frequent words, then the endings."""
     spark = counts.sparkSession
-    top = [r["word"] for r in counts.where("count > 0 and octet_length(word) > 0")
+    # A histogram of the counts gives the least count that can be among the
+    # top, so that little more than the top is sorted and sent.
+    words = counts.where("count > 0 and octet_length(word) > 0").withColumn(
+        "step", F.floor(F.log2("count") * 16))
+    least, more = None, 0
+    for r in words.groupBy("step").count().orderBy(F.desc("step")).collect():
+        least, more = r["step"], more + r["count"]
+        if more >= top_words:
+            break
+    top = [r["word"] for r in words.where(F.col("step") >= F.lit(least))
            .orderBy(F.desc("count"), "word").limit(top_words).collect()]
     named = spark.createDataFrame([(bytearray(w), i + 1) for i, w in enumerate(top)],
                                   "word binary, top int")
@@ -241,8 +267,9 @@ def train(classed: DataFrame, class_counts, states: int = STATES, rounds: int =
     import numpy as np
     k = len(class_counts)
     training = classed.where("not held_out")
-    seeds = (training.where(F.octet_length("classes") >= 2 * SEED_TOKENS).select("classes")
-             .orderBy(F.xxhash64("classes"), "classes").limit(states).collect())
+    seeds = hash_sample(training.where(F.octet_length("classes").between(
+        2 * SEED_TOKENS, 2 * SEED_LONGEST)).select("doc", "classes"), states, None, "classes",
+        "doc").collect()
     emit = np.tile((class_counts + 1.0) / (class_counts + 1.0).sum(), (states, 1))
     for s, r in enumerate(seeds):
         own = np.bincount(np.frombuffer(r["classes"], "<u2"), minlength=k)
@@ -314,7 +341,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
         base = np.log10(total + 1)
         own = room[cls]
         inside = np.where(own > 0, base - np.log10(np.maximum(own, 1)), 0.0)
-        seqs = [np.frombuffer(s, "<u4") for s in texts["seq"]]
+        seqs = [numbers(s) for s in texts["seq"]]
         return pd.DataFrame({
             "doc": texts["doc"], "held_out": texts["held_out"],
             "n_tokens": [len(s) for s in seqs],

@@ -27,7 +27,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, connected_components, materialize, runs, table
+from .common import (bounded_batches, connected_components, hash_sample, materialize, runs,
+                     table)
 
 COSINE = 0.98
 PIVOTS = 128
@@ -58,9 +59,9 @@ def similar_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                .agg(F.min("id").alias("node"), F.countDistinct("id").alias("size")))
     classes = materialize(classes.dropDuplicates(["node"]), "vector-classes")
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    sample = [r["vector"] for r in classes.select("vector", "node")
-              .orderBy(F.xxhash64("vector"), "node")
-              .limit(min(pivots, -(-largest // block) or 1)).collect()]
+    sample = [r["vector"] for r in hash_sample(
+        classes.select("vector", "node"), min(pivots, -(-largest // block) or 1), None,
+        "node").collect()]
 
     def cell_rows(batches):
         import numpy as np

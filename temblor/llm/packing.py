@@ -24,17 +24,15 @@ from array import array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, table, text_of
+from .common import bounded_batches, held, table, text_of
 
 MAX_LENGTH = 4096
 END_ID = 2
-WORDS_KEPT = 400_000
+WORDS_KEPT = 250_000
 
 # Contraction endings are pre-tokens of their own (fixed values).
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 
-_TOKENIZERS: dict = {}
-
 
 class WordIds(dict):
     """Ids of a blank-free word as little-endian bytes.
@@ -93,10 +91,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 def word_ids(spec: str) -> WordIds:
-    key = hash(spec)
-    if key not in _TOKENIZERS:
-        _TOKENIZERS[key] = WordIds(spec)
-    return _TOKENIZERS[key]
+    return held(("words", hash(spec)), lambda: WordIds(spec))
 
 
 def text_ids(words: WordIds, text: str) -> bytes:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, table, text_of
+from .common import bounded_batches, hash_sample, release, table, text_of
 
 KINDS = ["assign", "access", "hex", "crf"]
 
@@ -43,7 +43,7 @@ SAMPLE_FILTER = r"(?i)password|passwd|secret|token|api_?key|AKIA|[0-9a-f]{24,}"
 
 # The training sample's bound: documents with and without a base name, and
 # characters of each.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 200_000
 SAMPLE_DOCS = 200
 SAMPLE_CHARS = 8_000
 STEPS = 120
@@ -306,18 +306,16 @@ def train(windows, steps: int = STEPS, l2: float = 1e-7, rate: float = 0.15) ->
     return Field({f: w[i].tolist() for f, i in names.items()}, (m + bar).tolist())
 
 
-def fit(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS,
-        sample_chars: int = SAMPLE_CHARS) -> Field | None:
+def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+        sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Field | None:
     """Train on the base spans of at most ``sample_docs`` documents that hold a
     base name and as many that do not, none longer than ``sample_chars``."""
     text = F.col(text_col)
-    some = docs.select(text.alias("text")).where(
+    some = docs.select(F.col(id_col).alias("id"), text.alias("text")).where(
         text.isNotNull() & (F.char_length(text) <= sample_chars))
     named = some.withColumn("named", F.col("text").rlike(SAMPLE_FILTER))
-    picked = []
-    for flag in (True, False):
-        picked += [r["text"] for r in named.where(F.col("named") == flag).select("text")
-                   .orderBy(F.xxhash64("text"), "text").limit(sample_docs).collect()]
+    picked = [r["text"] for r in hash_sample(named, sample_docs, "named", "text", "id")
+              .collect()]
     return train([w for t in dict.fromkeys(picked) for w in training_windows(t)])
 
 
@@ -352,6 +350,8 @@ def scan(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *b.columns[2:], pa.array(out, span)],
                 names=["__id", *b.schema.names[2:], "spans"])
+        del crf
+        release()
 
     return rows.mapInArrow(scan_rows, schema).withColumnRenamed("__id", id_col)
 
