@@ -30,7 +30,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, crc32_mod, hash_sample, materialize, table, text_of
+from .common import (bounded_batches, crc32_mod, hash_sample, materialize, release, table,
+                     text_of)
 
 STATES = 6
 TOP_WORDS = 2000
@@ -127,6 +128,7 @@ def chunk_table(docs: DataFrame, held_out, id_col: str, text_col: str,
                 if state["n"] >= chunk_tokens:
                     yield from flush()
         yield from flush()
+        release()
 
     return rows.mapInArrow(
         chunk_rows, f"chunk long, is_word boolean, doc {kind}, held_out boolean, seq binary, "
@@ -292,6 +294,7 @@ def train(classed: DataFrame, class_counts, states: int = STATES, rounds: int =
             some = np.flatnonzero(flat)
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(flat[some])],
                                              names=["i", "n"])
+            release()
 
         got = (training.select("classes").mapInArrow(count_rows, "i int, n long")
                .groupBy("i").agg(F.sum("n").alias("n")).collect())  # one row per parameter
@@ -342,6 +345,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
         own = room[cls]
         inside = np.where(own > 0, base - np.log10(np.maximum(own, 1)), 0.0)
         seqs = [numbers(s) for s in texts["seq"]]
+        release()
         return pd.DataFrame({
             "doc": texts["doc"], "held_out": texts["held_out"],
             "n_tokens": [len(s) for s in seqs],
@@ -366,6 +370,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
             got += b.column(5).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(got, pa.float64())],
                                              names=[*b.schema.names[:5], "score"])
+        release()
 
     return classed.mapInArrow(
         score_rows, f"doc {kind}, held_out boolean, n_tokens long, n_known long, base double, "
