@@ -21,7 +21,7 @@ WORD_RE = r"[^\x20\x09-\x0D]+"
 
 # Arrow batches are cut by bytes as well as rows, so very long texts cannot
 # pile up in one Python worker.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 ROOT = str(Path(__file__).resolve().parents[2])
 
 

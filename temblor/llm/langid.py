@@ -32,7 +32,7 @@ STRETCH = 1024
 # and characters of the reference made from them.
 SAMPLE_ROWS = 40
 SAMPLE_CHARS = 4_000
-REFERENCE_CHARS = 40_000
+REFERENCE_CHARS = 30_000
 MAX_LANGUAGES = 50
 LETTERS = 62           # most frequent letters told apart; code 0 is the blank
 SLICE = 1 << 22        # characters parsed together

@@ -28,7 +28,7 @@ from .common import bounded_batches, held, table, text_of
 
 MAX_LENGTH = 4096
 END_ID = 2
-WORDS_KEPT = 250_000
+WORDS_KEPT = 150_000
 
 # Contraction endings are pre-tokens of their own (fixed values).
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"

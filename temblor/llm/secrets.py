@@ -43,7 +43,7 @@ SAMPLE_FILTER = r"(?i)password|passwd|secret|token|api_?key|AKIA|[0-9a-f]{24,}"
 
 # The training sample's bound: documents with and without a base name, and
 # characters of each.
-WORDS_KEPT = 200_000
+WORDS_KEPT = 100_000
 SAMPLE_DOCS = 200
 SAMPLE_CHARS = 8_000
 STEPS = 120
