@@ -8,9 +8,11 @@ normalised by log2 of the reference length and by the text's length, wins.
 
 Texts are read in stretches of ``STRETCH`` characters, each parsed from its
 start, so a very long text is as cheap as many short ones. All stretches of a
-batch, in all languages, step through dense transition tables together.
+batch, in all languages, step through the transitions together: dense tables
+for each language's most frequent letters, a sorted list for its other ones.
 
 Parsed are lower-cased letters, and one blank for each run of anything else.
+Every letter of a reference is told apart, in whatever script it is.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0, as is everything where nothing is labelled; equal counts go to the smaller
@@ -34,7 +36,9 @@ SAMPLE_ROWS = 40
 SAMPLE_CHARS = 4_000
 REFERENCE_CHARS = 30_000
 MAX_LANGUAGES = 50
-LETTERS = 62           # most frequent letters told apart; code 0 is the blank
+# Letters of a language with a column in its dense table; its other letters are
+# looked up in the sorted list. The results do not depend on it.
+LETTERS = 62
 SLICE = 1 << 22        # characters parsed together
 
 
@@ -43,10 +47,9 @@ def normalize(text: str) -> str:
     return " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
 
 
-def suffix_automaton(codes: list[int], width: int):
-    """Dense transitions of the automaton of all substrings: row 0 is dead
-    (every entry 0), row 1 the root."""
-    import numpy as np
+def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
+    """Transitions of the automaton of all substrings: state 0 is dead (and
+    has none), state 1 the root."""
     nxt: list[dict[int, int]] = [{}, {}]
     link, length = [0, 0], [0, 0]
     last = 1
@@ -73,11 +76,7 @@ def suffix_automaton(codes: list[int], width: int):
                     nxt[p][c] = clone
                     p = link[p]
         last = cur
-    out = np.zeros((len(nxt), width), np.int32)
-    for i, row in enumerate(nxt):
-        for c, j in row.items():
-            out[i, c] = j
-    return out
+    return nxt
 
 
 class Parser:
@@ -90,27 +89,51 @@ class Parser:
         self.np = np
         self.langs = sorted(references)
         clean = {k: " " + normalize(v) + " " for k, v in references.items()}
-        seen = Counter(c for k in self.langs for c in clean[k] if c != " ")
-        letters = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]]
-        self.other = LETTERS + 1
-        self.width = LETTERS + 2
-        codes = np.zeros(0x110000, np.uint8)
+        # One code for each letter of any reference; 0 is the blank, the last
+        # one any other letter.
+        letters = sorted({c for t in clean.values() for c in t} - {" "})
+        code = {c: i for i, c in enumerate([" ", *letters])}
+        self.other = len(code)
+        codes = np.zeros(0x110000, np.int32)
         codes[[i for i in range(0x110000) if chr(i).isalpha()]] = self.other
-        for i, c in enumerate(letters):
-            codes[ord(c)] = i + 1
+        for c, i in code.items():
+            codes[ord(c)] = i
         self.codes = codes
-        tables, at = [], 0
-        self.first = []
-        for k in self.langs:
-            known = [c if c != self.other else None
-                     for c in codes[np.frombuffer(clean[k].encode("utf-32-le"), np.uint32)].tolist()]
-            # A letter outside the alphabet ends what can be matched.
-            t = suffix_automaton([c for c in known if c is not None], self.width)
-            t[t > 0] += at
-            tables.append(t)
-            self.first.append(t[1])
-            at += len(t)
-        self.table = np.concatenate(tables).reshape(-1) if tables else None
+        # A state is where its row begins in the table of all languages, with a
+        # column for the blank and each of the most frequent letters; column 0
+        # (every entry 0) is for letters without one. The others' transitions
+        # are in ``rare_to``, by state and code in ``rare_keys``.
+        self.columns = np.zeros((len(self.langs), self.other + 1), np.uint8)
+        self.rare = np.zeros((len(self.langs), self.other + 1), bool)
+        self.first = np.zeros((len(self.langs), self.other + 1), np.int64)
+        tables, keys, to, at = [np.zeros(LETTERS + 2, np.int32)], [], [], LETTERS + 2
+        for k, lang in enumerate(self.langs):
+            text = [code[c] for c in clean[lang]]
+            seen = [c for c, _ in sorted(Counter(x for x in text if x).items(),
+                                         key=lambda x: (-x[1], x[0]))]
+            column = {c: i + 1 for i, c in enumerate([0, *seen[:LETTERS]])}
+            self.columns[k, list(column)] = list(column.values())
+            self.rare[k, seen[LETTERS:]] = True
+            moves, width = suffix_automaton(text), len(column) + 1
+            small = at + len(moves) * width < 1 << 31
+            table = np.zeros((len(moves), width), np.int32 if small else np.int64)
+            for i, row in enumerate(moves):
+                for c, j in row.items():
+                    if c in column:
+                        table[i, column[c]] = at + j * width
+                    else:
+                        keys.append((at + i * width) * (self.other + 1) + c)
+                        to.append(at + j * width)
+            for c, j in moves[1].items():
+                self.first[k, c] = at + j * width
+            tables.append(table.reshape(-1))
+            at += table.size
+        self.table = np.concatenate(tables)
+        self.first = self.first.astype(self.table.dtype)
+        order = np.argsort(np.array(keys, np.int64))
+        self.rare_keys = np.array(keys, np.int64)[order]
+        self.rare_to = np.array(to, self.table.dtype)[order]
+        self.rare_langs = np.flatnonzero(self.rare.any(1))
         self.scale = np.array([np.log2(len(clean[k]) + 1) for k in self.langs])
 
     def _stretch_codes(self, stretch: str):
@@ -146,7 +169,7 @@ class Parser:
                     held.append(got)
                     owner.append(i)
                     size += len(got)
-                    if size > SLICE:
+                    if size > SLICE or len(held) * k > SLICE:
                         flush()
                         size = 0
         flush()
@@ -158,25 +181,36 @@ class Parser:
         lens = np.array(list(map(len, held)))
         order = np.argsort(-lens, kind="stable")
         longest = int(lens.max())
-        grid = np.zeros((n, longest), np.uint8)
+        kind = np.uint8 if self.other < 1 << 8 else np.int32
+        grid = np.zeros((n, longest), kind)
         for row, i in enumerate(order):
             grid[row, :lens[i]] = held[i]
         grid = np.ascontiguousarray(grid.T)
         active = np.searchsorted(-lens[order], -np.arange(longest), side="left")
-        state = np.zeros((k, n), np.int32)
+        state = np.zeros((k, n), self.table.dtype)
         count = np.zeros((k, n), np.int32)
-        first = np.stack(self.first)
         for t in range(longest):
             m = int(active[t])
             c = grid[t, :m]
-            nxt = self.table.take(state[:, :m] * np.int32(self.width) + c)
+            nxt = self.table.take(state[:, :m] + self.columns[:, c])
+            for i in self.rare_langs:
+                self._rare_moves(state[i], c, self.rare[i], nxt[i])
             new = nxt == 0
             count[:, :m] += new
-            state[:, :m] = np.where(new, first[:, c], nxt)
+            state[:, :m] = np.where(new, self.first[:, c], nxt)
         out = np.zeros((n, k), np.int64)
         out[order] = count.T
         return out, lens
 
+    def _rare_moves(self, state, c, rare, nxt):
+        """Fill in the transitions by letters without a column."""
+        np = self.np
+        on = np.flatnonzero(rare[c])
+        if len(on):
+            key = state[on].astype(np.int64) * (self.other + 1) + c[on]
+            at = np.minimum(np.searchsorted(self.rare_keys, key), len(self.rare_keys) - 1)
+            nxt[on] = np.where(self.rare_keys[at] == key, self.rare_to[at], 0)
+
     def judge(self, texts: list[str | None]) -> list[tuple[str, float]]:
         np = self.np
         phrases, chars = self.counts([t or "" for t in texts])

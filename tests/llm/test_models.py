@@ -243,3 +243,52 @@ def test_language_of_odd_rows(odd_docs, no_docs):
     assert all(by[i] == ("und", 0.0) for i in (1, 2, 3, 7)) and by[4][0] == "en"
     assert langid.fit(no_docs) == {} and langid.identify(no_docs, known).count() == 0
     assert {r["lang_pred"] for r in langid.identify(odd_docs, {}).collect()} == {"und"}
+
+
+SCRIPTS = {
+    "zh": [chr(0x4E00 + 7 * i % 900) for i in range(900)],
+    "ja": [chr(0x3041 + i) for i in range(83)] + [chr(0x30A1 + i) for i in range(83)],
+    "ru": [chr(0x430 + i) for i in range(32)], "el": [chr(0x3B1 + i) for i in range(24)],
+    "en": [chr(0x61 + i) for i in range(26)]}
+
+
+def _script_texts(n, seed, size=600):
+    """Texts of made words in each script, from one word list a language."""
+    out = {}
+    for lang, letters in SCRIPTS.items():
+        rng = np.random.default_rng(len(lang) + ord(lang[0]))
+        words = ["".join(rng.choice(letters, rng.integers(2, 6))) for _ in range(400)]
+        rng = np.random.default_rng(seed)
+        out[lang] = [" ".join(rng.choice(words, size // 4)) for _ in range(n)]
+    return out
+
+
+def test_letters_of_every_script_are_told_apart():
+    """More letters than the dense tables have columns: none is dropped."""
+    known = {k: "\n".join(v) for k, v in _script_texts(8, 1).items()}
+    parser = langid.Parser(known)
+    assert len({c for v in known.values() for c in v}) > 10 * langid.LETTERS
+    some = [t for v in _script_texts(3, 2).values() for t in v]
+    phrases, _ = parser.counts(some)
+    for text, got in zip(some, phrases.tolist()):
+        for lang, n in zip(parser.langs, got):
+            reference, want = " " + langid.normalize(known[lang]) + " ", 0
+            for a in range(0, len(text), langid.STRETCH):
+                s, i = langid.normalize(text[a:a + langid.STRETCH]), 0
+                while i < len(s):
+                    j = i + 1
+                    while j <= len(s) and s[i:j] in reference:
+                        j += 1
+                    want, i = want + 1, max(j - 1, i + 1)
+            assert n == want
+    for lang, texts in _script_texts(3, 3).items():
+        assert [got for got, _ in parser.judge(texts)] == [lang] * 3
+
+
+def test_language_of_han_kana_and_cyrillic(make_docs):
+    rows = [(i, t, lang) for i, (lang, t) in enumerate(
+        (lang, t) for lang, v in _script_texts(12, 1).items() for t in v)]
+    new = [(900 + i, t, lang) for i, (lang, t) in enumerate(
+        (lang, t) for lang, v in _script_texts(4, 5, 80).items() for t in v)]
+    got = langid.identify(make_docs(new), langid.fit(make_docs(rows)), keep=("lang",)).collect()
+    assert len(got) == len(new) and all(r["lang_pred"] == r["lang"] for r in got)
