@@ -22,11 +22,11 @@ are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, crc32_mod, hash_sample, held, table
+from .common import bounded_batches, crc32_mod, held, small, table
 
 UNKNOWN = "und"
 STRETCH = 1024
@@ -35,10 +35,11 @@ STRETCH = 1024
 SAMPLE_ROWS = 40
 SAMPLE_CHARS = 4_000
 REFERENCE_CHARS = 30_000
-MAX_LANGUAGES = 50
-# Letters of a language with a column in its dense table; its other letters are
-# looked up in the sorted list. The results do not depend on it.
+# Letters of a language with a column in its dense table, and numbers in the
+# tables of all languages (beyond which each has fewer columns); its other
+# letters are looked up in the sorted list. The results do not depend on them.
 LETTERS = 62
+TABLE_SIZE = 1 << 26
 SLICE = 1 << 22        # characters parsed together
 
 
@@ -107,13 +108,15 @@ class Parser:
         self.rare = np.zeros((len(self.langs), self.other + 1), bool)
         self.first = np.zeros((len(self.langs), self.other + 1), np.int64)
         tables, keys, to, at = [np.zeros(LETTERS + 2, np.int32)], [], [], LETTERS + 2
+        states = 2 * sum(map(len, clean.values()))  # at most
+        dense = min(LETTERS, max(0, TABLE_SIZE // max(1, states) - 2))
         for k, lang in enumerate(self.langs):
             text = [code[c] for c in clean[lang]]
             seen = [c for c, _ in sorted(Counter(x for x in text if x).items(),
                                          key=lambda x: (-x[1], x[0]))]
-            column = {c: i + 1 for i, c in enumerate([0, *seen[:LETTERS]])}
+            column = {c: i + 1 for i, c in enumerate([0, *seen[:dense]])}
             self.columns[k, list(column)] = list(column.values())
-            self.rare[k, seen[LETTERS:]] = True
+            self.rare[k, seen[dense:]] = True
             moves, width = suffix_automaton(text), len(column) + 1
             small = at + len(moves) * width < 1 << 31
             table = np.zeros((len(moves), width), np.int32 if small else np.int64)
@@ -230,25 +233,35 @@ class Parser:
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
         id_col: str = "doc_id",
-        sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS,
-        max_languages: int = MAX_LANGUAGES) -> dict[str, str]:
-    """Reference text by language, from at most ``sample_rows`` labelled rows
-    of each, none longer than ``sample_chars`` (in the order of a hash)."""
+        sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> dict[str, str]:
+    """Reference text by language, for every label that stands on a text with a
+    letter: from at most ``sample_rows`` such rows of each (in the order of a
+    hash), of a longer text its first ``sample_chars`` characters of letters
+    and blanks between them."""
     rows = (labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                             F.col(lang_col).cast("string").alias("lang"))
-            .where(F.col("lang").isNotNull() & F.col("text").isNotNull()
-                   & (F.char_length("text") <= sample_chars)))
-    # The most frequent labels; a label column of garbage is cut off there.
-    labels = [r["lang"] for r in rows.groupBy("lang").count()
-              .orderBy(F.desc("count"), "lang").limit(max_languages).collect()]
+            .where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")))
     texts: dict[str, list[str]] = {}
-    if not labels:
-        return texts
-    for r in hash_sample(rows.where(F.col("lang").isin(labels)), sample_rows, "lang",
-                         "text", "id").collect():
+    for r in label_sample(rows, sample_rows, sample_chars).collect():
         texts.setdefault(r["lang"], []).append(r["text"])
-    room = min(REFERENCE_CHARS, 400_000 // max(1, len(texts)))
-    return references(agreeing(texts, room), room)
+    return references(agreeing(texts, REFERENCE_CHARS), REFERENCE_CHARS)
+
+
+def label_sample(rows: DataFrame, n: int, chars: int) -> DataFrame:
+    """``lang`` and ``text`` (cut to ``chars``) of at most ``n`` rows of each
+    label, as ``hash_sample`` takes them, but for any number of labels: their
+    counts are joined, and only cut texts of about four times ``n`` rows a
+    label are sent."""
+    counts = rows.groupBy(F.col("lang").alias("__lang")).agg(F.count(F.lit(1)).alias("__count"))
+    share = F.xxhash64("text", "id").bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53)
+    letters = F.substring(F.ltrim(F.regexp_replace("text", r"\P{L}+", " ")), 1, chars)
+    order = Window.partitionBy("lang").orderBy("__h", "text", "id")
+    return (rows.withColumn("__h", share).join(small(counts), F.col("lang") == F.col("__lang"))
+            .where(F.col("__h") * F.col("__count") < 4 * n)
+            .select("lang", "__h", "id", F.when(F.char_length("text") <= chars, F.col("text"))
+                    .otherwise(letters).alias("text"))
+            .withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= n)
+            .orderBy("lang", "__n").select("lang", "text"))
 
 
 def references(texts: dict[str, list[str]], room: int) -> dict[str, str]:

@@ -292,3 +292,30 @@ def test_language_of_han_kana_and_cyrillic(make_docs):
         (lang, t) for lang, v in _script_texts(4, 5, 80).items() for t in v)]
     got = langid.identify(make_docs(new), langid.fit(make_docs(rows)), keep=("lang",)).collect()
     assert len(got) == len(new) and all(r["lang_pred"] == r["lang"] for r in got)
+
+
+def test_every_labelled_language_is_learned(make_docs):
+    """More labels than 50, the rarest only on a long text; no label without a letter."""
+    rng = np.random.default_rng(7)
+    words = {f"l{k:02}": ["".join(rng.choice(SCRIPTS["en"], 5)) for _ in range(40)]
+             for k in range(60)}
+    rows = [(i, " ".join(rng.choice(words[lang], 60)), lang)
+            for i, lang in enumerate([*words] * 2) if lang != "l59"]
+    rows += [(500, "1234 " * 2_000 + " ".join(rng.choice(words["l59"], 3_000)), "l59"),
+             (501, "42 %", "digits"), (502, None, "none")]
+    known = langid.fit(make_docs(rows))
+    assert set(known) == set(words) and len(known["l59"]) > 3_000
+    new = [(900 + k, " ".join(rng.choice(words[lang], 40)), lang) for k, lang in enumerate(words)]
+    got = langid.identify(make_docs(new), known, keep=("lang",)).collect()
+    assert all(r["lang_pred"] == r["lang"] for r in got)
+
+
+def test_narrower_tables_give_the_same_phrases():
+    known = {k: "\n".join(v) for k, v in _script_texts(8, 1).items()}
+    some = [t for v in _script_texts(2, 2).values() for t in v]
+    wide = langid.Parser(known).counts(some)[0]
+    kept, langid.TABLE_SIZE = langid.TABLE_SIZE, 100_000
+    try:
+        assert (langid.Parser(known).counts(some)[0] == wide).all()
+    finally:
+        langid.TABLE_SIZE = kept
