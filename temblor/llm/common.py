@@ -79,11 +79,12 @@ def small(df: DataFrame, rows: int = 500_000) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def hash_sample(df: DataFrame, n: int, by: str | None, *hashed: str) -> DataFrame:
+def hash_sample(df: DataFrame, n: int, by: str | None, *hashed: str, cut=None) -> DataFrame:
     """At most ``n`` rows (of each value of ``by``, which must have few), in
     the order of a hash of ``hashed``. Counts first and keeps the fraction of
     the hash range that holds about four times ``n`` rows, so neither the
-    driver nor one task is sent more than that, whatever the table's size."""
+    driver nor one task is sent more than that, whatever the table's size.
+    ``cut`` may shorten the columns of those rows before they are sent."""
     group = F.col(by) if by else F.lit(0)
     counts = df.groupBy(group.alias("g")).count().collect()
     share = (F.xxhash64(*hashed).bitwiseAND(F.lit((1 << 53) - 1)) / float(1 << 53))
@@ -92,7 +93,8 @@ def hash_sample(df: DataFrame, n: int, by: str | None, *hashed: str) -> DataFram
         limit = F.when(group.eqNullSafe(F.lit(r["g"])), min(1.0, 4 * n / r["count"])).otherwise(
             limit)
     order = Window.partitionBy("__g").orderBy("__h", *hashed)
-    return (df.withColumns({"__g": group, "__h": share}).where(F.col("__h") < limit)
+    some = df.withColumns({"__g": group, "__h": share}).where(F.col("__h") < limit)
+    return ((cut(some) if cut else some)
             .withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= n)
             .orderBy("__g", "__n").drop("__g", "__h", "__n"))
 

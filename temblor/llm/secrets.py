@@ -16,7 +16,7 @@ Base patterns are kept beside the field's spans; a span of the field that
 touches a base span is left out.
 
 Defined results: null and empty texts hold no spans; without any base span in
-the sample, the field adds none; repeated rows are scanned as often as they
+the documents, the field adds none; repeated rows are scanned as often as they
 occur; other columns are ignored.
 """
 
@@ -39,13 +39,16 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
-SAMPLE_FILTER = r"(?i)password|passwd|secret|token|api_?key|AKIA|[0-9a-f]{24,}"
+# The same for Spark: ASSIGN's values are its second group.
+ASSIGN_SQL = "(?i)" + ASSIGN.pattern
+OTHERS_SQL = f"{ACCESS.pattern}|{HEX.pattern}"
 
-# The training sample's bound: documents with and without a base name, and
-# characters of each.
+# The training sample's bound: documents with and without a base span, and
+# characters of each; characters on either side of a long document's spans.
 WORDS_KEPT = 100_000
 SAMPLE_DOCS = 200
 SAMPLE_CHARS = 8_000
+AROUND = 400
 STEPS = 120
 PAD = 40
 
@@ -56,6 +59,7 @@ MARKS = "=:\"'._-/+@"
 NEUTRAL = {"word", "punct", "edge", "none", "True", "False"}
 FINE = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+|[^\s0-9A-Za-z\x80-\U0010ffff]")
 WORD = re.compile(r"\S+")
+SPACE = re.compile(r"\s")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, int]]:
@@ -71,6 +75,13 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
     return sorted(out)
 
 
+def has_base_span(text: Column) -> Column:
+    """True where ``base_spans`` finds any."""
+    values = F.regexp_extract_all(text, F.lit(ASSIGN_SQL), F.lit(2))
+    return text.rlike(OTHERS_SQL) | (text.rlike(ASSIGN_SQL) & F.exists(
+        values, lambda v: F.length(v) >= 6))
+
+
 SIZES = (3, 7, 11, 15, 19, 23, 31, 39)
 
 
@@ -226,9 +237,50 @@ class Field:
         return out
 
 
-def training_windows(text: str) -> list[tuple[list[str], list[int], bool]]:
+def pieces(text: str, chars: int = SAMPLE_CHARS, around: int = AROUND) -> list[str]:
+    """A text of at most ``chars`` characters; of a longer one, what stands
+    around its first base spans, or its start if it has none, up to as many.
+    No piece begins or ends within a word or a base span shorter than that."""
+    if len(text) <= chars:
+        return [text]
+    spans: list[list[int]] = []  # spans that overlap are one
+    for s, _, e, _ in base_spans(text):
+        if spans and s < spans[-1][1]:
+            spans[-1][1] = max(e, spans[-1][1])
+        else:
+            spans.append([s, e])
+    if not spans:
+        return [text[:chars].rpartition(" ")[0] or text[:chars]]
+    out, room, done = [], chars, 0
+    for i, (s, e) in enumerate(spans):
+        if e <= done:  # the piece before holds it
+            continue
+        a = max(s - around, done)
+        if i:
+            a = max(a, spans[i - 1][1])
+        if a and not text[a - 1].isspace():  # the first word that begins after a
+            gap = SPACE.search(text, a, s)
+            a = gap.end() if gap else s
+        b = min(e + around, len(text))
+        for x, y in spans[i + 1:i + 1 + around]:
+            if x >= b:
+                break
+            if y > b:
+                b = x
+        if b < len(text) and b > e:
+            b = next((k for k in range(b, e, -1) if text[k - 1].isspace()), e)
+        b = min(b, a + chars)
+        if out and b - a > room:
+            break
+        out.append(text[a:b])
+        room, done = room - (b - a), b
+    return out
+
+
+def training_windows(text: str, hint: bool | None = None,
+                     ) -> list[tuple[list[str], list[int], bool]]:
     """Token windows with the tags of the base spans: around each span, and the
-    start of the text."""
+    start of the text. ``hint`` is the file feature, if the text is a piece."""
     tokens = list(FINE.finditer(text))
     spans = [(value, end) for _, _, end, value in base_spans(text)]
     tags = []
@@ -238,7 +290,7 @@ def training_windows(text: str) -> list[tuple[list[str], list[int], bool]]:
             s[0] != m.start() for s in inside) else B)
     centres = [i for i, y in enumerate(tags) if y == B] + [PAD // 2] + list(
         range(PAD, len(tokens), 400))
-    out, hint = [], file_hint(text)
+    out, hint = [], file_hint(text) if hint is None else hint
     for c in dict.fromkeys(centres):
         a = max(0, c - PAD // 2)
         some = tokens[a:a + PAD]
@@ -309,14 +361,34 @@ def train(windows, steps: int = STEPS, l2: float = 1e-7, rate: float = 0.15) ->
 def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
         sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Field | None:
     """Train on the base spans of at most ``sample_docs`` documents that hold a
-    base name and as many that do not, none longer than ``sample_chars``."""
+    base span and as many that do not; of a document longer than
+    ``sample_chars``, on pieces of that length in all."""
+    bounded_batches(docs.sparkSession)
     text = F.col(text_col)
-    some = docs.select(F.col(id_col).alias("id"), text.alias("text")).where(
-        text.isNotNull() & (F.char_length(text) <= sample_chars))
-    named = some.withColumn("named", F.col("text").rlike(SAMPLE_FILTER))
-    picked = [r["text"] for r in hash_sample(named, sample_docs, "named", "text", "id")
-              .collect()]
-    return train([w for t in dict.fromkeys(picked) for w in training_windows(t)])
+    some = docs.select(F.col(id_col).alias("id"), text.alias("text")).where(text.isNotNull())
+    marked = some.withColumn("spans", has_base_span(F.col("text")))
+
+    def cut(rows):
+        rows = rows.select("__g", "__h", "id", "text")
+        schema = T.StructType([f for f in rows.schema if f.name != "text"]).add(
+            "text", T.ArrayType(T.StringType())).add("hint", T.BooleanType())
+
+        def cut_rows(batches):
+            import pyarrow as pa
+            for b in batches:
+                texts = b.column(3).to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns[:3],
+                     pa.array([pieces(t, sample_chars) for t in texts], pa.list_(pa.string())),
+                     pa.array([file_hint(t) for t in texts], pa.bool_())],
+                    names=[*b.schema.names[:3], "text", "hint"])
+
+        return rows.mapInArrow(cut_rows, schema)
+
+    picked = dict.fromkeys(
+        (t, r["hint"]) for r in hash_sample(marked, sample_docs, "spans", "text", "id",
+                                            cut=cut).collect() for t in r["text"])
+    return train([w for t, hint in picked for w in training_windows(t, hint)])
 
 
 def scan(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text",

@@ -117,6 +117,54 @@ def test_redaction(make_docs, field):
     assert {r["doc_id"]: r["t"] for r in got} == {1: "x [SECRET] y [SECRET]", 2: "clean", 3: None}
 
 
+def _hidden(n, seed=0):
+    """Values that look like the field's own secrets, for ``n`` long texts."""
+    rng = np.random.default_rng(seed)
+    alphabet = list("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789")
+    return ["".join(rng.choice(alphabet, 28)) for _ in range(n)]
+
+
+def test_field_learns_from_rare_and_long_documents(make_docs):
+    """Names in plain prose, spans only in long texts: both reach the sample."""
+    prose = [f"the secret of page {i} is a token of trust and no password at all " * 3
+             for i in range(1_500)]
+    filler = "some plain words of a long page about rivers and hills\n" * 200
+    long = [f"{filler}token = {v}\n{filler}" for v in _hidden(12)]
+    docs = make_docs([*enumerate(prose), *enumerate(long, 5_000)])
+    field = secrets.fit(docs)
+    assert field is not None
+    for v in _hidden(5, 3):
+        t = f"{filler}password = {v}\n{filler}"
+        at = t.index(v)
+        assert any(s < at + len(v) and at < e for s, e in field.spans(t))
+    assert sum(bool(field.spans(t)) for t in prose) == 0
+
+
+def test_positive_group_is_that_of_the_base_spans(make_docs, texts):
+    some = [*TRICKY, *[r["text"] for r in texts.values()], *[t for _, t in ODD if t is not None],
+            "the token and the secret", "token=abcde", "x token : 'abcde!' api_key=a.b-c/"]
+    got = make_docs(list(enumerate(some))).select(
+        "doc_id", secrets.has_base_span(F.col("text")).alias("has")).collect()
+    assert {r["doc_id"]: r["has"] for r in got} == {
+        i: bool(secrets.base_spans(t)) for i, t in enumerate(some)}
+
+
+def test_pieces_hold_whole_spans():
+    rng = np.random.default_rng(6)
+    for k in range(60):
+        parts = [rng.choice(["word", "a.b", "x" * 50, "token = " + "ab3" * 5, "0a" * 15,
+                             "AKIA" + "Q7" * 9, "api_key='zz9zz9zz9' y"]) + rng.choice([" ", "\n", "-"])
+                 for _ in range(400)]
+        text = "".join(parts)
+        whole = {text[s:e] for s, _, e, _ in secrets.base_spans(text)}
+        got = secrets.pieces(text, 2_000, 100)
+        assert got and sum(map(len, got)) <= 2_000 and all(p in text for p in got)
+        found = [p[s:e] for p in got for s, _, e, _ in secrets.base_spans(p)]
+        assert found and set(found) <= whole
+    assert secrets.pieces("token=" + "a1" * 9_000, 2_000)[0] == "token=" + "a1" * 997
+    assert secrets.pieces("plain " * 900, 2_000) == [("plain " * 333).strip()]
+
+
 # --- op6 -----------------------------------------------------------------
 
 def test_base_scores_equal_brute_force(make_docs):
