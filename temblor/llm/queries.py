@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, langid, licenses, lm, metric_join, ngram_join, packing, quality, secrets, urls
+from . import (bpe, codes, importance, inner_search, langid, licenses, lm, metric_join, ngram_join,
+               packing, quality, secrets, urls)
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -17,7 +18,12 @@ QUERIES = {
     "op8_pack": packing.op8_pack,
     "op9_quality": quality.op9_quality,
     "op10_metric_join": metric_join.op10_metric_join,
+    "op11_top_products": inner_search.op11_top_products,
+    "op12_importance_resample": importance.op12_importance_resample,
+    "op13_vector_codes": codes.op13_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL = {**licenses.ORACLE_SQL, **urls.ORACLE_SQL, **quality.ORACLE_SQL}
+ORACLE_SQL = {**licenses.ORACLE_SQL, **urls.ORACLE_SQL, **quality.ORACLE_SQL,
+              **inner_search.ORACLE_SQL,
+              **importance.ORACLE_SQL, **codes.ORACLE_SQL}
