@@ -11,7 +11,7 @@ from .trend import period_change, with_previous
 from .weighted import weighted_avg
 from .windowed import (feed_status, flatten_window, near_point, window_avg,
                        window_avg_nst, window_count, window_count_above,
-                       window_energy, window_near_point_count,
+                       window_energy, window_metrics, window_near_point_count,
                        window_share_below, window_trend, windowed)
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -71,11 +71,14 @@ def window_count_above(df, value="magnitude", threshold=3.0, time="time",
     return window_count(df.filter(F.col(value) > threshold), time, length, name, **kw)
 
 
+def share_below(value: str, limit: float) -> Column:
+    """Percentage of rows whose ``value`` is below ``limit``."""
+    return F.count_if(F.col(value) < limit) / F.count(F.lit(1)) * 100
+
+
 def window_share_below(df, value="depth", limit=10.0, time="time", length="30 minutes",
                        name="percent_shallow", **kw) -> DataFrame:
-    share = (F.sum(F.when(F.col(value) < limit, 1).otherwise(0))
-             / F.count(F.lit(1)) * 100)
-    return windowed(df, time, length, [share.alias(name)], **kw)
+    return windowed(df, time, length, [share_below(value, limit).alias(name)], **kw)
 
 
 def window_avg_nst(df, time="time", value="nst", length="30 minutes",
@@ -104,6 +107,48 @@ def window_near_point_count(df, lat_col="latitude", lon_col="longitude",
     return window_count(near, time, length, name, **kw)
 
 
+# Window lengths in minutes. The half-hour metrics, the count of
+# strong events, and the count near a point.
+METRIC_MINUTES, STRONG_MINUTES, NEAR_MINUTES = 30, 60, 120
+
+
+def window_metrics(df: DataFrame, time: str = "time", watermark: str | None = None,
+                   magnitude: str = "magnitude", depth: str = "depth", nst: str = "nst",
+                   strong: float = 3.0, shallow: float = 10.0, lat_col: str = "latitude",
+                   lon_col: str = "longitude", lat: float = NEAR_POINT_LAT,
+                   lon: float = NEAR_POINT_LON, radius_km: float = NEAR_POINT_RADIUS_KM,
+                   exact_scale: int | None = None) -> DataFrame:
+    """All seven windowed metrics in one aggregation: each event is expanded to
+    the window lengths it counts in (30 minutes: every event; 60: those above
+    ``strong``; 120: those near the point), and rows are grouped by ``minutes``
+    and ``window_end``. ``num_events`` is the count of each; the other columns
+    mean something for the half-hour windows only.
+
+    On a stream the watermark stands on the end of the window, up to the longest
+    length after the event: that much is added to the delay, so that no event
+    less than ``watermark`` late is lost and ended windows leave the state."""
+    near = haversine_km(lat_col, lon_col, lat, lon) <= radius_km
+    lengths = F.array_compact(F.array(
+        F.lit(METRIC_MINUTES), F.when(F.col(magnitude) > strong, STRONG_MINUTES),
+        F.when(near, NEAR_MINUTES)))
+    seconds = F.col("minutes") * 60
+    end = F.timestamp_seconds((F.floor(F.unix_seconds(time) / seconds) + 1) * seconds)
+    rows = (df.where(F.col(time).isNotNull()).withColumn("minutes", F.explode(lengths))
+            .withColumn("window_end", end))
+    if watermark:
+        rows = rows.withWatermark("window_end", f"{watermark} {NEAR_MINUTES} minutes")
+    avg = exact_avg(magnitude, exact_scale) if exact_scale is not None else F.avg(magnitude)
+    out = rows.groupBy("minutes", "window_end").agg(
+        avg.alias("avg_magnitude"), F.sum(energy_joules(magnitude)).alias("total_energy"),
+        F.count(F.lit(1)).alias("num_events"),
+        share_below(depth, shallow).alias("percent_shallow"),
+        F.avg(nst).alias("average_nst"))
+    start = F.timestamp_seconds(F.unix_seconds("window_end") - seconds)
+    return out.select("minutes", start.alias("window_start"), "window_end", "num_events",
+                      "avg_magnitude", "total_energy", "percent_shallow", "average_nst",
+                      trend_label("num_events").alias("trend"))
+
+
 def feed_status(df: DataFrame, time: str = "time", count_name: str = "total_events",
                 last_name: str = "last_update") -> DataFrame:
     """Total events and the newest event time (one row)."""

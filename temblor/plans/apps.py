@@ -14,11 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.labels import energy_joules, trend_label
 from ..model import forest
 from ..operators.pairs import proximity_pairs
-from ..operators.windowed import (flatten_window, window_count_above,
-                                  window_near_point_count, windowed)
+from ..operators.windowed import feed_status, window_metrics
 from ..schemas import EVENT
 from ..sources.feed import decode
 from ..sources.files import land_raw, list_tables, preview
@@ -67,64 +65,37 @@ def events_from_messages(messages: DataFrame, watermark: str | None = None) -> D
     return ev.withWatermark("time", watermark) if watermark else ev
 
 
-# Result stores of the half-hour metrics and their columns. the
-# names are those that existing readers of the stores ask for.
-HALF_HOUR_STORES = {
-    "avgMagnitude": ["window_end", "avg_magnitude"],
-    "totalEnergy": ["window_end", "total_energy"],
-    "numberOfEarthquakesTrend": ["window_end", "num_earthquakes", "trend"],
-    "shallowEarthquakesPercentage": ["window_end", "percent_shallow"],
-    "averageNst": ["window_end", "average_nst"],
+# Result stores of the metrics: window length in minutes, and columns. Fixed
+# values: the names are those that existing readers of the stores ask for.
+METRIC_STORES = {
+    "avgMagnitude": (30, ["window_end", "avg_magnitude"]),
+    "totalEnergy": (30, ["window_end", "total_energy"]),
+    "numberOfEarthquakesTrend": (30, ["window_end", "num_events as num_earthquakes", "trend"]),
+    "shallowEarthquakesPercentage": (30, ["window_end", "percent_shallow"]),
+    "averageNst": (30, ["window_end", "average_nst"]),
+    "strongEarthquakesPerHour": (60, ["window_end", "num_events as num_earthquakes_mag_gt3"]),
+    "numberOfEarthquakesNearLA": (120, ["window_end", "num_events as count"]),
 }
 
 
-def half_hour_metrics(events: DataFrame) -> DataFrame:
-    """S1-S5 in one stateful aggregation."""
-    shallow = F.sum(F.when(F.col("depth") < 10.0, 1).otherwise(0)) / F.count(F.lit(1)) * 100
-    out = flatten_window(windowed(events, "time", "30 minutes", [
-        F.avg("magnitude").alias("avg_magnitude"),
-        F.sum(energy_joules("magnitude")).alias("total_energy"),
-        F.count(F.lit(1)).alias("num_earthquakes"), shallow.alias("percent_shallow"),
-        F.avg("nst").alias("average_nst")]))
-    return out.withColumn("trend", trend_label("num_earthquakes"))
-
-
-def metric_streams(events: DataFrame) -> dict[str, DataFrame]:
-    """The metrics with windows of their own (S0, S6), keyed by window."""
-    return {
-        "strongEarthquakesPerHour": flatten_window(window_count_above(events)),
-        "numberOfEarthquakesNearLA": flatten_window(window_near_point_count(events)),
-    }
-
-
 def start_metrics(messages: DataFrame, out_root: str, checkpoint_root: str,
                   trigger: str | None = "60 seconds", watermark: str | None = "2 hours",
                   pairs_window: str = "60 minutes",
-                  names: list[str] | None = None,
-                  store: str = "log") -> list[StreamingQuery]:
-    """Start every metric on one source: the half-hour metrics as one query that
-    fans out to their stores, the others as queries of their own, each with a
-    checkpoint and exactly-once stores, plus the close-pairs alert stream
-    (append). The default store writes an epoch's rows only (read:
-    ``read_upsert_log``)."""
-    events = events_from_messages(messages, watermark)
+                  names: list[str] | None = None) -> list[StreamingQuery]:
+    """Start the metrics of one source: all windowed ones (S0-S6) as a single
+    query with one read and one state store that fans out to their stores, the
+    feed status (complete mode) and the close-pairs alert stream (append)."""
     started = []
-    wanted = {f"{out_root}/{n}": c for n, c in HALF_HOUR_STORES.items()
-              if not names or n in names}
+    wanted = {f"{out_root}/{n}": (F.col("minutes") == minutes, [F.expr(c) for c in columns])
+              for n, (minutes, columns) in METRIC_STORES.items() if not names or n in names}
     if wanted:
-        started.append(start_fan_out(half_hour_metrics(events), wanted, ["window_start"],
-                                     f"{checkpoint_root}/halfHourMetrics", trigger,
-                                     "halfHourMetrics", store))
-    for name, df in metric_streams(events).items():
-        if names and name not in names:
-            continue
-        started.append(start_upsert(df, f"{out_root}/{name}", ["window_start"],
-                                    f"{checkpoint_root}/{name}", mode="update",
-                                    trigger=trigger, name=name, store=store))
+        metrics = window_metrics(events_from_messages(messages), watermark=watermark)
+        started.append(start_fan_out(metrics, wanted, ["window_start"],
+                                     f"{checkpoint_root}/windowMetrics", trigger,
+                                     "windowMetrics"))
     if not names or "feedStatus" in names:
         # one row, complete mode: the store is replaced by each batch's result
-        status = events_from_messages(messages, None).agg(
-            F.count(F.lit(1)).alias("total_events"), F.max("time").alias("last_update"))
+        status = feed_status(events_from_messages(messages))
         started.append(start_upsert(status, f"{out_root}/feedStatus", [],
                                     f"{checkpoint_root}/feedStatus", mode="complete",
                                     trigger=trigger, name="feedStatus"))

@@ -3,7 +3,7 @@
 from .feed import decode, flatten_geojson, publish_json, to_feature_collections
 from .files import (land_raw, list_tables, preview, raw_history, read_parquet,
                     read_raw_csv, read_table)
-from .sinks import (compact_upsert_log, counted, latest_version,
-                    read_upsert_log, upsert_batch, upsert_log, write_curated, write_topic)
+from .replay import land_in_order, order_files, replay, slice_name, stage_slices
+from .sinks import counted, read_store, upsert_days, write_curated, write_topic
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -1,6 +1,7 @@
 """Structured Streaming: sources, sinks, runners, scoring, archive."""
 
 from .archive import archive_rows
+from .late import read_counts, read_rows, split_late
 from .runner import (kafka_stream, parquet_stream, run_available, start_append,
                      start_console, start_upsert, text_stream)
 from .scoring import (ALERT_THRESHOLD, alert_messages, prepare_scoring_input, score,
