@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clean import SIGNED_NUMBER, gated_cast
@@ -57,8 +59,12 @@ def train(df: DataFrame, features=FEATURES, label: str = LABEL, num_trees: int =
 
 def evaluate(model: PipelineModel, test: DataFrame, label: str = LABEL) -> DataFrame:
     """RMSE, MAE and R^2 in one distributed pass (one-row result)."""
-    p = model.transform(test).select(F.col(label).cast("double").alias("y"),
-                                     F.col("prediction").alias("p"))
+    return metrics_of(model.transform(test), label)
+
+
+def metrics_of(scored: DataFrame, label: str = LABEL) -> DataFrame:
+    """RMSE, MAE and R^2 of rows with a ``prediction``, in one distributed pass."""
+    p = scored.select(F.col(label).cast("double").alias("y"), F.col("prediction").alias("p"))
     s = p.agg(F.count(F.lit(1)).alias("n"),
               F.sum(F.pow(F.col("y") - F.col("p"), 2)).alias("sse"),
               F.sum(F.abs(F.col("y") - F.col("p"))).alias("sae"),
@@ -71,6 +77,43 @@ def evaluate(model: PipelineModel, test: DataFrame, label: str = LABEL) -> DataF
         (F.lit(1.0) - F.try_divide(F.col("sse"), sst)).alias("r2"))
 
 
+def forest_prediction(spark: SparkSession, path: str, features=FEATURES) -> Column:
+    """The saved forest at ``path`` as a Column: its prediction from the feature
+    columns, equal to that of ``transform``, null if a feature is null.
+
+    The nodes (bounded by trees and depth) become one literal, parsed once; each
+    tree is walked from its root by a JVM higher-order function, so a table can
+    be scored, or a score be checked, without the model's own code."""
+    stage = f"{path}/stages/*_RandomForestRegressor_*"
+    node = F.col("nodeData")
+    nodes = spark.read.parquet(f"{stage}/data").select(
+        "treeID", node["id"].alias("id"), node["leftChild"].alias("l"),
+        node["rightChild"].alias("r"), node["split"]["featureIndex"].alias("f"),
+        F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("t"),
+        node["prediction"].alias("p")).orderBy("treeID", "id")
+    trees: dict[int, dict[str, list]] = {}
+    for r in nodes.collect():
+        tree = trees.setdefault(r["treeID"], {k: [] for k in "lrftp"})
+        for k, cells in tree.items():
+            cells.append(r[k])  # a tree's nodes are numbered from 0 without gaps
+    forest = F.from_json(F.lit(json.dumps(list(trees.values()), allow_nan=False)), (
+        "array<struct<l:array<int>,r:array<int>,f:array<int>,t:array<double>,p:array<double>>>"))
+    depth = json.loads(spark.read.text(f"{stage}/metadata").first()[0])["paramMap"]["maxDepth"]
+    x = F.array(*[F.col(c).cast("double") for c in features])
+
+    def walk(tree):
+        def down(at, _):
+            left = F.get(x, F.get(tree["f"], at)) <= F.get(tree["t"], at)
+            child = F.when(left, F.get(tree["l"], at)).otherwise(F.get(tree["r"], at))
+            return F.when(F.get(tree["l"], at) < 0, at).otherwise(child)
+        # No path is longer than the depth; a leaf is where it stays.
+        return F.aggregate(F.sequence(F.lit(1), F.lit(int(depth))), F.lit(0), down,
+                           lambda at: F.get(tree["p"], at))
+    total = F.aggregate(forest, F.lit(0.0), lambda s, tree: s + walk(tree))
+    usable = F.forall(x, lambda v: v.isNotNull())
+    return F.when(usable, total / len(trees))
+
+
 def importances(model: PipelineModel, features=FEATURES) -> DataFrame:
     """Feature importances by name, largest first (one row per feature)."""
     spark = SparkSession.getActiveSession()

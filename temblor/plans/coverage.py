@@ -5,17 +5,20 @@ the model, so that SQL can repeat them)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import split_triplet
 from ..functions.timefn import epoch_ms_to_ts, ts_to_epoch_ms
 from ..model import forest as m
-from ..operators.feed import map_feed
+from ..operators.feed import field_types, map_feed
 from ..operators.topk import latest_n
 from ..session import scratch_path
 from ..sources.feed import publish_json
-from ..sources.files import land_raw, raw_history
+from ..sources.files import land_raw, list_tables, preview, raw_history, read_table
+from ..sources.sinks import counted, write_curated
 from ..streaming.archive import archive_rows
 from ..streaming.scoring import MODEL_COLUMNS, alert_messages, score_columns, skipped_rows
 from .driver import QUAKES_SQL, quakes_view, table
@@ -94,6 +97,54 @@ SELECT CAST(id AS VARCHAR) AS id, magnitude, epoch_us(time) // 1000 AS time, net
        TRUE AS raw_kept FROM quakes"""
 
 
+# ----------------------------------------------------------- catalog and counts
+def catalog_round_trip(spark, sf_dir):
+    """A managed table written, found in the catalog, previewed, read back, and
+    its fields as the map client sees them; the table is dropped again."""
+    q = quakes_view(spark, sf_dir).select("id", "time", "magnitude", "net", "latitude",
+                                          (F.col("magnitude") > 3).alias("strong"))
+    name = f"temblor_round_trip_{uuid.uuid4().hex[:12]}"
+    missing = preview(spark, name) is None
+    write_curated(q, name, target="table")
+    try:
+        listed = list_tables(spark).where(F.col("tableName") == name).count()
+        shown = preview(spark, name, 5).count()
+        rows = read_table(spark, name).count()
+        fields = field_types(read_table(spark, name))
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return fields.withColumns({
+        "missing_before": F.lit(missing), "listed": F.lit(listed).cast("long"),
+        "shown": F.lit(shown).cast("long"), "num_rows": F.lit(rows).cast("long")})
+
+
+CATALOG_SQL = """
+SELECT name, kind, spark_type, true AS missing_before, CAST(1 AS BIGINT) AS listed,
+       (SELECT least(count(*), 5) FROM events) AS shown, (SELECT count(*) FROM events) AS num_rows
+FROM (VALUES ('id', 'real', 'bigint'), ('time', 'string', 'timestamp_ntz'),
+             ('magnitude', 'real', 'double'), ('net', 'string', 'string'),
+             ('latitude', 'real', 'double'), ('strong', 'boolean', 'boolean'))
+     AS t(name, kind, spark_type)"""
+
+
+def observed_counts(spark, sf_dir):
+    """Rows counted while a table is written, beside the counts of what was read
+    and of what came to lie there."""
+    out = []
+    for name in ("events", "orders", "customer"):
+        df = table(spark, sf_dir, name)
+        seen, observation = counted(df, "n")
+        path = scratch_path(spark, "landed", f"counted-{name}")
+        write_curated(seen, name, path=path)
+        out.append((name, observation.get["n"], spark.read.parquet(path).count(), df.count()))
+    return spark.createDataFrame(out, "table_name string, observed long, stored long, read long")
+
+
+COUNTS_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS observed, count(*) AS stored, count(*) AS read "
+    f"FROM {t}" for t in ("events", "orders", "customer"))
+
+
 # ------------------------------------------------------------------ map client
 def latest_map_points(spark, sf_dir):
     """The newest thousand nested features as map points."""
@@ -202,6 +253,8 @@ QUERIES = {
     "epoch_times": epoch_times,
     "csv_landing": csv_landing,
     "raw_history_rows": raw_history_rows,
+    "catalog_round_trip": catalog_round_trip,
+    "observed_counts": observed_counts,
     "latest_map_points": latest_map_points,
     "model_training_rows": model_training_rows,
     "scored_columns": scored_columns,
@@ -214,6 +267,8 @@ ORACLE_SQL = {
     "epoch_times": C16_SQL,
     "csv_landing": A1_SQL,
     "raw_history_rows": A8_SQL,
+    "catalog_round_trip": CATALOG_SQL,
+    "observed_counts": COUNTS_SQL,
     "latest_map_points": R2_SQL,
     "model_training_rows": TRAINING_SQL,
     "scored_columns": SCORED_SQL,

@@ -1,4 +1,7 @@
-"""Model questions over the driver tables (no SQL oracle: rows-only checks).
+"""Model questions over the driver tables. SQL cannot fit the forest, but it
+knows what checks of it must return: the saved nodes, walked by a Column
+expression, give every prediction again (``*_agreement``); the other outputs
+have rows-only checks.
 
 Training rows come from ``quakes_view`` renamed to the model's column names.
 The fitted pipeline is kept under the shared checkpoint folder, one per input
@@ -7,6 +10,7 @@ directory, so the four model outputs share one fit.
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
 from ..functions.timefn import ts_to_epoch_ms
@@ -14,8 +18,8 @@ from ..model import forest as m
 from ..session import scratch_path
 from ..sources.files import input_tag, path_exists
 from ..sources.feed import publish_json
-from ..streaming.scoring import (alert_messages, prepare_scoring_input, score,
-                                 scoring_batch)
+from ..streaming.scoring import (ALERT_THRESHOLD, alert_messages, prepare_scoring_input, score,
+                                 score_columns, scoring_batch)
 from . import driver
 
 RENAME = {"depth": "source_depth_km", "gap": "source_gap_deg",
@@ -66,8 +70,66 @@ def scored_events(spark, sf_dir):
     return score(model, df)
 
 
+# The derived magnitudes are small: predictions lie around 1, few above this.
+DRIVER_ALERT_THRESHOLD = 1.2
+
+
 def alerts(spark, sf_dir):
-    return alert_messages(scored_events(spark, sf_dir))
+    scored = scored_events(spark, sf_dir).drop("alert", "error_abs", "error_squared")
+    return alert_messages(score_columns(scored, DRIVER_ALERT_THRESHOLD))
+
+
+def _unequal(a, b):
+    return F.count_if(~a.eqNullSafe(b)).alias("unequal")
+
+
+def model_agreement(spark, sf_dir):
+    """Predictions of all training and test rows by the fitted pipeline and by
+    its nodes as an expression: rows, how many differ, and whether RMSE, MAE and
+    R^2 of the test rows are the same from ``evaluate``, from Spark's evaluator
+    and from plain aggregates over the expression; whether the importances are
+    shares in descending order."""
+    model, test = fitted(spark, sf_dir)
+    rows = m.prepare(training_rows(spark, sf_dir), keep=["id"])
+    prediction = m.forest_prediction(spark, _model_path(spark, sf_dir))
+    counts = model.transform(rows).withColumn("again", prediction).agg(
+        F.count(F.lit(1)).alias("rows_scored"), _unequal(F.col("prediction"), F.col("again")))
+    own = m.evaluate(model, test).first()
+    plain = test.withColumn("p", prediction).agg(
+        F.sqrt(F.avg(F.pow(F.col(m.LABEL) - F.col("p"), 2))).alias("rmse"),
+        F.avg(F.abs(F.col(m.LABEL) - F.col("p"))).alias("mae"),
+        (1 - F.avg(F.pow(F.col(m.LABEL) - F.col("p"), 2)) / F.var_pop(m.LABEL)).alias("r2")).first()
+    predicted = model.transform(test)
+    same = all(abs(own[k] - plain[k]) < 1e-6 and abs(own[k] - RegressionEvaluator(
+        labelCol=m.LABEL, metricName=k).evaluate(predicted)) < 1e-6 for k in ("rmse", "mae", "r2"))
+    shares = [r["importance"] for r in m.importances(model).collect()]
+    ranked = abs(sum(shares) - 1) < 1e-9 and shares == sorted(shares, reverse=True)
+    return counts.withColumns({"metrics_agree": F.lit(same), "importances_agree": F.lit(ranked)})
+
+
+AGREEMENT_SQL = """
+SELECT count(*) AS rows_scored, CAST(0 AS BIGINT) AS unequal, true AS metrics_agree,
+       true AS importances_agree FROM events"""
+
+
+def stream_score_agreement(spark, sf_dir):
+    """Each event that the stream scored: its magnitude, whether prediction, alert
+    flag and errors are what the nodes as an expression give."""
+    scored = stream_scored_events(spark, sf_dir)
+    again = m.forest_prediction(spark, _model_path(spark, sf_dir))
+    off = F.col("again") - F.col("magnitude")
+    return scored.withColumn("again", again).select(
+        F.col("id").cast("long").alias("id"), F.round("magnitude", 6).alias("magnitude"),
+        (F.col("prediction") == F.col("again")).alias("same_prediction"),
+        (F.col("alert") == (F.col("again") >= ALERT_THRESHOLD)).alias("same_alert"),
+        ((F.col("error_abs") == F.abs(off)) & (F.col("error_squared") == F.pow(off, 2)))
+        .alias("same_errors"))
+
+
+SCORE_AGREEMENT_SQL = f"""
+WITH {driver.QUAKES_SQL}
+SELECT id, round(magnitude, 6) AS magnitude, true AS same_prediction, true AS same_alert,
+       true AS same_errors FROM quakes"""
 
 
 def stream_scored_events(spark, sf_dir):
@@ -97,4 +159,11 @@ QUERIES = {
     "scored_events": scored_events,
     "alerts": alerts,
     "stream_scored_events": stream_scored_events,
+    "model_agreement": model_agreement,
+    "stream_score_agreement": stream_score_agreement,
+}
+
+ORACLE_SQL = {
+    "model_agreement": AGREEMENT_SQL,
+    "stream_score_agreement": SCORE_AGREEMENT_SQL,
 }

@@ -1,6 +1,6 @@
 """Structured Streaming: sources, sinks, runners, scoring, archive."""
 
-from .archive import archive_rows
+from .archive import archive_batch, archive_history, archive_rows, fold_days
 from .late import read_counts, read_rows, split_late
 from .runner import (kafka_stream, parquet_stream, run_available, start_append,
                      start_console, start_upsert, text_stream)

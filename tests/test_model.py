@@ -59,3 +59,29 @@ def test_scoring_batch_routes_skipped_rows(spark, tmp_dir):
     assert [r.id for r in preds.collect()] == ["a"]
     assert [r.id for r in spark.read.parquet(os.path.join(tmp_dir, "s")).collect()] == ["b"]
     assert spark.read.parquet(os.path.join(tmp_dir, "a")).count() == 1
+
+
+def test_forest_as_expression_equals_the_model(spark, tmp_dir):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from temblor.model import forest as m
+    from temblor.session import scratch_path
+    i = F.col("id")
+    rows = spark.range(400).select(
+        "id", *[((i * k) % 97 / 7).cast("float").alias(c)
+                for k, c in zip((3, 5, 11, 13), m.FEATURES)],
+        ((i * 17) % 31 / 10).cast("float").alias(m.LABEL))
+    model = m.train(rows, num_trees=7, max_depth=6)
+    path = scratch_path(spark, "models", "expression")
+    m.save(model, path)
+    prediction = m.forest_prediction(spark, path)
+    # also values between and on the thresholds, and far outside
+    other = rows.withColumn(m.FEATURES[0], F.when(i % 3 == 0, F.lit(-1e30)).otherwise(
+        F.col(m.FEATURES[0]) + 0.001))
+    for df in (rows, other):
+        both = model.transform(df).withColumn("again", prediction)
+        assert both.where(~F.col("prediction").eqNullSafe(F.col("again"))).count() == 0
+    gap = rows.withColumn(m.FEATURES[2], F.lit(None).cast("float"))
+    assert gap.select(prediction.alias("p")).where("p IS NOT NULL").count() == 0
