@@ -138,7 +138,12 @@ def _quality(spark, docs, monkeypatch):
 
 
 def test_quality_equals_sql(spark, make_docs, con, monkeypatch):
-    odd = [(i, t, "en", "s") for i, t in ODD if "\x00" not in (t or "") and len(t or "") < 1000]
+    odd = [(20_000 + 100 * at + i, text, lang, f"template {at}") for at in (0, 4, 10)
+           for i, text, lang, _ in _template_pages(60, at)]
+    near = [" ".join(f"c{j}z{k}" for k in range(10)) for j in range(12)]
+    odd += [(30_000 + i, "\n".join([*near[:i % 12], f"edited {i}", *near[i % 12 + 1:]]), "en",
+             "near") for i in range(150)]
+    odd += [(i, t, "en", "s") for i, t in ODD if "\x00" not in (t or "") and len(t or "") < 1000]
     rows = _quality_rows() + odd
     got = _quality(spark, make_docs(rows), monkeypatch)
     assert "Python" not in _plan(got)
@@ -178,6 +183,41 @@ def test_quality_keeps_near_copies(make_docs):
     assert all(r["kept"] and not r["removed_words"] for r in got)
 
 
+def _template_pages(n, at):
+    """Pages of ten template lines and one line of their own (94 % template)."""
+    lines = [" ".join(f"t{j}q{k}" for k in range(10)) for j in range(10)]
+    return [(i, "\n".join([*lines[:at], f"page {i} of its own x{i}", *lines[at:]]), "en", "h")
+            for i in range(n)]
+
+
+@pytest.mark.parametrize("at", [0, 4, 10])
+def test_quality_rejects_pages_made_from_a_template(make_docs, at):
+    got = quality.judge(make_docs(_template_pages(300, at))).collect()
+    assert {r["removed_words"] for r in got} == {100}
+    assert not any(r["kept"] or r["base_failed"] for r in got)
+
+
+def test_quality_copies_of_one_template_page_have_one_vote(make_docs):
+    """Forty pages, each several times with another template line edited: their
+    own lines are forty votes, too few."""
+    rows = []
+    for i, text, lang, host in _template_pages(40, 10):
+        for j in range(5):
+            lines = text.split("\n")
+            lines[j] += f" edited {j}"
+            rows.append((10 * i + j, "\n".join(lines), lang, host))
+    assert all(r["kept"] for r in quality.judge(make_docs(rows)).collect())
+
+
+def test_quality_limit_does_not_loosen_with_the_host(make_docs):
+    """A banner in 90 of 6,000 documents of a host is removed like in 90 of 90."""
+    rows = [(i, "\n".join(["the banner of some pages", *[
+        " ".join(f"n{i}m{j}k{k}" for k in range(15)) for j in range(2)]][i >= 90:]), "en", "h")
+            for i in range(6000)]
+    got = quality.judge(make_docs(rows)).where("removed_words > 0").collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(90))
+
+
 def test_quality_odd_rows(odd_docs, no_docs):
     got = [r for r in quality.judge(odd_docs).collect()]
     assert len(got) == len(ODD) and quality.judge(no_docs).count() == 0
