@@ -167,6 +167,20 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         mark = now
 
 
+def smallest_ids(links: DataFrame, members: DataFrame, classes: DataFrame,
+                 name: str) -> DataFrame:
+    """``node``, ``group`` (smallest id) of the classes that are linked, directly
+    or through others. ``links``: ``node``, ``root``; ``members``: each ``id`` of
+    each ``node``; ``classes``: each ``node`` with its smallest id, ``first``.
+    Classes that hold the same id are linked too."""
+    lows = (members.groupBy("id").agg(F.min("node").alias("root"), F.max("node").alias("high"))
+            .where(F.col("root") < F.col("high")).select("id", "root"))
+    same = members.join(lows, "id").select("node", "root")
+    parts = materialize(connected_components(links.unionByName(same), "node", "root"), name)
+    firsts = (parts.join(classes, "node").groupBy("component").agg(F.min("first").alias("group")))
+    return parts.join(firsts, "component").select("node", "group")
+
+
 def _mark(edges: DataFrame):
     """Identity of an edge set: its size and two order-free hashes."""
     return edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")),

@@ -17,9 +17,10 @@ the largest label, ``pivots`` at most; they only decide where work is done,
 never the result.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite
-components, and rows without label or id, link with nothing and are kept; rows
-that share an id are one vector; vectors of different lengths never link; other
-columns are ignored.
+components, and rows without label or id, link with nothing and are kept; equal
+rows are one vector; rows that share an id but not label and vector each have
+their own links (to other pairs of id and vector), and are one in the component;
+vectors of different lengths never link; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,8 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (bounded_batches, connected_components, hash_sample, materialize, runs,
-                     table)
+from .common import (bounded_batches, hash_sample, materialize, runs, smallest_ids, table)
 
 COSINE = 0.98
 PIVOTS = 128
@@ -54,10 +54,10 @@ def similar_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     usable = (F.col("id").isNotNull() & F.col("label").isNotNull()
               & F.coalesce((F.size("vector") > 0) & finite
                            & F.exists("vector", lambda x: x != 0), F.lit(False)))
-    # Equal vectors of a label are one class, named by the smallest id.
-    classes = (rows.where(usable).groupBy("label", "vector")
-               .agg(F.min("id").alias("node"), F.countDistinct("id").alias("size")))
-    classes = materialize(classes.dropDuplicates(["node"]), "vector-classes")
+    # Equal vectors of a label are one class.
+    classes = materialize(rows.where(usable).groupBy("label", "vector").agg(
+        F.min("id").alias("first"), F.countDistinct("id").alias("size"))
+        .withColumn("node", F.monotonically_increasing_id()), "vector-classes")
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     sample = [r["vector"] for r in hash_sample(
         classes.select("vector", "node"), min(pivots, -(-largest // block) or 1), None,
@@ -155,10 +155,14 @@ def similar_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     found = materialize(units.mapInPandas(compare, "node long, root long, links long"),
                         "vector-links")
     per_node = found.groupBy("node").agg(F.sum("links").alias("links"))
-    groups = connected_components(found, "node", "root")
+    # Classes that share an id belong together as well.
+    ids = rows.where(usable).join(classes.drop("first", "size"), ["label", "vector"]) \
+        .groupBy("id", "node").count()
+    groups = smallest_ids(found.select("node", "root"), ids.select("id", "node"),
+                          classes.select("node", "first"), "vector-groups")
     named = classes.join(per_node, "node", "left").join(groups, "node", "left").select(
-        "label", "vector", "node", (F.coalesce("links", F.lit(0)) + F.col("size") - 1)
-        .alias("links"), F.coalesce("component", "node").alias("group"))
+        "label", "vector", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"),
+        F.coalesce("group", "first").alias("group"))
     members = rows.withColumn("vector", F.when(usable, F.col("vector")))
     return members.join(named, ["label", "vector"], "left").select(
         F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),

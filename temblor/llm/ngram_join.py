@@ -3,9 +3,10 @@
 Each document's five-word shingles give one MinHash label per tree. The trees
 are prefix tries over the labels: documents that share a label prefix in some
 tree are candidates. Prefixes start at full depth and are shortened step by
-step until the estimated recall reaches the target: each candidate pair of
-estimated similarity s, found with probability p = 1 - (1 - s^depth)^trees,
-stands for 1/p pairs.
+step until the recall reaches the target, both for a pair that is just similar
+enough and over the pairs that are there: each candidate pair of estimated
+similarity s, found with probability p = 1 - (1 - s^depth)^trees, stands for
+1/p pairs. A target that the shortest prefixes miss is an error.
 
 Copies (equal word sequences) are one class from the start and are only
 counted. Candidate prefixes give star edges, linear in their rows, whose
@@ -15,8 +16,10 @@ over tasks, each returning link counts and a local component per document
 instead of pairs.
 
 Defined results: texts without words link with nothing; a text of fewer than
-five words is one shingle; rows that share an id are one document; rows with a
-null id are their own group and link with nothing; other columns are ignored.
+five words is one shingle; equal rows are one document; rows that share an id
+but not their words each have their own links (to other pairs of id and words),
+and are one in the group; rows with a null id are their own group and link with
+nothing; texts of any length are hashed whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, connected_components, materialize, runs, table
+from .common import (bounded_batches, connected_components, materialize, runs, smallest_ids,
+                     table)
 
 THRESHOLD = 0.8
 TREES = 20
@@ -99,8 +103,9 @@ def estimated_recall(edges: DataFrame, reps: DataFrame, depth: int, threshold: f
 def verify(members: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
     """Exact links inside candidate components.
 
-    ``members``: ``comp``, ``node``, ``size`` (documents of the class),
-    ``text``. A component of more than ``block`` classes is dealt into blocks,
+    ``members``: ``comp``, ``node``, ``size`` (documents of the class), ``key``
+    (md5 of its words), ``text`` (others than the class's are left out: those of
+    another row with its id). A component of more than ``block`` classes is dealt into blocks,
     and each pair of blocks is one unit of work. Returns ``node``, ``links``
     (documents of linked classes) and ``root`` (a node linked directly or
     through others in that unit), one row per node and unit with a link."""
@@ -112,16 +117,20 @@ def verify(members: DataFrame, threshold: float, block: int = BLOCK) -> DataFram
         F.least(F.col("part"), j).alias("i"), F.greatest(F.col("part"), j).alias("j")))
     dealt = (dealt.withColumn("unit", F.explode(units))
              .select("comp", F.col("unit.i").alias("i"), F.col("unit.j").alias("j"), "part",
-                     "node", "size", "text"))
+                     "node", "size", "key", "text"))
 
     def verify_rows(batches):
+        import hashlib
+
         import numpy as np
         import pandas as pd
 
         from . import shingles
         for pdf in runs(batches, ["comp", "i", "j"]):
-            pdf = pdf.drop_duplicates("node").sort_values("node")
-            sets = shingles.shingle_sets([shingles.normalize(t) for t in pdf["text"]])
+            norms = pdf["text"].map(shingles.normalize)
+            own = norms.map(lambda n: hashlib.md5(n).hexdigest()) == pdf["key"]
+            pdf = pdf.assign(text=norms)[own].drop_duplicates("node").sort_values("node")
+            sets = shingles.shingle_sets(list(pdf["text"]))
             sizes = np.array(list(map(len, sets)))
             n = len(sets)
             owner = np.repeat(np.arange(n), sizes)
@@ -165,36 +174,42 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ``threshold``, copies included), ``group_id`` (smallest id reachable by
     links), ``kept`` (it is its group's smallest id)."""
     signed = materialize(signatures(docs, id_col, text_col), "ngram-labels")
-    classes = (signed.where("doc is not null and key is not null").groupBy("key")
-               .agg(F.min("doc").alias("node"), F.countDistinct("doc").alias("size")))
-    classes = materialize(classes, "ngram-classes")
+    classes = materialize(
+        signed.where("doc is not null and key is not null").groupBy("key")
+        .agg(F.min("doc").alias("first"), F.countDistinct("doc").alias("size"))
+        .withColumn("node", F.monotonically_increasing_id()), "ngram-classes")
     reps = materialize(
-        signed.where("doc is not null").join(
-            classes, (signed["key"] == classes["key"]) & (signed["doc"] == classes["node"]))
-        .select("node", "size", "label").dropDuplicates(["node"]), "ngram-reps")
+        signed.select("doc", "label", F.col("key").alias("__key")).join(
+            classes, (F.col("__key") == F.col("key")) & (F.col("doc") == F.col("first")))
+        .select("node", "first", "size", "key", "label").dropDuplicates(["node"]), "ngram-reps")
     depth = DEPTH
     while True:
         edges = materialize(star_edges(reps, depth), "ngram-edges")
-        if depth <= SHORTEST or estimated_recall(edges, reps, depth, threshold) >= recall:
+        least = 1 - (1 - threshold ** depth) ** TREES  # of a pair at the threshold
+        if least >= recall and estimated_recall(edges, reps, depth, threshold) >= recall:
             break
+        if depth <= SHORTEST:
+            raise ValueError(f"prefixes of {SHORTEST} labels do not reach a recall of {recall}")
         depth -= 1
     comps = connected_components(edges, "node", "low").select(
         "node", F.col("component").alias("comp"))
     members = materialize(comps.join(reps.drop("label"), "node"), "ngram-members")
     few = members.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("first"), F.col(text_col).alias("text"))
     links = materialize(verify(
-        texts.join(F.broadcast(members) if few else members, "node"), threshold, block),
-        "ngram-links")
+        texts.join(F.broadcast(members) if few else members, "first").drop("first"),
+        threshold, block), "ngram-links")
     per_node = links.groupBy("node").agg(F.sum("links").alias("links"))
-    groups = connected_components(links, "node", "root").select(
-        "node", F.col("component").alias("group"))
+    ids = (signed.where("doc is not null").join(classes.select("key", "node"), "key")
+           .select(F.col("doc").alias("id"), "node").distinct())
+    groups = smallest_ids(links.select("node", "root"), ids, classes.select("node", "first"),
+                          "ngram-groups")
     found = classes.join(per_node, "node", "left").join(groups, "node", "left").select(
-        "key", "node", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"),
-        F.coalesce("group", "node").alias("group"))
+        "key", "first", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("links"),
+        F.coalesce("group", "first").alias("group"))
     named = signed.select("doc", F.when(F.col("doc").isNotNull(), F.col("key")).alias("key"))
     return named.join(found, "key", "left").select(
-        F.col("doc").alias(id_col), F.coalesce("node", "doc").alias("class_id"),
+        F.col("doc").alias(id_col), F.coalesce("first", "doc").alias("class_id"),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("group", "doc").alias("group_id"),
         F.coalesce(F.col("doc") == F.col("group"), F.lit(True)).alias("kept"))

@@ -106,8 +106,66 @@ def test_prefixes_shorten_until_recall(spark, make_docs, monkeypatch):
         for at in (20, 60):
             other[at] = f"z{rng.integers(1 << 30)}"
         rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(other))]
-    got = ngram_join.similar_documents(make_docs(rows), recall=0.99999999).collect()
+    got = ngram_join.similar_documents(make_docs(rows), recall=0.9999).collect()
     assert depths == [6, 5, 4] and all(r["n_links"] == 1 for r in got)
+    with pytest.raises(ValueError, match="recall"):
+        ngram_join.similar_documents(make_docs(rows[:4]), recall=0.99999999)
+
+
+def pairs_and_groups(rows, links):
+    """Links of each distinct row to other pairs of id and content, and groups in
+    which equal ids are one. ``rows``: (id, content); ``links``: index pairs."""
+    known = list(dict.fromkeys(rows))
+    linked = {i: {rows[b] for a, b in links if a == i} | {rows[a] for a, b in links if b == i}
+              for i in range(len(rows))}
+    same = [(i, j) for i in range(len(rows)) for j in range(i) if rows[i][0] == rows[j][0]]
+    root = groups_of(len(rows), [*links, *same])
+    least = {}
+    for i, r in enumerate(root):
+        least[r] = min(least.get(r, rows[i][0]), rows[i][0])
+    return {row: (len(linked[rows.index(row)] - {row}), least[root[rows.index(row)]])
+            for row in known}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ngram_join_with_several_texts_of_an_id(make_docs, seed):
+    rng = np.random.default_rng(seed)
+    base = [[f"b{g}w{i}" for i in range(120)] for g in range(6)]
+    rows = [(5, " ".join(base[0])), (5, " ".join(base[1])), (7, " ".join(base[1][:-2])),
+            (9, " ".join(base[0])), (3, " ".join(base[2])), (11, " ".join(base[3])),
+            (11, " ".join(base[2])), (12, " ".join(base[3][1:])), (12, " ".join(base[4])),
+            (12, " ".join(base[4][2:])), (20, " ".join(base[5])), (20, " ".join(base[5]))]
+    rows = [rows[i] for i in rng.permutation(len(rows))]
+    want = pairs_and_groups(rows, brute_links([t for _, t in rows]))
+    docs = make_docs(rows)
+    got = ngram_join.similar_documents(docs).collect()
+    assert sorted((r["doc_id"], r["n_links"], r["group_id"]) for r in got) == sorted(
+        (i, *want[i, t]) for i, t in rows)
+    by_id = {r["doc_id"]: r for r in got}
+    assert by_id[7]["n_links"] == 1 and by_id[7]["group_id"] == 5 == by_id[9]["group_id"]
+    assert {by_id[i]["group_id"] for i in (3, 11, 12)} == {3}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_metric_join_with_several_vectors_of_an_id(spark, seed):
+    rng = np.random.default_rng(seed)
+    a, b, c, d = (tuple(v) for v in np.eye(8)[:4].tolist())
+    near = tuple((np.array(b) + 0.1 * np.eye(8)[5]).tolist())
+    rows = [(5, a), (5, b), (7, b), (9, near), (2, c), (11, d), (11, c), (12, d), (30, near),
+            (30, near)]
+    rows = [rows[i] for i in rng.permutation(len(rows))]
+    cos = [(i, j) for i in range(len(rows)) for j in range(i)
+           if np.dot(rows[i][1], rows[j][1]) / np.linalg.norm(rows[i][1])
+           / np.linalg.norm(rows[j][1]) >= 0.98]
+    want = pairs_and_groups(rows, cos)
+    df = spark.createDataFrame([(i, list(v), 1) for i, v in rows],
+                               "vec_id long, embedding array<double>, label int")
+    got = metric_join.similar_vectors(df).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == sorted(
+        (i, *want[i, v]) for i, v in rows)
+    by_id = {r["vec_id"]: r for r in got}
+    assert by_id[7]["n_links"] == 3 and by_id[7]["component_id"] == 5
+    assert {by_id[i]["component_id"] for i in (2, 11, 12)} == {2}
 
 
 @pytest.mark.parametrize("edges", [
@@ -180,7 +238,7 @@ def test_no_forbidden_code():
 
 
 def test_registered():
-    assert {f"op{i}" for i in range(1, 11)} == {k.split("_")[0] for k in E.queries()
+    assert {f"op{i}" for i in range(1, 14)} == {k.split("_")[0] for k in E.queries()
                                                 if re.match(r"op\d+_", k)}
     assert E.queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in E.oracle_sql()
 
