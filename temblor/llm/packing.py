@@ -11,8 +11,8 @@ The word vocabulary's ids of a text are the ids of its blank-separated words,
 one after the other (white space is dropped and no pre-token crosses it), so
 each worker keeps a bounded dictionary of words it has met.
 
-Defined results: a null or empty text is the end id alone; strings of special
-tokens in a text are ordinary text; repeated rows are packed as often as they
+Defined results: a null or empty text is the end id alone; strings of added
+tokens in a text are those tokens, as in the library's own call; repeated rows are packed as often as they
 occur; the id column may be null; other columns are ignored.
 """
 
@@ -24,7 +24,7 @@ from array import array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, held, table, text_of
+from .common import SPACES, bounded_batches, held, table, text_of
 
 MAX_LENGTH = 4096
 END_ID = 2
@@ -39,7 +39,8 @@ class WordIds(dict):
 
     Keeps the words met lately, in two generations of at most ``limit`` each.
     Words below U+0250 are cut into pre-tokens here and looked up in the merge
-    model; any other word takes the library's whole path."""
+    model; any other word, and one that holds an added token's string, takes the
+    library's whole path."""
 
     def __init__(self, spec: str, limit: int = WORDS_KEPT):
         import regex
@@ -47,9 +48,12 @@ class WordIds(dict):
         super().__init__()
         self.limit, self.older = limit, {}
         self.whole = Tokenizer.from_str(spec)
-        self.whole.encode_special_tokens = True
         self.model = self.whole.model
         parts = json.loads(spec)
+        added = parts.get("added_tokens") or []
+        if any(set(t["content"]) & set(SPACES) or t["lstrip"] or t["rstrip"] for t in added):
+            raise ValueError("an added token reaches over blanks: words are not apart")
+        self.added = [t["content"] for t in added]
         kinds = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
         split = (parts["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         pattern = CONTRACTIONS + r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -73,7 +77,7 @@ class WordIds(dict):
         # the dotted capital I (U+0130); unprintable characters differ in what
         # counts as white space.
         if not (self.plain and max(word, default="") < "\u0250" and "\u0130" not in word
-                and word.isprintable()):
+                and word.isprintable() and not any(t in word for t in self.added)):
             return self.whole.encode(word, add_special_tokens=False).ids
         word = word.lower()
         pieces = [word] if word.isalpha() else self.cut(word)

@@ -70,18 +70,22 @@ def test_binary_pieces():
         assert sum(got) == n and got == sorted(got, reverse=True)
 
 
-def test_pack_equals_library(odd_docs):
+SPECIAL = [(50, "hello <|endoftext|> world"), (51, "a<|endoftext|>b<|startoftext|>"),
+           (52, "<|endoftext|>"), (53, "<|ENDOFTEXT|> <|endoftext |> É<|startoftext|>é x"),
+           (54, "<|endoftext|><|endoftext|> \n<|startoftext|>\t1")]
+
+
+def test_pack_equals_library(make_docs):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(WORDS)
-    tok.encode_special_tokens = True
-    rows = packing.pack(odd_docs, WORDS).collect()
+    rows = packing.pack(make_docs([*ODD, *SPECIAL]), WORDS).collect()
     assert len({r["sequence_id"] for r in rows}) == len(rows)
     assert all(r["length"] == 1 << r["bucket"] and r["offset"] == 0 for r in rows)
     got = {}
     for r in rows:
         got.setdefault((r["doc_id"], r["doc_tokens"]), []).append((r["start"], bytes(r["ids"])))
     want = {}
-    for i, t in ODD:
+    for i, t in [*ODD, *SPECIAL]:
         ids = np.array(tok.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
         want.setdefault((i, len(ids)), []).append(ids.tobytes())
     assert set(got) == set(want)
@@ -101,7 +105,6 @@ def test_word_ids_equal_library_on_words():
     from tokenizers import Tokenizer
     spec = open(WORDS, encoding="utf-8").read()
     tok, words = Tokenizer.from_str(spec), packing.WordIds(spec, limit=50)
-    tok.encode_special_tokens = True
     text = ("It's  ''s 'tis I'LL x²½ 5,000.5 <|endoftext|> é e\u0301 ÀÈ İstanbul ΣΑΣ a\x1cb c\xa0d "
             "ﬀ ſ K ǆ ŉ ẞ " + " ".join(f"w{i}ord{i}" for i in range(300)))
     assert np.frombuffer(packing.text_ids(words, text), "<u4").tolist() == tok.encode(
