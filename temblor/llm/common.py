@@ -34,6 +34,9 @@ def bounded_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
+    # What workers free goes back to the system, for whoever runs beside them.
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+    env.setdefault("MALLOC_ARENA_MAX", "2")
 
 
 _HELD: dict = {"key": None, "value": None}
@@ -50,11 +53,21 @@ def held(key, build):
     return _HELD["value"]
 
 
+def forget() -> None:
+    """Drop what another operator has left in this worker process."""
+    if _HELD["key"] is not None:
+        _HELD.update(key=None, value=None)
+        release()
+
+
 def release() -> None:
     """Give freed memory back to the system, where the C library can."""
     import ctypes
     import gc
+
+    import pyarrow as pa
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)

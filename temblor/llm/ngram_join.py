@@ -27,8 +27,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (bounded_batches, connected_components, materialize, runs, smallest_ids,
-                     table)
+from .common import (bounded_batches, connected_components, forget, materialize, release, runs,
+                     smallest_ids, table)
 
 THRESHOLD = 0.8
 TREES = 20
@@ -52,6 +52,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         import pyarrow as pa
 
         from . import shingles
+        forget()
         hashing = shingles.MinHash(trees * depth)
         for b in batches:
             norms = [shingles.normalize(t) for t in b.column(1).to_pylist()]
@@ -62,6 +63,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           pa.string()),
                  pa.array([row.tobytes() for row in labels], pa.binary())],
                 names=["doc", "key", "label"])
+        release()
 
     return rows.mapInArrow(label_rows, "doc long, key string, label binary")
 
@@ -160,6 +162,7 @@ def verify(members: DataFrame, threshold: float, block: int = BLOCK) -> DataFram
             roots = nodes[shingles.local_components(linked)]
             on = links > 0
             yield pd.DataFrame({"node": nodes[on], "links": links[on], "root": roots[on]})
+        release()
 
     keys = ["comp", "i", "j"]
     return (dealt.repartition(*keys).sortWithinPartitions(*keys)

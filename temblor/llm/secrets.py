@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, hash_sample, release, table, text_of
+from .common import bounded_batches, forget, hash_sample, release, table, text_of
 
 KINDS = ["assign", "access", "hex", "crf"]
 
@@ -407,6 +407,7 @@ def scan(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col:
 
     def scan_rows(batches):
         import pyarrow as pa
+        forget()
         crf = Field(*model) if model else None
         span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()),
                                    ("end", pa.int64())]))
