@@ -45,7 +45,7 @@ def test_op1_columns(spark, documents):
 def base_spans(text):
     assign = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
               r"""([A-Za-z0-9+/_.=-]+)""")
-    found = [("assign", *m.span(1)) for m in re.finditer(assign, text, re.A) if len(m[1]) >= 6]
+    found = [("assign", *m.span()) for m in re.finditer(assign, text, re.A) if len(m[1]) >= 6]
     found += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     found += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
     return found
