@@ -28,7 +28,7 @@ from .common import SPACES, bounded_batches, held, table, text_of
 
 MAX_LENGTH = 4096
 END_ID = 2
-WORDS_KEPT = 150_000
+WORDS_KEPT = 400_000
 
 # Contraction endings are pre-tokens of their own (fixed values).
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
@@ -53,7 +53,7 @@ class WordIds(dict):
         added = parts.get("added_tokens") or []
         if any(set(t["content"]) & set(SPACES) or t["lstrip"] or t["rstrip"] for t in added):
             raise ValueError("an added token reaches over blanks: words are not apart")
-        self.added = [t["content"] for t in added]
+        self.added = regex.compile("|".join(regex.escape(t["content"]) for t in added) or r"(?!)")
         kinds = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
         split = (parts["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         pattern = CONTRACTIONS + r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -77,7 +77,7 @@ class WordIds(dict):
         # the dotted capital I (U+0130); unprintable characters differ in what
         # counts as white space.
         if not (self.plain and max(word, default="") < "\u0250" and "\u0130" not in word
-                and word.isprintable() and not any(t in word for t in self.added)):
+                and word.isprintable() and not self.added.search(word)):
             return self.whole.encode(word, add_special_tokens=False).ids
         word = word.lower()
         pieces = [word] if word.isalpha() else self.cut(word)
