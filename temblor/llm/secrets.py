@@ -5,7 +5,11 @@ tagged as the begin of a secret, inside one, or outside, from its shape, the
 tokens around it and features of its file, and the best tag sequence is found
 by Viterbi. The field is trained here, on the base patterns' spans in a bounded
 sample of documents, by gradient steps on the conditional log-likelihood
-(batched forward-backward).
+(batched forward-backward). So that shape and surroundings count and not only
+the names of the base patterns, each window around a span is also learned in
+altered copies: another value under the name, the name dropped, the sign
+dropped, the value alone; ordinary words of the copies become look-alikes that
+are no secrets (identifiers, versions, times, UUIDs).
 
 Most words cannot be part of a secret in any neutral surrounding: their margin
 for "outside" exceeds all that neighbours and transitions could add. Such words
@@ -16,13 +20,17 @@ Base patterns are kept beside the field's spans; a span of the field that
 touches a base span is left out.
 
 Defined results: null and empty texts hold no spans; without any base span in
-the documents, the field adds none; repeated rows are scanned as often as they
+the documents, the field adds none; texts of any length are scanned whole;
+repeated rows are scanned as often as they
 occur; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import random
 import re
+import string
+import zlib
 from bisect import bisect_left
 
 from pyspark.sql import Column, DataFrame
@@ -60,6 +68,7 @@ NEUTRAL = {"word", "punct", "edge", "none", "True", "False"}
 FINE = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+|[^\s0-9A-Za-z\x80-\U0010ffff]")
 WORD = re.compile(r"\S+")
 SPACE = re.compile(r"\s")
+RUN = re.compile("[a-z]{5}|[A-Z]{5}")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, int]]:
@@ -86,8 +95,8 @@ SIZES = (3, 7, 11, 15, 19, 23, 31, 39)
 
 
 def shape(token: str) -> tuple[str, str, str]:
-    """(length class, kinds of characters, changes between letters and digits
-    and whether all could be hexadecimal)."""
+    """(length class, kinds of characters, changes between letters and digits,
+    whether all could be hexadecimal and whether letters run on as in words)."""
     if len(token) == 1 and not token.isalnum():
         return "0", token if token in MARKS else "p", "0"
     size = str(bisect_left(SIZES, len(token)))
@@ -96,7 +105,8 @@ def shape(token: str) -> tuple[str, str, str]:
     kinds = "".join(k for k, f in (("a", str.islower), ("A", str.isupper), ("9", str.isdigit))
                     if any(map(f, token)))
     turns = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:]))
-    return size, kinds, f"{min(turns, 4)}{'h' * all(c in '0123456789abcdef' for c in token)}"
+    return size, kinds, (f"{min(turns, 4)}{'h' * all(c in '0123456789abcdef' for c in token)}"
+                         f"{'w' * bool(RUN.search(token))}")
 
 
 def token_class(token: str) -> str:
@@ -299,6 +309,85 @@ def training_windows(text: str, hint: bool | None = None,
     return out
 
 
+ALPHABETS = (string.ascii_letters + string.digits, string.ascii_lowercase + string.digits,
+             string.ascii_uppercase + string.digits)
+# Manners of altered copies: lengths of the new value, whether the name stays, whether the sign.
+MANNERS = [(6, 24, True, True), (20, 44, False, True), (16, 44, True, False),
+           (20, 44, False, False)]
+LOOK_ALIKES = 5
+
+
+def _value(rng: random.Random, low: int, high: int) -> list[str]:
+    """Tokens of a random value; a long one may have parts."""
+    n, alphabet = rng.randint(low, high), rng.choice(ALPHABETS)
+    at, mark = n, ""
+    if n >= 20 and rng.random() < 0.4:
+        at, mark = rng.randint(8, n - 8), rng.choice("-_./+")
+    while True:
+        v = "".join(rng.choices(alphabet, k=n))
+        parts = [v[:at], v[at:]] if mark else [v]
+        if all(sum(a.isdigit() != b.isdigit() for a, b in zip(p, p[1:])) > 1 for p in parts):
+            return [parts[0], mark, parts[1]] if mark else parts
+
+
+def _look_alike(rng: random.Random, word: str, words: list[str]) -> list[str]:
+    """Tokens with letters and digits that are no secret."""
+    number = str(rng.randint(0, 9999))
+    case = rng.choice([str.lower, str.title, str.upper])
+    glued = "".join(case(w) + rng.choice(["", number[:1], number[:2]])
+                    for w in rng.choices(words, k=rng.randint(1, 3)))
+    two = [f"{rng.randint(0, 59):02d}" for _ in range(5)]
+    hexes = ["".join(rng.choices("0123456789abcdef", k=k)) for k in (8, 4, 4, 4, 12)]
+    return rng.choice([
+        [word + number], [number[:2] + word], [glued + number], [number[:2] + glued],
+        [case("".join(rng.choices(words, k=rng.randint(1, 4))))],
+        ["v" + number[:1], ".", number[:2], ".", two[0]], [word, "_", word + number[:2]],
+        ["20" + two[0], "-", two[1], "-", two[2] + "T" + two[3], ":", two[4], ":", "00Z"],
+        [hexes[0]], [t for h in hexes for t in (h, "-")][:-1]])
+
+
+def altered(tokens: list[str], tags: list[int], manner: int) -> tuple[list[str], list[int], bool]:
+    """A copy of a window whose spans have other values and, by ``manner``, no
+    name or no sign before them, and in which some words are look-alikes."""
+    low, high, named, signed = MANNERS[manner]
+    rng = random.Random(zlib.crc32("\x00".join([str(manner), *tokens]).encode()))
+    plain = [t for t, y in zip(tokens, tags) if y == O and token_class(t) == "word"
+             and len(t) > 4] or ["item"]
+    out: list[str] = []
+    marks: list[int] = []
+    states = contexts(tokens)
+    free = [i for i, t in enumerate(tokens) if tags[i] == O and states[i] == "none"
+            and token_class(t) == "word" and (not i or token_class(tokens[i - 1]) != "hint")]
+    changed = set(rng.sample(free, min(LOOK_ALIKES, len(free))))
+    for i, (t, y) in enumerate(zip(tokens, tags)):
+        if y == B:
+            lead = len(out)  # where name, sign and quotes before the value begin
+            while lead and marks[lead - 1] == O and (
+                    token_class(out[lead - 1]) == "hint" or out[lead - 1] in "=:\"'_-"):
+                lead -= 1
+            before = [x for x in out[lead:] if signed or x not in "=:\"'"]
+            if not named:
+                before = [x for x in before if token_class(x) != "hint" and x not in "_-"]
+                before[:0] = [rng.choice(plain)] * signed
+            value = _value(rng, low, high)
+            out[lead:] = [*before, *value]
+            marks[lead:] = [*[O] * len(before), B, *[I] * (len(value) - 1)]
+        elif y == O:
+            if i and tags[i - 1] != O and t in "\"'" and not signed:
+                continue
+            new = _look_alike(rng, t, plain) if i in changed else [t]
+            out += new
+            marks += [O] * len(new)
+    first = max(0, marks.index(B) - PAD // 2) if B in marks else 0
+    return out[first:first + PAD], marks[first:first + PAD], named
+
+
+def with_altered(windows: list[tuple]) -> list[tuple]:
+    """The windows, and altered copies of those that hold a span."""
+    return [*windows, *[altered(tokens, tags, k) for tokens, tags, _ in windows if B in tags
+                        for k in range(len(MANNERS))]]
+
+
 def train(windows, steps: int = STEPS, l2: float = 1e-7, rate: float = 0.15) -> Field | None:
     """Conditional log-likelihood by batched forward-backward and Adam."""
     import numpy as np
@@ -388,7 +477,7 @@ def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     picked = dict.fromkeys(
         (t, r["hint"]) for r in hash_sample(marked, sample_docs, "spans", "text", "id",
                                             cut=cut).collect() for t in r["text"])
-    return train([w for t, hint in picked for w in training_windows(t, hint)])
+    return train(with_altered([w for t, hint in picked for w in training_windows(t, hint)]))
 
 
 def scan(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text",

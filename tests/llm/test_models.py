@@ -1,7 +1,9 @@
 """op5, op6 and op7: brute force, exactness of decoding, held-out quality."""
 
 import math
+import random
 import re
+import string
 import zlib
 from collections import Counter
 
@@ -101,6 +103,69 @@ def test_field_finds_held_out_secrets(field, texts):
     assert total and hit / total > 0.9
 
 
+def _key(rng, n):
+    return "".join(rng.choices(string.ascii_letters + string.digits, k=n))
+
+
+# Forms that no base pattern matches, with the recall asked for.
+PLANTED = {
+    "pwd": (lambda r: f"pwd: {_key(r, 12)}", 0.7),
+    "bearer": (lambda r: f"Authorization: Bearer {_key(r, 32)}", 0.95),
+    "parts": (lambda r: f"bearer {_key(r, 20)}.{_key(r, 24)}.{_key(r, 30)}", 0.95),
+    "credential": (lambda r: f'credentials="{_key(r, 16)}"', 0.95),
+    "other name": (lambda r: f'client_id = "{_key(r, 32)}"', 0.95),
+    "bare": (lambda r: f"the value {_key(r, 32)}", 0.85),
+}
+
+HARMLESS = [
+    "see RFC2616 and HTML5 in iPhone12", "id 550e8400-e29b-41d4-a716-446655440000 here",
+    "version v1.12.3b4 of lib2to3", "at 2024-05-01T12:30:00Z exactly", "mail a.b2@c3.example.com",
+    "https://www.example.com/a1/b2/page12.html?id=12345", "commit 3f2a9bc fixed it",
+    "call +49 (136) 555-7479", "ISBN 978-3-16-148410-0", "getElementById2 and parseInt32Value",
+    "the token of trust, password required", "auth: required", "key: value",
+    "API key management in OAuth2", "Donaudampfschifffahrtsgesellschaftskapitän",
+    "order AB12-9934-XZ", "9807915762804490", "image1024x768.png", "sha256sum of x86_64",
+    "token ring 802.11ac", "key 12 of 30", "chapter3section4paragraph5", "keys: A1, B2, C3",
+    "HELLO WORLD2024 BIGSALE50OFF"]
+
+
+@pytest.mark.parametrize("form", PLANTED)
+def test_field_finds_planted_secrets(field, texts, form):
+    make, recall = PLANTED[form]
+    rng, some = random.Random(form), [r["text"] for r in texts.values()][:200]
+    hit = 0
+    for t in some:
+        before, secret, after = t[:300], make(rng), t[300:600]
+        text = f"{before} {secret} {after}"
+        assert not any(s < len(before) + 1 + len(secret) and len(before) < e
+                       for s, _, e, _ in secrets.base_spans(text))
+        end = len(before) + 1 + len(secret)
+        value = end - len(secret.split()[-1])
+        hit += any(s < end and value < e for s, e in field.spans(text))
+    assert hit / len(some) >= recall
+
+
+def test_field_leaves_the_rest_alone(field, texts):
+    wrong = [h for h in HARMLESS if field.spans(f"some plain words {h} and more of them")]
+    assert len(wrong) <= 1, wrong
+    for t in [r["text"] for r in texts.values()]:
+        base = secrets.base_spans(t)
+        assert all(any(s < e2 and s2 < e for s2, _, e2, _ in base) for s, e in field.spans(t))
+
+
+def test_altered_windows_keep_their_spans():
+    tokens = ["the", "rivers", "token", "=", '"', "a1b2" * 10, '"', "hills", "and", "valleys"]
+    tags = [secrets.O] * 5 + [secrets.B] + [secrets.O] * 4
+    for k, (low, _, named, signed) in enumerate(secrets.MANNERS):
+        got, marks, hint = secrets.altered(tokens, tags, k)
+        assert (got, marks, hint) == secrets.altered(tokens, tags, k)
+        at = marks.index(secrets.B)
+        assert len(got) == len(marks) and marks.count(secrets.B) == 1 and hint == named
+        assert sum(len(t) for t, y in zip(got, marks) if y != secrets.O) >= low
+        assert ("token" in got[:at]) == named and ("=" in got[:at]) == signed
+    assert secrets.altered(tokens, [secrets.O] * 10, 0)[1].count(secrets.B) == 0
+
+
 def test_scan_of_odd_rows(odd_docs, no_docs, field):
     got = secrets.scan(odd_docs, field, keep=("score", "label")).collect()
     assert len(got) == len(ODD) and all(r["spans"] == [] for r in got)
