@@ -1,32 +1,40 @@
 """License scans by a positional index of rare words.
 
-Each template is a word sequence with a mandatory key phrase in it. Words are
-weighed by their document frequency over the whole corpus; a template is filed
-under the rarest word (highest IDF) of its key phrase, which every accepted
-match must hold at its place, so no match can be missed. Each occurrence of a
-filed word in a document gives the start a template would have there; for the
-starts so found, the document's words are compared with the template's by
-relative position, the key phrase must be complete, and the share of matching
-words is the match's coverage.
-
-Defined results: null text is empty; documents without a match have no label,
-no place and score 0; repeated rows are scanned as often as they occur; other
-columns are ignored.
+Templates are rows of a table: a label, a word sequence (a phrase or a whole
+licence text) and a mandatory key phrase in it. Words are weighed by their
+document frequency over the whole corpus; a template is filed under the two
+rarest words (highest IDF) of its key phrase, which every accepted match must
+hold at their places, so no match can be missed. A file's occurrences of filed
+words fetch the templates' postings by a join; a start stays a candidate only if
+the postings of both words meet there by relative position. For the starts that
+are left, the words around are compared with the template's, the key phrase must
+be complete, and the share of matching words is the match's coverage. A place
+carries only the words that a template can reach, never the whole text.
+
+Defined results: null text is empty; texts of any length are read whole;
+documents without a match have no label, no place and score 0; repeated rows are
+scanned as often as they occur; several templates may match at one place, and
+ties of score change nothing; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 import string
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_of
+from .common import materialize, table, text_of
+from .license_texts import TEXTS
 
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_COVERAGE = 0.6
+# Templates of up to this many words in all go to every task (some 40 MB);
+# beyond it their join with the places shuffles.
+BROADCAST_WORDS = 2_000_000
 
-# Templates (fixed values): label, words, key phrase, whether it is a base phrase.
+# Templates (fixed values): label, text, key phrase, whether it is a base phrase.
 TEMPLATES = [
     ("mit", "mit license", "mit license", True),
     ("apache", "apache license", "apache license", True),
@@ -56,6 +64,7 @@ TEMPLATES = [
     ("proprietary", "proprietary and confidential", "proprietary and confidential", False),
     ("unlicense", "this is free and unencumbered software released into the public domain",
      "free and unencumbered software", False),
+    *[(label, text, key, False) for label, (key, text) in sorted(TEXTS.items())],
 ]
 
 
@@ -63,72 +72,100 @@ def _key_start(words: list[str], key: list[str]) -> int:
     return next(i for i in range(len(words)) if words[i:i + len(key)] == key)
 
 
-def license_matches(docs: DataFrame, templates=TEMPLATES, id_col: str = "doc_id",
+def words_of(text: Column) -> Column:
+    """Words with A-Z lower-cased."""
+    return F.regexp_extract_all(
+        F.translate(text, string.ascii_uppercase, string.ascii_lowercase), F.lit(WORD), F.lit(0))
+
+
+def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
+    """``label``, ``text``, ``key`` (the mandatory phrase), ``base``."""
+    return spark.createDataFrame(templates, "label string, text string, key string, base boolean")
+
+
+def _parsed(templates: DataFrame) -> DataFrame:
+    """Templates with their words and the place of the key phrase; an error for
+    a key that is empty or does not stand in its text."""
+    rows = templates.select(F.monotonically_increasing_id().alias("t"), "label", "base",
+                            words_of(F.col("text")).alias("words"),
+                            words_of(F.col("key")).alias("key"))
+    last = F.size("words") - F.size("key")
+    key_at = F.when((F.size("key") > 0) & (last >= 0), F.get(F.filter(
+        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+        lambda i: F.slice("words", i + 1, F.size("key")) == F.col("key")), F.lit(0)))
+    rows = materialize(rows.withColumn("key_at", key_at), "license-templates")
+    wrong = rows.where("key_at is null").select("label").first()
+    if wrong:
+        raise ValueError(f"template {wrong['label']}: no key phrase in its text")
+    return rows
+
+
+def rare_word_index(docs: DataFrame, templates: DataFrame, text_col: str = "text") -> DataFrame:
+    """Each template under the rarest word of its key phrase: ``w`` at ``j``,
+    and the second rarest, ``w2`` at ``j2`` (null if the key is one word)."""
+    keys = templates.select("t", F.posexplode("key").alias("i", "w"), "key_at")
+    vocabulary = F.broadcast(keys.select("w").distinct()) if _few(templates) else keys.select(
+        "w").distinct()
+    frequency = (docs.select(F.explode(F.array_distinct(words_of(text_of(text_col)))).alias("w"))
+                 .join(vocabulary, "w").groupBy("w").agg(F.count(F.lit(1)).alias("n")))
+    order = F.array_sort(F.collect_list(F.struct(
+        F.coalesce("n", F.lit(0)).alias("n"), "w", (F.col("key_at") + F.col("i")).alias("j"))))
+    rarest = keys.join(frequency, "w", "left").groupBy("t").agg(order.alias("r"))
+    first, second = F.get("r", F.lit(0)), F.get("r", F.lit(1))
+    return materialize(templates.join(rarest, "t").select(
+        first["w"].alias("w"), first["j"].alias("j"), second["w"].alias("w2"),
+        second["j"].alias("j2"), "label", "base", F.col("words").alias("shape"), "key_at",
+        F.size("key").alias("key_len")), "license-index")
+
+
+def _few(templates: DataFrame) -> bool:
+    column = "words" if "words" in templates.columns else "shape"
+    return (templates.agg(F.sum(F.size(column))).first()[0] or 0) <= BROADCAST_WORDS
+
+
+def license_matches(docs: DataFrame, templates: DataFrame | None = None, id_col: str = "doc_id",
                     text_col: str = "text", min_coverage: float = MIN_COVERAGE) -> DataFrame:
-    """``id_col``, ``n_words`` and ``matches``: array of (label, base, start,
+    """``id_col``, ``n_words`` and ``matches``: array of (start, label, base,
     coverage), ordered by start and label. ``start`` counts words from 0; it is
-    negative where a text begins inside a template."""
-    parsed = [(label, words.split(), key.split(), base) for label, words, key, base in templates]
-    key_words = sorted({w for _, _, key, _ in parsed for w in key})
-
-    # Document frequency of the key words, over all documents: one row each.
-    text = text_of(text_col)
-    all_words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
-    known = F.array_intersect(all_words, F.array(*map(F.lit, key_words)))
-    seen = {r["w"]: r["n"] for r in docs.select(F.explode(known).alias("w"))
-            .groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()}
-
-    index: dict[str, list[tuple[int, int]]] = {}
-    for t, (_, words, key, _) in enumerate(parsed):
-        rare = min(key, key=lambda w: (seen.get(w, 0), w))
-        index.setdefault(rare, []).append((t, _key_start(words, key) + key.index(rare)))
-
-    def struct_of(t):
-        label, words, key, base = parsed[t]
-        at = _key_start(words, key)
-        return F.struct(F.lit(label).alias("label"), F.lit(base).alias("base"),
-                        F.array(*map(F.lit, words)).alias("words"), F.lit(at).alias("key_at"),
-                        F.lit(len(key)).alias("key_len"))
-
-    filed = F.create_map(*[x for w, entries in sorted(index.items()) for x in (
-        F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(j).alias("j"))
-                            for t, j in entries]))])
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
-    rows = rows.select(
-        "id", F.size(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).cast("long")
-        .alias("n_words"),
-        # Only texts that hold a filed word at all are cut into words and searched.
-        F.when(F.col("text").rlike("(?i)" + "|".join(sorted(index))),
-               F.regexp_extract_all(
-                   F.translate("text", string.ascii_uppercase, string.ascii_lowercase),
-                   F.lit(WORD), F.lit(0))).alias("words"))
-    places = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
-                      lambda x: x["w"].isin(*sorted(index)))
-    starts = F.flatten(F.transform(places, lambda x: F.transform(
-        F.element_at(filed, x["w"]),
-        lambda e: F.struct(e["t"].alias("t"), (x["i"] - e["j"]).alias("start")))))
-    rows = rows.withColumn("starts", F.array_distinct(starts))
-    shapes = F.array(*[struct_of(t) for t in range(len(parsed))])
-
-    def compare(s):
-        shape = F.get(shapes, s["t"])
-        same = F.transform(shape["words"], lambda w, j: F.coalesce(
-            F.get(F.col("words"), s["start"] + j) == w, F.lit(False)))
-        return F.struct(
-            shape["label"].alias("label"), shape["base"].alias("base"),
-            s["start"].alias("start"),
-            (F.size(F.filter(same, lambda x: x)) / F.size(same)).alias("coverage"),
-            F.forall(F.slice(same, shape["key_at"] + 1, shape["key_len"]), lambda x: x)
-            .alias("key"))
-
-    found = F.filter(F.transform("starts", compare),
-                     lambda m: m["key"] & (m["coverage"] >= min_coverage))
-    found = F.transform(found, lambda m: F.struct(m["start"].alias("start"),
-                                                  m["label"].alias("label"),
-                                                  m["base"].alias("base"),
-                                                  m["coverage"].alias("coverage")))
-    return rows.select(F.col("id").alias(id_col), "n_words",
-                       F.array_sort(F.coalesce(found, F.array())).alias("matches"))
+    negative where a text begins inside a template. ``templates`` is a table as
+    ``template_table`` makes it; the plan itself holds only the filed words,
+    at most one for each template."""
+    parsed = _parsed(template_table(docs.sparkSession) if templates is None else templates)
+    index = rare_word_index(docs, parsed, text_col)
+    filed = [r["w"] for r in index.select("w").distinct().orderBy("w").collect()] or [""]
+    reach = index.agg(F.max("j").alias("before"), F.max(F.size("shape") - F.col("j"))
+                      .alias("after")).first()
+    before, after = reach["before"] or 0, reach["after"] or 0
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
+                       words_of(text_of(text_col)).alias("words"))
+    places = F.when(F.arrays_overlap("words", F.array(*map(F.lit, filed))), F.filter(
+        F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))),
+        lambda x: x["w"].isin(*filed)))
+    low = F.greatest(F.col("at.i") - before, F.lit(0))
+    near = (rows.select("row", "id", F.size("words").cast("long").alias("n_words"), "words",
+                        F.explode_outer(places).alias("at"))
+            .select("row", "id", "n_words", F.col("at.w").alias("w"), F.col("at.i").alias("i"),
+                    low.alias("low"), F.slice("words", low + 1, F.lit(before + after))
+                    .alias("near")))
+    hits = near.join(F.broadcast(index) if _few(index) else index, "w", "left")
+    hits = hits.withColumn("start", F.col("i") - F.col("j"))
+
+    def word_at(j):
+        return F.get("near", F.col("start") + j - F.col("low"))
+
+    both = F.col("w2").isNull() | F.coalesce(word_at(F.col("j2")) == F.col("w2"), F.lit(False))
+    same = F.when(F.col("j").isNotNull() & both, F.transform(
+        "shape", lambda w, j: F.coalesce(word_at(j) == w, F.lit(False))))
+    compared = hits.select("row", "id", "n_words", "start", "label", "base", "key_at", "key_len",
+                           same.alias("same"))
+    key = F.forall(F.slice("same", F.col("key_at") + 1, F.col("key_len")), lambda x: x)
+    coverage = F.size(F.filter("same", lambda x: x)) / F.size("same")
+    match = F.when(F.col("same").isNotNull() & key & (coverage >= min_coverage), F.struct(
+        "start", "label", "base", coverage.alias("coverage")))
+    return (compared.groupBy("row", "id", "n_words")
+            .agg(F.array_sort(F.collect_list(match)).alias("matches"))
+            .select(F.col("id").alias(id_col), "n_words", "matches"))
 
 
 def op2_license_scan(spark, sf_dir):
@@ -153,7 +190,7 @@ def op2_license_scan(spark, sf_dir):
 def _sql() -> str:
     rows = []
     for t, (label, words, key, base) in enumerate(TEMPLATES):
-        ws, ks = words.split(), key.split()
+        ws, ks = (re.findall("[0-9a-z]+", x.lower()) for x in (words, key))
         at = _key_start(ws, ks)
         rows += [f"({t}, '{label}', {base}, {j}, '{w}', {int(at <= j < at + len(ks))}, "
                  f"{len(ws)}, {len(ks)})" for j, w in enumerate(ws)]

@@ -1,9 +1,12 @@
 """op2, op4 and op9: SQL over odd rows, plans without Python, method cases."""
 
+import random
+import re
+
 import duckdb
 import pytest
 
-from temblor.llm import licenses, quality, urls
+from temblor.llm import license_texts, licenses, quality, urls
 
 from .conftest import ODD
 
@@ -71,6 +74,68 @@ def test_license_labels(spark, make_docs, monkeypatch):
     assert got[25]["labels"] == "" and got[25]["score"] == 0
 
 
+def _brute_licenses(text, templates, share=0.6):
+    """(start, label) of every alignment with the whole key phrase and coverage."""
+    words, out = re.findall("[0-9a-z]+", text.lower()), set()
+    for label, body, key, _ in templates:
+        ws, ks = body.split(), key.split()
+        at = next(i for i in range(len(ws)) if ws[i:i + len(ks)] == ks)
+        for i in range(len(words) - len(ks) + 1):
+            if words[i:i + len(ks)] == ks:
+                start = i - at
+                n = sum(0 <= start + k < len(words) and words[start + k] == w
+                        for k, w in enumerate(ws))
+                if n / len(ws) >= share:
+                    out.add((start, label))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("bound", [licenses.BROADCAST_WORDS, 0])
+def test_licenses_many_whole_texts(spark, make_docs, monkeypatch, bound):
+    """500 texts of 120 to 400 words; edited, cut and nested copies of them."""
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(300)]
+    templates = []
+    for t in range(500):
+        words = rng.choices(vocabulary, k=rng.randint(120, 400))
+        at = rng.randrange(len(words) - 4)
+        if t % 3:  # the others share their key's words with many texts
+            words[at:at + 2] = [f"title{t}", f"v{t % 7}"]
+        templates.append((f"l{t}", " ".join(words), " ".join(words[at:at + 4]), False))
+    docs = []
+    for d in range(60):
+        words = templates[rng.randrange(500)][1].split()
+        cut, edits = rng.randrange(0, 60), rng.choice([0, 0.1, 0.45])
+        words = [w if rng.random() >= edits else "edited" for w in words[cut:]]
+        docs.append((d, " ".join(rng.choices(vocabulary, k=20) + words) + " the end."))
+    docs.append((60, " ".join(t[1] for t in templates[:40])))
+    monkeypatch.setattr(licenses, "BROADCAST_WORDS", bound)
+    got = licenses.license_matches(make_docs(docs), licenses.template_table(spark, templates))
+    assert "Python" not in _plan(got)
+    got = {r["doc_id"]: [(m["start"], m["label"]) for m in r["matches"]] for r in got.collect()}
+    want = {i: _brute_licenses(t, templates) for i, t in docs}
+    assert got == want and sum(map(len, want.values())) > 60
+
+
+def test_whole_license_texts(spark, make_docs):
+    texts = sorted(license_texts.TEXTS.items())
+    docs = [(i, f"(c) 2020 A. Person\n\n{text}\nprint(1)") for i, (_, (_, text)) in
+            enumerate(texts)]
+    docs += [(10 + i, text.replace("SOFTWARE", "PROGRAM")) for i, (_, (_, text)) in
+             enumerate(texts)]
+    got = {r["doc_id"]: {m["label"]: m["coverage"] for m in r["matches"]}
+           for r in licenses.license_matches(make_docs(docs)).collect()}
+    for i, (label, _) in enumerate(texts):
+        assert got[i][label] == 1.0 and got[10 + i][label] > 0.9
+    assert "bsd" in got[1] and "isc" in got[2]
+
+
+def test_license_key_must_stand_in_its_text(spark, make_docs):
+    wrong = licenses.template_table(spark, [("x", "some words", "other words", False)])
+    with pytest.raises(ValueError, match="template x"):
+        licenses.license_matches(make_docs([(1, "some words")]), wrong)
+
+
 def test_licenses_empty_table(spark, no_docs, monkeypatch):
     assert _license_digest(spark, no_docs, monkeypatch).count() == 0
 
