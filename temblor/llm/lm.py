@@ -15,9 +15,10 @@ are summed by word and joined back to the chunks' word lists, and each chunk's
 documents meet their own list. From then on a document is a sequence of class
 numbers.
 
-Scoring is exact: sequences are cut into segments, the scaled product of
-transition and emission matrices of each segment is computed for many segments
-at once, and the products of a document are applied in order.
+Training and scoring are exact over whole documents: sequences are cut into
+segments, the scaled product of transition and emission matrices of each
+segment is computed for many segments at once, and the products of a document
+are applied in order (for training also in reverse).
 
 Defined results: null and empty texts are the end token alone; a null id counts
 as '' in the split; without training documents every word is unknown and has
@@ -158,6 +159,36 @@ def word_classes(counts: DataFrame, top_words: int, endings: int) -> DataFrame:
             F.coalesce("top", (ending + top_words + 1).cast("int"))).alias("class"))
 
 
+def segments(sequences):
+    """The sequences' segments, each one's sequence and its place in that."""
+    import numpy as np
+    cuts = [(i, a) for i, s in enumerate(sequences) for a in range(0, len(s), SEGMENT)]
+    return ([sequences[i][a:a + SEGMENT] for i, a in cuts],
+            np.array([i for i, _ in cuts], np.int64),
+            np.array([a // SEGMENT for _, a in cuts], np.int64))
+
+
+def in_order(place):
+    """Segments of place 0, of place 1 and so on."""
+    import numpy as np
+    order = np.argsort(place, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(place[order])) + 1) if len(place) else []
+
+
+def grids(parts):
+    """Segments to be stepped through together, longest first: their numbers,
+    their classes by step, and how many last beyond each step."""
+    import numpy as np
+    order = np.array(sorted(range(len(parts)), key=lambda i: -len(parts[i])), np.int64)
+    for a in range(0, len(order), TOGETHER):
+        at = order[a:a + TOGETHER]
+        lens = np.array([len(parts[i]) for i in at])
+        grid = np.zeros((int(lens[0]), len(at)), np.int64)
+        for j, i in enumerate(at):
+            grid[:lens[j], j] = parts[i]
+        yield at, grid, np.searchsorted(-lens, -np.arange(len(grid)), side="left")
+
+
 class Model:
     """Start, moves (state by state) and emissions (state by class), with the
     arithmetic of one task."""
@@ -165,39 +196,79 @@ class Model:
     def __init__(self, start, moves, emit):
         self.start, self.moves, self.emit = start, moves, emit
 
+    def products(self, parts, first):
+        """Of each segment the scaled product of its moves and emissions, from
+        each state before it to each state at its end, and the log10 of the
+        scale. A document's first segment (``first``) begins with the start
+        probabilities instead of a move."""
+        import numpy as np
+        k = len(self.start)
+        by_class = np.ascontiguousarray(self.emit.T)
+        product, logs = np.zeros((len(parts), k, k)), np.zeros(len(parts))
+        for at, grid, active in grids(parts):
+            run = np.where(first[at][:, None, None], self.start[None, None, :], self.moves[None])
+            run = run * by_class[grid[0]][:, None, :]
+            log = np.zeros(len(at))
+            for t in range(1, len(grid)):
+                m = active[t]
+                step = (run[:m].reshape(-1, k) @ self.moves).reshape(m, k, k)
+                step *= by_class[grid[t, :m]][:, None, :]
+                if t % 8 == 0:
+                    top = step.max((1, 2))
+                    step /= top[:, None, None]
+                    log[:m] += np.log10(top)
+                run[:m] = step
+            product[at], logs[at] = run, log
+        return product, logs
+
     def expected(self, sequences, totals) -> None:
-        """Add expected counts of the sequences, cut into segments, to
-        ``totals`` (start, moves, emit)."""
+        """Add expected counts of the sequences to ``totals`` (start, moves,
+        emit). Segments are stepped through side by side, but not apart: the
+        products of a sequence's segments, applied in order, give the states
+        before each segment and, in reverse, the weights of what follows it."""
         import numpy as np
-        parts = [s[a:a + SEGMENT] for s in sequences for a in range(0, len(s), SEGMENT)]
-        parts.sort(key=len, reverse=True)
+        parts, owner, place = segments(sequences)
+        k = len(self.start)
+        last = np.append(owner[1:] != owner[:-1], True)
+        before, after = np.full((len(parts), k), 1.0 / k), np.ones((len(parts), k))
+        several = np.flatnonzero((place > 0) | ~last)
+        if len(several):
+            product, _ = self.products([parts[i] for i in several], place[several] == 0)
+            index = np.zeros(len(parts), np.int64)
+            index[several] = np.arange(len(several))
+            steps = in_order(place)
+            for on in steps:
+                on = on[~last[on]]
+                v = np.einsum("nk,nkj->nj", before[on], product[index[on]])
+                before[on + 1] = v / v.sum(1, keepdims=True)
+            for on in reversed(steps[1:]):
+                v = np.einsum("nkj,nj->nk", product[index[on]], after[on])
+                after[on - 1] = v / v.sum(1, keepdims=True)
         by_class = np.ascontiguousarray(self.emit.T)
-        for a in range(0, len(parts), TOGETHER):
-            some = parts[a:a + TOGETHER]
-            lens = np.array(list(map(len, some)))
-            longest, n, k = int(lens[0]), len(some), len(self.start)
-            grid = np.zeros((longest, n), np.int64)
-            for i, s in enumerate(some):
-                grid[:len(s), i] = s
-            active = np.searchsorted(-lens, -np.arange(longest), side="left")
+        for at, grid, active in grids(parts):
+            longest, n = grid.shape
+            first = place[at] == 0
             alpha = np.zeros((longest, n, k))
             scale = np.ones((longest, n))
             for t in range(longest):
                 m = active[t]
-                v = (np.broadcast_to(self.start, (m, k)) if t == 0
+                v = (np.where(first[:, None], self.start, before[at] @ self.moves) if t == 0
                      else alpha[t - 1, :m] @ self.moves) * by_class[grid[t, :m]]
                 scale[t, :m] = v.sum(1)
                 alpha[t, :m] = v / scale[t, :m, None]
-            beta = np.ones((n, k))
+            ends = alpha[[len(parts[i]) - 1 for i in at], np.arange(n)]
+            beta = after[at] / (ends * after[at]).sum(1, keepdims=True)
             weights = np.zeros((longest, n, k))
             for t in range(longest - 1, -1, -1):
                 m = active[t]
                 weights[t, :m] = alpha[t, :m] * beta[:m]
+                ahead = by_class[grid[t, :m]] * beta[:m] / scale[t, :m, None]
                 if t:
-                    after = by_class[grid[t, :m]] * beta[:m] / scale[t, :m, None]
-                    totals[1] += (alpha[t - 1, :m].T @ after) * self.moves
-                    beta[:m] = after @ self.moves.T
-            totals[0] += weights[0].sum(0)
+                    totals[1] += (alpha[t - 1, :m].T @ ahead) * self.moves
+                    beta[:m] = ahead @ self.moves.T
+                else:  # the move from the segment before
+                    totals[1] += (before[at][~first].T @ ahead[~first]) * self.moves
+            totals[0] += weights[0][first].sum(0)
             for s in range(k):
                 totals[2][s] += np.bincount(grid.ravel(), weights[:, :, s].ravel(),
                                             self.emit.shape[1])
@@ -205,44 +276,12 @@ class Model:
     def log10(self, sequences):
         """log10 probability of each sequence."""
         import numpy as np
-        k = len(self.start)
-        owner = [i for i, s in enumerate(sequences) for _ in range(0, len(s), SEGMENT)]
-        place = [a // SEGMENT for s in sequences for a in range(0, len(s), SEGMENT)]
-        parts = [s[a:a + SEGMENT] for s in sequences for a in range(0, len(s), SEGMENT)]
-        by_class = np.ascontiguousarray(self.emit.T)
-        order = sorted(range(len(parts)), key=lambda i: -len(parts[i]))
-        product = np.zeros((len(parts), k, k))
-        logs = np.zeros(len(parts))
-        for a in range(0, len(order), TOGETHER):
-            at = np.array(order[a:a + TOGETHER])
-            some = [parts[i] for i in at]
-            lens = np.array(list(map(len, some)))
-            longest, n = int(lens[0]), len(some)
-            grid = np.zeros((longest, n), np.int64)
-            for i, s in enumerate(some):
-                grid[:len(s), i] = s
-            active = np.searchsorted(-lens, -np.arange(longest), side="left")
-            first = np.array([place[i] == 0 for i in at])
-            # Rows: from each state before the segment; a document's first
-            # segment begins with the start probabilities instead of a move.
-            run = np.where(first[:, None, None], self.start[None, None, :], self.moves[None])
-            run = run * by_class[grid[0]][:, None, :]
-            log = np.zeros(n)
-            for t in range(1, longest):
-                m = active[t]
-                step = (run[:m].reshape(-1, k) @ self.moves).reshape(m, k, k)
-                step *= by_class[grid[t, :m]][:, None, :]
-                if t % 8 == 0:
-                    top = step.max((1, 2))
-                    step /= top[:, None, None]
-                    log[:m] += np.log10(top)
-                run[:m] = step
-            product[at], logs[at] = run, log
-        state = np.full((len(sequences), k), 1.0 / k)  # the first segment ignores it
+        parts, owner, place = segments(sequences)
+        product, logs = self.products(parts, place == 0)
+        # The first segment ignores the state before it.
+        state = np.full((len(sequences), len(self.start)), 1.0 / len(self.start))
         out = np.zeros(len(sequences))
-        owner, place = np.array(owner, np.int64), np.array(place, np.int64)
-        for p in range(int(place.max()) + 1 if len(place) else 0):
-            on = np.flatnonzero(place == p)
+        for on in in_order(place):
             who = owner[on]
             v = np.einsum("nk,nkj->nj", state[who], product[on])
             total = v.sum(1)

@@ -308,6 +308,36 @@ def test_expected_counts_equal_brute_force():
     assert all(np.allclose(a, b) for a, b in zip(totals, want))
 
 
+def test_expected_counts_are_exact_across_segments():
+    m = _model()
+    rng = np.random.default_rng(3)
+    seqs = [rng.integers(0, 5, n) for n in (1, 255, 256, 257, 2000, 512, 700)]
+    totals = [np.zeros(3), np.zeros((3, 3)), np.zeros((3, 5))]
+    m.expected(seqs, totals)
+    want = [np.zeros(3), np.zeros((3, 3)), np.zeros((3, 5))]
+    for seq in seqs:
+        alpha, beta = [m.start * m.emit[:, seq[0]]], [np.ones(3)]
+        for o in seq[1:]:
+            v = (alpha[-1] / alpha[-1].sum() @ m.moves) * m.emit[:, o]
+            alpha.append(v)
+        for o in seq[:0:-1]:
+            v = m.moves @ (m.emit[:, o] * beta[-1])
+            beta.append(v / v.sum())
+        beta.reverse()
+        for t, o in enumerate(seq):
+            here = alpha[t] * beta[t]
+            want[2][:, o] += here / here.sum()
+            if t == 0:
+                want[0] += here / here.sum()
+            else:
+                both = alpha[t - 1][:, None] * m.moves * (m.emit[:, o] * beta[t])[None]
+                want[1] += both / both.sum()
+    assert all(np.allclose(a, b) for a, b in zip(totals, want))
+    empty = [np.zeros(3), np.zeros((3, 3)), np.zeros((3, 5))]
+    m.expected([], empty)
+    assert not any(x.any() for x in empty) and len(m.log10([])) == 0
+
+
 def test_model_beats_the_base_on_held_out(documents, no_docs):
     got = lm.score(documents, crc32_mod("doc_id", 7) == 2).where("held_out").toPandas()
     assert got["score"].sum() > got["base_score"].sum()
