@@ -5,9 +5,14 @@ tokens any matching URL must hold whole. Token frequencies over all pages pick
 each rule's rarest token; a URL's tokens fetch its candidate rules by an
 equality join on that token, and only candidates run their expression.
 
+Rules come from lists in the program (``rule_table``) or from rule files of any
+length (``read_rules``), which Spark reads and translates itself. Among patterns
+that fit, exceptions come before the rest, then the first by name.
+
 Defined results: a null URL, or one without ``://``, has an empty host and path
-and gets the default verdict; repeated rows are judged as often as they occur;
-other columns are ignored.
+and gets the default verdict; URLs of any length are judged whole; repeated rows
+are judged as often as they occur, repeated rules count once; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -102,11 +107,64 @@ def rule_table(spark, rules: list[Rule]) -> DataFrame:
                                        "rule_verdict string, path_rule boolean")
 
 
+TOKEN = r"0-9A-Za-z\x{80}-\x{10FFFF}"
+#: What ``^`` stands for in a rule file: a separator or the end.
+SEPARATOR = rf"(?:[^_.%{TOKEN}-]|\z)"
+
+
+def read_rules(spark, path: str) -> DataFrame:
+    """The rules of filter lists or hosts files (a file, a folder or a glob)."""
+    return rules_of(spark.read.text(path))
+
+
+def rules_of(lines: DataFrame, col: str = "value") -> DataFrame:
+    """One rule per line, as ``rule_table`` gives them, named by the line.
+
+    ``||host/path`` fits the host and its subdomains, ``|`` marks the start of
+    the host or the end of the path, ``*`` is any text, ``^`` a separator or the
+    end, ``@@`` an exception, ``/.../`` a regular expression over host and path
+    (one that Java cannot read is an error); ``0.0.0.0 host`` lines block the
+    host. Hosts are compared in lower case, paths as they stand. Left out are
+    empty lines, comments (``!``, ``#``, ``[``), rules about page elements
+    (``##``) and rules with options (``$``), which speak of single requests."""
+    line = F.trim(F.regexp_replace(col, r"[\t\r]+", " "))
+    rows = lines.select(line.alias("name")).where(
+        (F.col("name") != "") & ~F.col("name").rlike(r"^[!#\[]|#@?#|\$[~0-9a-z_,=|.-]+$")).distinct()
+    body = F.regexp_replace(F.regexp_replace("name", "^@@", ""),
+                            r"^(?:0\.0\.0\.0|127\.0\.0\.1|::1?) +([^ #]+).*$", r"||$1^")
+    rows = rows.withColumn("body", body).withColumns({
+        "expression": F.col("body").rlike("^/.+/$"), "domain": F.startswith("body", F.lit("||")),
+        "start": F.startswith("body", F.lit("|")), "end": F.col("body").rlike(r".\|$")})
+    head = F.when(F.col("start"), F.regexp_extract("core", "^[^/^*?:]*", 0)).otherwise("")
+    core = F.concat(F.translate(head, string.ascii_uppercase, string.ascii_lowercase),
+                    F.substring("core", F.char_length(head) + 1, F.char_length("core")))
+    rows = rows.withColumn("core", F.regexp_replace(
+        "body", r"^\|\|?(?:[A-Za-z]+://)?|\|$", "")).withColumn("core", core)
+    text = F.regexp_replace("core", r"([\\.+?()\[\]{}$|])", r"\\$1")
+    text = F.replace(F.replace(text, F.lit("*"), F.lit(".*")), F.lit("^"), F.lit(SEPARATOR))
+    pattern = F.concat(
+        F.lit("(?s)"),
+        F.when(F.col("domain"), r"^(?:[^/]*\.)?").when(F.col("start"), "^").otherwise(""),
+        text, F.when(F.col("end"), r"\z").otherwise(""))
+    # A token stands whole in every match if literal text bounds it on both sides.
+    bounded = F.concat(F.when(F.col("start"), "/").otherwise("*"), "core",
+                       F.when(F.col("end"), "/").otherwise("*"))
+    tokens = F.array_distinct(F.regexp_extract_all(
+        bounded, F.lit(f"(?<=[^*{TOKEN}])[{TOKEN}]+(?=[^*{TOKEN}])"), F.lit(0)))
+    none = F.col("expression") | (F.size(tokens) == 0)
+    return rows.select(
+        "name", F.when(F.col("expression"), F.expr("substring(body, 2, char_length(body) - 2)"))
+        .otherwise(pattern).alias("pattern"),
+        F.when(none, F.array(F.lit(""))).otherwise(tokens).alias("tokens"),
+        F.when(F.startswith("name", F.lit("@@")), ALLOW).otherwise(BLOCK).alias("rule_verdict"),
+        F.lit(False).alias("path_rule"))
+
+
 def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url",
           default: str = ALLOW, broadcast_rules: int = BROADCAST_RULES) -> DataFrame:
     """``id_col``, ``host``, ``path``, ``rule`` (the host and path rule that
-    decides, else null), ``pattern_rule`` (the first pattern by name, else
-    null), ``verdict``."""
+    decides, else null), ``pattern_rule`` (the pattern that comes first, else
+    null), ``verdict``. ``rules``: as from ``rule_table`` or ``read_rules``."""
     host, path = split_url(F.col(url_col))
     keyed = materialize(
         pages.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
@@ -130,7 +188,9 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     best = hits.groupBy("row").agg(
         F.max(F.when(F.col("path_rule"), F.struct(
             F.char_length("name").alias("n"), "name", "rule_verdict"))).alias("path_hit"),
-        F.min(F.when(~F.col("path_rule"), F.struct("name", "rule_verdict"))).alias("other"))
+        F.min(F.when(~F.col("path_rule"), F.struct(
+            (F.col("rule_verdict") != ALLOW).alias("no_exception"), "name", "rule_verdict")))
+        .alias("other"))
     return (keyed.join(best, "row", "left")
             .select(F.col("id").alias(id_col), "host", "path",
                     F.col("path_hit.name").alias("rule"),

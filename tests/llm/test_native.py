@@ -183,6 +183,79 @@ def test_urls_many_rules_and_empty_table(spark):
     assert urls.judge(pages.limit(0), urls.rule_table(spark, rules)).count() == 0
 
 
+RULE_LINES = [
+    "! comment", "# comment", "[list]", "", None, "  ", "||Bad.com^", "||shop.net/Ads/", "@@||ok.bad.com^",
+    "/banner/*/img_", "track^", "|http://start.io/", "||end.org/x|", "/^[^/]*\\.q[0-9]+\\.io\\//",
+    "0.0.0.0 listed.dev # why", "||opt.com^$third-party", "site.com##.ad", "||bad.com^", "a+b(c)",
+    "||wild*.biz^",
+]
+RULE_URLS = {
+    "http://bad.com": "||Bad.com^", "http://x.BAD.com/p": "||Bad.com^", "http://bad.community/": None,
+    "http://notbad.com/": None, "http://ok.bad.com/": "@@||ok.bad.com^",
+    "http://shop.net/Ads/1": "||shop.net/Ads/", "http://shop.net/ads/1": None,
+    "http://h.org/banner/9/8/img_2": "/banner/*/img_", "http://h.org/banner/img_": None,
+    "http://h.org/mytrack/": "track^", "http://h.org/track": "track^", "http://h.org/tracké": None,
+    "http://start.io/": "|http://start.io/", "http://re.start.io/": None,
+    "http://end.org/x": "||end.org/x|", "http://end.org/xy": None, "http://end.org/x?y": "||end.org/x|",
+    "http://w.q12.io/": "/^[^/]*\\.q[0-9]+\\.io\\//", "http://listed.dev:80/": "0.0.0.0 listed.dev # why",
+    "http://opt.com/": None, "http://site.com/": None, "http://h.org/a+b(c)": "a+b(c)",
+    "http://h.org/aab(c)": None, "http://wild1.biz/": "||wild*.biz^", "http://wild.x.biz": "||wild*.biz^",
+    "http://h.org/" + "banner/" * 9_000 + "img_": "/banner/*/img_",
+}
+
+
+@pytest.mark.parametrize("bound", [urls.BROADCAST_RULES, 0])
+def test_rule_files(spark, tmp_path, bound):
+    (tmp_path / "list.txt").write_text("\n".join(x or "" for x in RULE_LINES), encoding="utf-8")
+    pages = spark.createDataFrame(list(enumerate(RULE_URLS)), "page_id long, url string")
+    rules = urls.read_rules(spark, str(tmp_path))
+    got = urls.judge(pages, rules, broadcast_rules=bound)
+    assert "Python" not in _plan(got)
+    got = {r["page_id"]: (r["pattern_rule"], r["verdict"]) for r in got.collect()}
+    assert [got[i] for i in range(len(got))] == [
+        (rule, "allow" if rule is None or rule[:2] == "@@" else "block")
+        for rule in RULE_URLS.values()]
+    lines = spark.createDataFrame([(x,) for x in RULE_LINES], "value string")
+    assert _key(_rows(urls.rules_of(lines))) == _key(_rows(rules))
+    assert urls.judge(pages, rules.limit(0)).where("verdict <> 'allow'").isEmpty()
+
+
+def test_fifty_thousand_rules_equal_brute_force(spark):
+    rng = random.Random(8)
+    names = [f"n{i}" for i in range(4_000)]
+    lines = list(dict.fromkeys(
+        rng.choice(["||{}.{}.com^", "||{}.net/{}/", "/{}/*/{}.", "@@||{}.{}.org^"]).format(
+            rng.choice(names), rng.choice(names)) for _ in range(51_000)))
+    addresses = []
+    for line in rng.sample(lines, 60):
+        a, b = re.findall(r"n\d+", line)
+        addresses += [f"http://{a}.{b}.com/{b}/z/{a}.js", f"https://w.{a}.net/{b}/{b}.",
+                      f"http://q.{a}.{b}.org/{a}/y/x{b}.", f"http://x{a}.net/{b}/", f"http://o.io/{a}/1/{b}.z"]
+    rules = urls.rules_of(spark.createDataFrame([(x,) for x in lines], "value string"))
+    assert rules.count() == len(lines) > 50_000
+    pages = spark.createDataFrame(list(enumerate(addresses)), "page_id long, url string")
+    cut = [(line, line[0] == "/", *re.split(r"[/*.^]+", line.strip("@|/^"))[:2],
+            *line.lstrip("@|").rstrip("^").partition("/")[::2]) for line in lines]
+
+    def first(place):
+        host, _, path = place.partition("/")
+        on = []
+        for line, anywhere, a, b, domain, start in cut:
+            if anywhere:
+                at = place.find(f"/{a}/")
+                fits = at >= 0 and place.find(f"/{b}.", at + len(a) + 2) >= 0
+            else:
+                fits = host.endswith(domain) and (host == domain or host[-len(domain) - 1] == ".")
+                fits = fits and path.startswith(start)
+            if fits:
+                on.append((line[:2] != "@@", line))
+        return min(on, default=(None, None))[1]
+
+    want = {i: first(url.split("://")[1]) for i, url in enumerate(addresses)}
+    got = {r["page_id"]: r["pattern_rule"] for r in urls.judge(pages, rules).collect()}
+    assert got == want and sum(v is not None for v in want.values()) >= 60
+
+
 def _quality_rows():
     words = [f"w{i}" for i in range(400)]
     rows = [(100 + i, "\n".join([f"own {i} " + " ".join(words[i:i + 30]), "Menu Home  About",
