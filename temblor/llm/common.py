@@ -39,10 +39,8 @@ def bounded_batches(spark: SparkSession, limit: int = BATCH_BYTES) -> None:
     env.setdefault("MALLOC_ARENA_MAX", "2")
 
 
-# A node with more than this share of all edge ends is a hub, whose neighbours
-# are dealt over so many join keys.
+# A node with more than a thousandth of all edge ends is a hub.
 HUBS = 1000
-HUB_PARTS = 32
 
 _HELD: dict = {"key": None, "value": None}
 
@@ -156,8 +154,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Alternating large-star and small-star passes over ``edges`` (two long
     columns; direction, loops and repeats do not matter). Each pass is a
     partial minimum by node and a join on the node. A hub costs one partial row
-    per task, and the rows of its neighbours are dealt over ``HUB_PARTS`` join
-    keys, never brought into one group. Every pass is written to the shared
+    per task; its minimum is sent to its neighbours' rows, which are never
+    brought into one group. Every pass is written to the shared
     folder; the loop ends when a pass changes nothing. Returns ``node``,
     ``component``; without edges, no row."""
     cur = materialize(
@@ -167,16 +165,16 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     while True:
         both = cur.union(cur.select(F.col("v"), F.col("u")))
         low = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-        # Degrees add up to twice the edges, so fewer than HUBS nodes are hubs.
+        low = low.select("u", F.least("u", "m").alias("m"), "n")
+        # Degrees add up to twice the edges, so fewer than HUBS nodes are hubs:
+        # a proven bound.
         hub = F.col("n") > 2 * mark[0] / HUBS
-        hubs = F.broadcast(low.where(hub).select("u", F.lit(HUB_PARTS).alias("parts")))
-        low = low.select("u", F.least("u", "m").alias("m"), F.explode(F.when(
-            hub, F.sequence(F.lit(0), F.lit(HUB_PARTS - 1))).otherwise(
-            F.array(F.lit(0)))).alias("part"))
-        dealt = both.where("v > u").join(hubs, "u", "left").select("u", "v", F.coalesce(
-            F.pmod(F.xxhash64("v"), "parts").cast("int"), F.lit(0)).alias("part"))
+        ahead = both.where("v > u").join(F.broadcast(
+            low.where(hub).select("u", F.col("m").alias("hub_m"))), "u", "left")
         # Large star: larger neighbours of u point at u's smallest.
-        large = (dealt.join(low, ["u", "part"])
+        large = (ahead.where("hub_m is not null").select("u", "v", F.col("hub_m").alias("m"))
+                 .unionByName(ahead.where("hub_m is null").drop("hub_m")
+                              .join(low.where(~hub).drop("n"), "u"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u <> v").distinct())
         # Small star: u and its smaller neighbours point at the smallest.
