@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
@@ -15,6 +17,32 @@ from ..functions.clean import SIGNED_NUMBER, gated_cast
 FEATURES = ["source_depth_km", "source_gap_deg", "source_latitude", "source_longitude"]
 LABEL = "source_magnitude"
 
+# Rows a task reads: from the first figure on a table is dealt over more tasks, up
+# to TASKS, and then over so many that none has more than the second.
+ROWS_WORTH_A_TASK = 20_000
+ROWS_PER_TASK = 250_000
+TASKS = 48
+
+
+def task_count(rows: int) -> int:
+    """Tasks for ``rows``. It follows from the rows alone, not from the cluster or
+    from the files, so that the same rows give the same forest everywhere."""
+    return max(1, min(-(-rows // ROWS_WORTH_A_TASK), TASKS), -(-rows // ROWS_PER_TASK))
+
+
+def spread(df: DataFrame, tasks: int) -> DataFrame:
+    """Rows dealt evenly over ``tasks``, however few splits their files have (a
+    Parquet row group is one split); a table worth one task stays as it is."""
+    return df.repartition(tasks) if tasks > 1 else df
+
+
+def spread_in_order(df: DataFrame, tasks: int) -> DataFrame:
+    """As ``spread``, with the same rows in the same order in each task at every
+    run: the forest draws its samples by task and position."""
+    if tasks <= 1:
+        return df
+    return df.repartition(tasks, *df.columns).sortWithinPartitions(*df.columns)
+
 
 def prepare(df: DataFrame, features=FEATURES, label: str = LABEL,
             pattern: str = SIGNED_NUMBER, keep=()) -> DataFrame:
@@ -81,37 +109,49 @@ def forest_prediction(spark: SparkSession, path: str, features=FEATURES) -> Colu
     """The saved forest at ``path`` as a Column: its prediction from the feature
     columns, equal to that of ``transform``, null if a feature is null.
 
-    The nodes (bounded by trees and depth) become one literal, parsed once; each
-    tree is walked from its root by a JVM higher-order function, so a table can
-    be scored, or a score be checked, without the model's own code."""
+    The nodes (bounded by trees and depth) go to the tasks as flat arrays, in which
+    a batch of rows walks down each tree together, so a table can be scored, or a
+    score be checked, without the model's own code."""
     stage = f"{path}/stages/*_RandomForestRegressor_*"
     node = F.col("nodeData")
     nodes = spark.read.parquet(f"{stage}/data").select(
         "treeID", node["id"].alias("id"), node["leftChild"].alias("l"),
         node["rightChild"].alias("r"), node["split"]["featureIndex"].alias("f"),
         F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("t"),
-        node["prediction"].alias("p")).orderBy("treeID", "id")
-    trees: dict[int, dict[str, list]] = {}
-    for r in nodes.collect():
-        tree = trees.setdefault(r["treeID"], {k: [] for k in "lrftp"})
-        for k, cells in tree.items():
-            cells.append(r[k])  # a tree's nodes are numbered from 0 without gaps
-    forest = F.from_json(F.lit(json.dumps(list(trees.values()), allow_nan=False)), (
-        "array<struct<l:array<int>,r:array<int>,f:array<int>,t:array<double>,p:array<double>>>"))
+        node["prediction"].alias("p")).orderBy("treeID", "id").toPandas()
     depth = json.loads(spark.read.text(f"{stage}/metadata").first()[0])["paramMap"]["maxDepth"]
-    x = F.array(*[F.col(c).cast("double") for c in features])
-
-    def walk(tree):
-        def down(at, _):
-            left = F.get(x, F.get(tree["f"], at)) <= F.get(tree["t"], at)
-            child = F.when(left, F.get(tree["l"], at)).otherwise(F.get(tree["r"], at))
-            return F.when(F.get(tree["l"], at) < 0, at).otherwise(child)
-        # No path is longer than the depth; a leaf is where it stays.
-        return F.aggregate(F.sequence(F.lit(1), F.lit(int(depth))), F.lit(0), down,
-                           lambda at: F.get(tree["p"], at))
-    total = F.aggregate(forest, F.lit(0.0), lambda s, tree: s + walk(tree))
-    usable = F.forall(x, lambda v: v.isNotNull())
-    return F.when(usable, total / len(trees))
+    walk = F.pandas_udf(_walker(nodes, int(depth)), "double")
+    x = [F.col(c).cast("double") for c in features]
+    usable = F.forall(F.array(*x), lambda v: v.isNotNull())
+    return F.when(usable, walk(*x))
+
+
+def _walker(nodes: pd.DataFrame, depth: int):
+    """Function of the feature columns that walks the ``nodes``, sorted by tree and
+    number: a tree's nodes are numbered from 0 without gaps."""
+    number = np.arange(len(nodes))
+    roots = number[nodes["id"].to_numpy() == 0]
+    root = np.repeat(roots, np.diff(np.append(roots, len(nodes))))
+    leaf = nodes["l"].to_numpy() < 0
+    # A leaf is where it stays, on both sides.
+    child = np.stack([np.where(leaf, number, root + nodes["l"].to_numpy()),
+                      np.where(leaf, number, root + nodes["r"].to_numpy())], 1).ravel()
+    feature = np.where(leaf, 0, nodes["f"].to_numpy()).astype("int64")
+    threshold = np.where(leaf, np.inf, nodes["t"].to_numpy(dtype="float64", na_value=np.inf))
+    value = nodes["p"].to_numpy()
+
+    def walk(*columns: pd.Series) -> pd.Series:
+        x = np.stack([c.to_numpy() for c in columns], 1).ravel()
+        row = np.arange(len(columns[0])) * len(columns)
+        total = np.zeros(len(row))
+        for first in roots:  # summed in the order of the trees, as the model does
+            at = np.full(len(row), first)
+            for _ in range(depth):
+                right = ~(x[row + feature[at]] <= threshold[at])
+                at = child[2 * at + right]
+            total += value[at]
+        return pd.Series(total / len(roots))
+    return walk
 
 
 def importances(model: PipelineModel, features=FEATURES) -> DataFrame:

@@ -5,7 +5,8 @@ have rows-only checks.
 
 Training rows come from ``quakes_view`` renamed to the model's column names.
 The fitted pipeline is kept under the shared checkpoint folder, one per input
-directory, so the four model outputs share one fit.
+directory, so the four model outputs share one fit. A table's files may be few
+splits: what is done for each event is dealt over tasks by the number of rows.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timefn import ts_to_epoch_ms
 from ..model import forest as m
-from ..session import scratch_path
+from ..session import land, scratch_path
 from ..sources.files import input_tag, path_exists
 from ..sources.feed import publish_json
 from ..streaming.scoring import (ALERT_THRESHOLD, alert_messages, prepare_scoring_input, score,
@@ -27,8 +28,18 @@ RENAME = {"depth": "source_depth_km", "gap": "source_gap_deg",
           "magnitude": "source_magnitude"}
 
 
+def _tasks(spark, sf_dir):
+    return m.task_count(driver.table(spark, sf_dir, "events").count())
+
+
+def _quakes(spark, sf_dir):
+    """``quakes_view``, its rows dealt over tasks."""
+    ev = driver.table(spark, sf_dir, "events")
+    return driver.quakes_from_events(m.spread(ev, _tasks(spark, sf_dir)))
+
+
 def training_rows(spark, sf_dir):
-    q = driver.quakes_view(spark, sf_dir).withColumnsRenamed(RENAME)
+    q = _quakes(spark, sf_dir).withColumnsRenamed(RENAME)
     return q.select("id", *m.FEATURES, m.LABEL)
 
 
@@ -46,7 +57,7 @@ def fitted(spark, sf_dir):
     if path_exists(spark, f"{path}/metadata/_SUCCESS") and path_exists(
             spark, f"{path}/stages"):
         return m.load(path), test_df
-    model = m.train(train_df)
+    model = m.train(m.spread_in_order(train_df, _tasks(spark, sf_dir)))
     m.save(model, path)
     return model, test_df
 
@@ -89,19 +100,22 @@ def model_agreement(spark, sf_dir):
     R^2 of the test rows are the same from ``evaluate``, from Spark's evaluator
     and from plain aggregates over the expression; whether the importances are
     shares in descending order."""
-    model, test = fitted(spark, sf_dir)
+    model, _ = fitted(spark, sf_dir)
     rows = m.prepare(training_rows(spark, sf_dir), keep=["id"])
-    prediction = m.forest_prediction(spark, _model_path(spark, sf_dir))
-    counts = model.transform(rows).withColumn("again", prediction).agg(
-        F.count(F.lit(1)).alias("rows_scored"), _unequal(F.col("prediction"), F.col("again")))
-    own = m.evaluate(model, test).first()
-    plain = test.withColumn("p", prediction).agg(
-        F.sqrt(F.avg(F.pow(F.col(m.LABEL) - F.col("p"), 2))).alias("rmse"),
-        F.avg(F.abs(F.col(m.LABEL) - F.col("p"))).alias("mae"),
-        (1 - F.avg(F.pow(F.col(m.LABEL) - F.col("p"), 2)) / F.var_pop(m.LABEL)).alias("r2")).first()
-    predicted = model.transform(test)
+    again = m.forest_prediction(spark, _model_path(spark, sf_dir))
+    # Scored once in both ways; what follows are plain passes over two numbers a row.
+    rows = land(model.transform(rows).withColumn("again", again)
+                .select("id", m.LABEL, "prediction", "again"), "model_agreement")
+    _, test = m.split(rows, 0.8, 42, key="id")
+    counts = rows.agg(F.count(F.lit(1)).alias("rows_scored"),
+                      _unequal(F.col("prediction"), F.col("again")))
+    own = m.metrics_of(test).first()
+    off = F.col(m.LABEL) - F.col("again")
+    plain = test.agg(
+        F.sqrt(F.avg(F.pow(off, 2))).alias("rmse"), F.avg(F.abs(off)).alias("mae"),
+        (1 - F.avg(F.pow(off, 2)) / F.var_pop(m.LABEL)).alias("r2")).first()
     same = all(abs(own[k] - plain[k]) < 1e-6 and abs(own[k] - RegressionEvaluator(
-        labelCol=m.LABEL, metricName=k).evaluate(predicted)) < 1e-6 for k in ("rmse", "mae", "r2"))
+        labelCol=m.LABEL, metricName=k).evaluate(test)) < 1e-6 for k in ("rmse", "mae", "r2"))
     shares = [r["importance"] for r in m.importances(model).collect()]
     ranked = abs(sum(shares) - 1) < 1e-9 and shares == sorted(shares, reverse=True)
     return counts.withColumns({"metrics_agree": F.lit(same), "importances_agree": F.lit(ranked)})

@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from temblor.model import evaluate, importances, prepare, split, train
@@ -85,3 +86,66 @@ def test_forest_as_expression_equals_the_model(spark, tmp_dir):
         assert both.where(~F.col("prediction").eqNullSafe(F.col("again"))).count() == 0
     gap = rows.withColumn(m.FEATURES[2], F.lit(None).cast("float"))
     assert gap.select(prediction.alias("p")).where("p IS NOT NULL").count() == 0
+
+
+def test_forest_expression_walks_batches_also_beside_the_number_line(spark, tmp_dir):
+    import os
+
+    from temblor.model import forest as m
+    i = F.col("id")
+    rows = spark.range(300).select(
+        "id", *[((i * k) % 97 / 7).cast("float").alias(c)
+                for k, c in zip((3, 5, 11, 13), m.FEATURES)],
+        ((i * 17) % 31 / 10).cast("float").alias(m.LABEL))
+    model = m.train(rows, num_trees=5, max_depth=5)
+    m.save(model, os.path.join(tmp_dir, "forest"))
+    again = m.forest_prediction(spark, os.path.join(tmp_dir, "forest"))
+    odd = rows.withColumn(m.FEATURES[1], F.element_at(F.array(*[
+        F.lit(x).cast("float") for x in ("Infinity", "-Infinity", "3.25", "-0.0")]),
+        F.pmod(i, F.lit(4)).cast("int") + 1))
+    both = model.transform(odd).withColumn("again", again)
+    assert both.where(~F.col("prediction").eqNullSafe(F.col("again"))).count() == 0
+    # not a number is above every threshold, so it goes right at each
+    nan = rows.withColumn(m.FEATURES[1], F.lit("NaN").cast("float")).select(again.alias("p"))
+    far = rows.withColumn(m.FEATURES[1], F.lit("Infinity").cast("float")).select(again.alias("p"))
+    assert nan.collect() == far.collect()
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "aggregate(" not in plan  # no interpreted walk a row
+
+
+EVENTS = 2_000
+
+
+@pytest.fixture()
+def one_split(spark, tmp_dir, monkeypatch):
+    """Events in one file of one row group, worth four tasks."""
+    from temblor.model import forest as m
+    monkeypatch.setattr(m, "ROWS_WORTH_A_TASK", EVENTS // 4)
+    _events(spark).coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    return tmp_dir
+
+
+def _events(spark):
+    i = F.col("id")
+    return spark.range(0, EVENTS, 1, 1).select(
+        i.alias("event_id"),
+        F.timestamp_seconds(1_704_067_200 + i * 97).cast("timestamp_ntz").alias("ts"),
+        (i * 7 % 50).alias("user_id"), F.lit("click").alias("event_type"),
+        ((i * 31) % 211 / 2).alias("value"), F.lit("{}").alias("props"))
+
+
+def _by_task(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_model_agreement_scores_once(spark, one_split, monkeypatch):
+    from temblor.model import forest as m
+    scored = []
+    real = m.forest_prediction
+    monkeypatch.setattr(m, "evaluate", lambda *a, **k: scored.append("evaluate"))
+    monkeypatch.setattr(m, "forest_prediction",
+                        lambda *a, **k: scored.append("walk") or real(*a, **k))
+    got = modeling.model_agreement(spark, one_split)
+    assert tuple(got.first()) == (EVENTS, 0, True, True) and scored == ["walk"]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "UDF" not in plan  # a plain pass over what was scored
