@@ -149,3 +149,11 @@ def test_model_agreement_scores_once(spark, one_split, monkeypatch):
     assert tuple(got.first()) == (EVENTS, 0, True, True) and scored == ["walk"]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" not in plan and "UDF" not in plan  # a plain pass over what was scored
+
+
+def test_stream_score_agreement_walks_batches(spark, one_split):
+    got = modeling.stream_score_agreement(spark, one_split)
+    same = F.col("same_prediction") & F.col("same_alert") & F.col("same_errors")
+    assert got.count() == got.where(same).count() == EVENTS
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "aggregate(" not in plan
