@@ -157,3 +157,9 @@ def test_stream_score_agreement_walks_batches(spark, one_split):
     assert got.count() == got.where(same).count() == EVENTS
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "aggregate(" not in plan
+
+
+def test_scored_events_of_one_split_are_dealt_over_tasks(spark, one_split):
+    scored = modeling.scored_events(spark, one_split)
+    sizes = _by_task(scored)
+    assert len(sizes) == 4 and sum(sizes) == EVENTS and max(sizes) <= 1.1 * EVENTS / 4
