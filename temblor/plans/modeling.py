@@ -151,7 +151,7 @@ def stream_scored_events(spark, sf_dir):
     foreachBatch (predictions + alerts, replay-safe) -> predictions table."""
     from .streams import quake_stream
     model, _ = fitted(spark, sf_dir)
-    q = quake_stream(spark, sf_dir)
+    q = m.spread(quake_stream(spark, sf_dir), _tasks(spark, sf_dir))
     msgs = publish_json(q.select(F.col("id").cast("string").alias("id"), "magnitude",
                                  F.lit(None).cast("string").alias("place"),
                                  ts_to_epoch_ms("time", ntz=True).cast("double").alias("time"),

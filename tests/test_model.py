@@ -163,3 +163,9 @@ def test_scored_events_of_one_split_are_dealt_over_tasks(spark, one_split):
     scored = modeling.scored_events(spark, one_split)
     sizes = _by_task(scored)
     assert len(sizes) == 4 and sum(sizes) == EVENTS and max(sizes) <= 1.1 * EVENTS / 4
+
+
+def test_stream_scores_one_landed_file_with_several_tasks(spark, one_split):
+    scored = modeling.stream_scored_events(spark, one_split)
+    assert scored.count() == scored.select("id").distinct().count() == EVENTS
+    assert len(scored.inputFiles()) == 4  # one of each task; the landed table is one file
