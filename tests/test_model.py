@@ -169,3 +169,9 @@ def test_stream_scores_one_landed_file_with_several_tasks(spark, one_split):
     scored = modeling.stream_scored_events(spark, one_split)
     assert scored.count() == scored.select("id").distinct().count() == EVENTS
     assert len(scored.inputFiles()) == 4  # one of each task; the landed table is one file
+
+
+def test_alerts_of_one_split_are_dealt_over_tasks(spark, one_split, monkeypatch):
+    monkeypatch.setattr(modeling, "DRIVER_ALERT_THRESHOLD", 0.0)
+    sizes = _by_task(modeling.alerts(spark, one_split))
+    assert len(sizes) == 4 and sum(sizes) == EVENTS
