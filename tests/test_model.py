@@ -175,3 +175,26 @@ def test_alerts_of_one_split_are_dealt_over_tasks(spark, one_split, monkeypatch)
     monkeypatch.setattr(modeling, "DRIVER_ALERT_THRESHOLD", 0.0)
     sizes = _by_task(modeling.alerts(spark, one_split))
     assert len(sizes) == 4 and sum(sizes) == EVENTS
+
+
+def test_forest_is_fitted_by_several_tasks_and_not_shaped_by_the_files(spark, one_split, tmp_dir):
+    from temblor.model import forest as m
+    assert m.task_count(0) == m.task_count(EVENTS // 4) == 1
+    assert m.task_count(36_000_000) == 144  # no more than 250,000 rows in one
+    seen = []
+    for path in (one_split, f"{tmp_dir}/other"):
+        if path != one_split:  # the same rows, backwards and in five files
+            (_events(spark).repartitionByRange(5, F.desc("event_id"))
+             .write.parquet(f"{path}/events.parquet"))
+        rows = modeling.training_rows(spark, path)
+        assert len(_by_task(rows)) == 4
+        dealt = m.spread_in_order(prepare(rows, keep=["id"]), 4)
+        assert len(_by_task(dealt)) == 4
+        seen.append(train(dealt, num_trees=4, max_depth=4).stages[-1].toDebugString.split("
+", 1)[1])
+    assert seen[0] == seen[1]
+
+
+def test_model_metrics_of_one_split(spark, one_split):
+    metrics = modeling.model_metrics(spark, one_split).first()
+    assert 0.1 * EVENTS < metrics.test_rows < 0.3 * EVENTS and math.isfinite(metrics.rmse)
