@@ -371,3 +371,31 @@ def test_replay_goes_on_where_it_was_stopped(spark, tmp_dir):
     replay(spark, staged, feed, query)
     query.stop()
     assert seen == [(0, 2), (1, 1), (2, 3), (2, 3), (3, 1)]  # the third slice again, then the rest
+
+
+def test_pair_stream_keeps_five_rows_an_event(spark, tmp_dir, monkeypatch):
+    from temblor.plans import streams
+    from temblor.streaming import runner
+    i = F.col("id")
+    n = 1_440  # one a minute, over all places
+    spark.range(n).select(
+        i.alias("event_id"),
+        F.timestamp_seconds(1_704_067_200 + i * 60).cast("timestamp_ntz").alias("ts"),
+        (i * 7 % 50).alias("user_id"), F.lit("click").alias("event_type"),
+        ((i * 31) % 211 / 2).alias("value"), F.lit("{}").alias("props")
+    ).coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    updated = []
+    real = runner.start_append
+
+    def start(*a, **kw):
+        query = real(*a, **kw)
+        query.awaitTermination()
+        updated.extend(p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress
+                       if p["stateOperators"])
+        return query
+    monkeypatch.setattr(runner, "start_append", start)
+    got = streams.stream_proximity_pairs(spark, tmp_dir)
+    static = streams.driver.proximity_jump_pairs(spark, tmp_dir)
+    assert sorted(map(str, got.collect())) == sorted(map(str, static.collect())) != []
+    assert n < sum(updated) < 5.4 * n, updated  # 6 rows an event before
+    assert all(f.endswith(".zstd.parquet") for f in got.inputFiles())
