@@ -198,3 +198,31 @@ def test_forest_is_fitted_by_several_tasks_and_not_shaped_by_the_files(spark, on
 def test_model_metrics_of_one_split(spark, one_split):
     metrics = modeling.model_metrics(spark, one_split).first()
     assert 0.1 * EVENTS < metrics.test_rows < 0.3 * EVENTS and math.isfinite(metrics.rmse)
+
+
+def test_training_rows_of_a_task_lie_beside_close_ones(spark, one_split):
+    from temblor.model import forest as m
+    rows = prepare(modeling.training_rows(spark, one_split), keep=["id"])
+    dealt = m.spread_in_order(rows, 4)
+    assert sorted(dealt.collect()) == sorted(rows.collect())
+    ends = rows.agg(*[f(c) for c in m.FEATURES for f in (F.min, F.max)]).first()
+    middle = [(ends[2 * i] + ends[2 * i + 1]) / 2 for i in range(4)]
+    tasks = dealt.select(*m.FEATURES).rdd.glom().collect()
+    assert len(tasks) == 4
+    for task in tasks:
+        halves = [tuple(x >= at for x, at in zip(row, middle)) for row in task]
+        # each combination of halves is one run of rows, not met again and again
+        assert sum(a != b for a, b in zip(halves, halves[1:])) < 16 < len(halves)
+
+
+def test_order_of_training_rows_with_single_and_unbounded_values(spark):
+    from temblor.model import forest as m
+    i = F.col("id")
+    rows = spark.range(60).select(
+        "id", F.lit(2.5).cast("float").alias(m.FEATURES[0]),
+        F.when(i % 7 == 0, F.lit("Infinity")).when(i % 7 == 1, F.lit("-Infinity"))
+        .otherwise(i.cast("string")).cast("float").alias(m.FEATURES[1]),
+        F.when(i % 5 != 0, i).cast("float").alias(m.FEATURES[2]),
+        F.when(i % 9 == 0, F.lit("NaN")).otherwise("1").cast("float").alias(m.FEATURES[3]))
+    assert sorted(r.id for r in m.spread_in_order(rows, 3).collect()) == list(range(60))
+    assert m.spread_in_order(rows.where("id < 0"), 3).count() == 0
