@@ -22,6 +22,13 @@ LABEL = "source_magnitude"
 ROWS_WORTH_A_TASK = 20_000
 ROWS_PER_TASK = 250_000
 TASKS = 48
+# The fit sends the sums of every node of a level from each task, however few rows it
+# has. Above the first figure a task is worth it only with so many rows as the second.
+FIT_TASKS = 12
+ROWS_WORTH_A_FIT_TASK = 50_000
+# Up to so many rows the fit keeps the node of each row in each tree (400 bytes a row, of
+# several levels at once) instead of walking down again at each level; the forest is the same.
+ROWS_WITH_NODE_IDS = 1_000_000
 # Times that each feature's range is halved to find rows that lie close together.
 HALVINGS = 4
 
@@ -32,6 +39,11 @@ def task_count(rows: int) -> int:
     return max(1, min(-(-rows // ROWS_WORTH_A_TASK), TASKS), -(-rows // ROWS_PER_TASK))
 
 
+def fit_task_count(rows: int) -> int:
+    """Tasks of the fit for ``rows``, never more than ``task_count``."""
+    return min(task_count(rows), max(FIT_TASKS, -(-rows // ROWS_WORTH_A_FIT_TASK)))
+
+
 def spread(df: DataFrame, tasks: int) -> DataFrame:
     """Rows dealt evenly over ``tasks``, however few splits their files have (a
     Parquet row group is one split); a table worth one task stays as it is."""
@@ -99,17 +111,19 @@ def part_of(bucket, train_below: int):
 
 
 def build_pipeline(features=FEATURES, label: str = LABEL, num_trees: int = 100,
-                   max_depth: int = 10, seed: int = 42) -> Pipeline:
+                   max_depth: int = 10, seed: int = 42,
+                   keep_node_ids: bool = False) -> Pipeline:
     assembler = VectorAssembler(inputCols=list(features), outputCol="features",
                                 handleInvalid="skip")
     forest = RandomForestRegressor(featuresCol="features", labelCol=label,
-                                   numTrees=num_trees, maxDepth=max_depth, seed=seed)
+                                   numTrees=num_trees, maxDepth=max_depth, seed=seed,
+                                   cacheNodeIds=keep_node_ids, checkpointInterval=-1)
     return Pipeline(stages=[assembler, forest])
 
 
 def train(df: DataFrame, features=FEATURES, label: str = LABEL, num_trees: int = 100,
-          max_depth: int = 10, seed: int = 42) -> PipelineModel:
-    return build_pipeline(features, label, num_trees, max_depth, seed).fit(df)
+          max_depth: int = 10, seed: int = 42, keep_node_ids: bool = False) -> PipelineModel:
+    return build_pipeline(features, label, num_trees, max_depth, seed, keep_node_ids).fit(df)
 
 
 def evaluate(model: PipelineModel, test: DataFrame, label: str = LABEL) -> DataFrame:

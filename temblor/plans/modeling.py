@@ -28,8 +28,12 @@ RENAME = {"depth": "source_depth_km", "gap": "source_gap_deg",
           "magnitude": "source_magnitude"}
 
 
+def _rows(spark, sf_dir):
+    return driver.table(spark, sf_dir, "events").count()
+
+
 def _tasks(spark, sf_dir):
-    return m.task_count(driver.table(spark, sf_dir, "events").count())
+    return m.task_count(_rows(spark, sf_dir))
 
 
 def _quakes(spark, sf_dir):
@@ -57,7 +61,12 @@ def fitted(spark, sf_dir):
     if path_exists(spark, f"{path}/metadata/_SUCCESS") and path_exists(
             spark, f"{path}/stages"):
         return m.load(path), test_df
-    model = m.train(m.spread_in_order(train_df, _tasks(spark, sf_dir)))
+    rows = _rows(spark, sf_dir)
+    tasks = m.fit_task_count(rows)
+    if tasks > 1:  # read twice to be put in order: prepared once
+        train_df = land(train_df, "training_rows")
+    model = m.train(m.spread_in_order(train_df, tasks),
+                    keep_node_ids=rows <= m.ROWS_WITH_NODE_IDS)
     m.save(model, path)
     return model, test_df
 

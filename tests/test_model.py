@@ -226,3 +226,39 @@ def test_order_of_training_rows_with_single_and_unbounded_values(spark):
         F.when(i % 9 == 0, F.lit("NaN")).otherwise("1").cast("float").alias(m.FEATURES[3]))
     assert sorted(r.id for r in m.spread_in_order(rows, 3).collect()) == list(range(60))
     assert m.spread_in_order(rows.where("id < 0"), 3).count() == 0
+
+
+def test_forest_is_the_same_with_node_ids_kept(spark, one_split):
+    from temblor.model import forest as m
+    rows = m.spread_in_order(prepare(modeling.training_rows(spark, one_split), keep=["id"]), 4)
+    seen = [train(rows, num_trees=6, max_depth=6, keep_node_ids=kept).stages[-1]
+            for kept in (False, True)]
+    assert [f.getCacheNodeIds() for f in seen] == [False, True]
+    one, other = [f.toDebugString.splitlines()[1:] for f in seen]  # the first names the model's id
+    assert one == other
+
+
+def test_fit_has_no_task_that_costs_more_than_its_rows():
+    from temblor.model import forest as m
+    assert [m.fit_task_count(n) for n in (0, 100_000, 600_000, 6_000_000, 36_000_000)] == [
+        1, 5, 12, 48, 144]
+    assert m.task_count(600_000) == 30
+
+
+def test_fit_gets_rows_prepared_once_and_keeps_node_ids_on_some_tables(spark, one_split,
+                                                                       monkeypatch):
+    from temblor.model import forest as m
+    given = []
+    real = m.train
+
+    def small(df, **kw):
+        given.append((len(_by_task(df)), kw["keep_node_ids"], df.inputFiles()))
+        return real(df, num_trees=2, max_depth=2, **kw)
+    monkeypatch.setattr(m, "train", small)
+    for most in (EVENTS, EVENTS - 1):
+        monkeypatch.setattr(m, "ROWS_WITH_NODE_IDS", most)
+        monkeypatch.setattr(modeling, "_model_path", lambda *a, most=most: f"{one_split}/m{most}")
+        modeling.fitted(spark, one_split)
+    assert [x[:2] for x in given] == [(4, True), (4, False)]
+    for *_, files in given:  # rows that were prepared and written once, not the events again
+        assert files and all("training_rows" in f for f in files)
