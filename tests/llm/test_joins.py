@@ -220,6 +220,35 @@ def test_metric_join_equals_brute_force(spark, pivots, block):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got.values())
 
 
+def test_metric_join_sends_a_vector_once_to_a_home(spark, monkeypatch):
+    """Vectors that no bound tells apart, in many cells: each goes to its own home and to
+    at most half of the others, however many cells and vectors these have."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(1_000, 24))
+    centres[300:420] = centres[0] + rng.normal(size=(120, 24)) * 0.05  # one group of many links
+    centres[420:600] = centres[600:780] + rng.normal(size=(180, 24)) * 0.05
+    rows = [(i, v.tolist(), 1 if i % 10 else 2) for i, v in enumerate(centres.astype("float32"))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    monkeypatch.setattr(metric_join, "HOME", 3, raising=False)  # homes of 90 or 64 vectors
+    write, sent = metric_join.materialize, []
+
+    def noted(found, name):
+        if name == "vector-links":
+            plan = found._jdf.queryExecution().analyzed().children().head()
+            sent.append(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(
+                df._jdf.sparkSession(), plan).count())
+        return write(found, name)
+    monkeypatch.setattr(metric_join, "materialize", noted)
+    got = {r["vec_id"]: r for r in metric_join.similar_vectors(df, block=16).collect()}
+    assert 1_000 < sent[0] < 6_500  # 52,505 before
+    links = brute_vectors(rows)
+    root = groups_of(len(rows), links)
+    count = np.bincount(np.array(links).ravel(), minlength=len(rows))
+    assert len(links) > 5_000
+    assert {i: r["n_links"] for i, r in got.items()} == dict(enumerate(count.tolist()))
+    assert {i: r["component_id"] for i, r in got.items()} == dict(enumerate(root))
+
+
 def test_metric_join_empty_and_null_ids(spark):
     schema = "vec_id long, embedding array<float>, label int"
     assert metric_join.similar_vectors(spark.createDataFrame([], schema)).count() == 0
