@@ -308,6 +308,27 @@ def test_pair_stream_of_a_year_frees_its_state(spark, tmp_dir, year_of_events, m
     assert max(kept[6:]) <= 1.2 * max(kept[:6]), kept
 
 
+def test_pair_stream_as_registered_holds_few_files_as_state(spark, year_of_events, monkeypatch):
+    """Without parameters, many files are not one batch whose events are all state at once."""
+    from temblor.plans import streams
+    from temblor.streaming import runner
+    kept = []
+    real = runner.start_append
+
+    def start(df, path, checkpoint, **kw):
+        query = real(df, path, checkpoint, **kw)
+        query.awaitTermination()
+        kept.extend(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress
+                    if p["stateOperators"])
+        return query
+    monkeypatch.setattr(runner, "start_append", start)
+    monkeypatch.setattr(streams, "ROWS_PER_FILE", 500)
+    got = streams.QUERIES["stream_proximity_pairs"](spark, year_of_events)
+    static = streams.driver.proximity_jump_pairs(spark, year_of_events)
+    assert sorted(map(str, got.collect())) == sorted(map(str, static.collect())) != []
+    assert 0 < max(kept) < 6_000, kept  # all 3,000 events, five rows each, before
+
+
 def test_restart_key_repeats_the_batch_it_failed_on(spark, monkeypatch):
     import duckdb
     from temblor.plans import streams
